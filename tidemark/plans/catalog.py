@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import audit, maintenance, state
+from ..operators import audit, maintenance, mutations, state
 from ..operators.ingest import to_silver
 from ..sources import feed, tables
 
@@ -139,6 +139,75 @@ def gold_decimal(spark, sf_dir):
     return state.current_state(silver).select(*GOLD_COMPARABLE)
 
 
+# How the test mutation batches are derived from ``events``.
+NO_BALANCE_EVERY = 13  # requests without a balance
+EUR_EVERY = 11
+NO_CURRENCY_EVERY = 17
+EMPTY_CURRENCY_EVERY = 19
+DELTA_CENTER = 50.0  # update delta = value - 50
+# Scan tuning of the mutation batches: keys with more than MUTATION_HOT_ROWS
+# requests are split into chunks of MUTATION_CHUNK_SPAN positions. Set low so the
+# test scales hold both hot and ordinary keys; at cluster scale ~1M / ~1M.
+MUTATION_CHUNK_SPAN = 512
+MUTATION_HOT_ROWS = 64
+SCAN = {"chunk_span": MUTATION_CHUNK_SPAN, "hot_rows": MUTATION_HOT_ROWS}
+
+
+def _event_actions(events: DataFrame) -> F.Column:
+    et = F.col("event_type")
+    return F.when(et == "signup", "insert").when(et == "error", "delete").otherwise("update")
+
+
+def mutation_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request batch (seq, action, account_id, balance, currency) from ``events``."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    eid = F.col("event_id")
+    return ev.select(
+        eid.alias("seq"),
+        _event_actions(ev).alias("action"),
+        F.col("user_id").alias("account_id"),
+        F.when(eid % NO_BALANCE_EVERY == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("balance"),
+        F.when(eid % EUR_EVERY == 0, "EUR")
+        .when(eid % NO_CURRENCY_EVERY == 0, F.lit(None).cast("string"))
+        .when(eid % EMPTY_CURRENCY_EVERY == 0, "")
+        .otherwise("USD")
+        .alias("currency"),
+    )
+
+
+def delta_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A relative-update batch (seq, action, account_id, amount) from ``events``."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    action = _event_actions(ev)
+    amount = F.when(action == "update", F.col("value") - F.lit(DELTA_CENTER)).when(action == "insert", F.col("value"))
+    return ev.select(F.col("event_id").alias("seq"), action.alias("action"), F.col("user_id").alias("account_id"), amount.alias("amount"))
+
+
+def _gold(spark, sf_dir):
+    return state.current_state(fixture_silver(spark, sf_dir))
+
+
+def mutations_applied(spark, sf_dir):
+    return mutations.apply_mutations(
+        mutation_requests(spark, sf_dir), _gold(spark, sf_dir), **SCAN
+    )
+
+
+def mutations_rejected(spark, sf_dir):
+    return mutations.rejected_mutations(
+        mutation_requests(spark, sf_dir), _gold(spark, sf_dir), **SCAN
+    )
+
+
+def delta_fold(spark, sf_dir):
+    return mutations.delta_fold(delta_requests(spark, sf_dir), _gold(spark, sf_dir), **SCAN)
+
+
+def insert_if_absent(spark, sf_dir):
+    reqs = mutation_requests(spark, sf_dir).where(F.col("balance").isNotNull())
+    return mutations.insert_if_absent(reqs, _gold(spark, sf_dir)).select("seq", "account_id", "balance")
+
+
 QUERIES = {
     "silver_parsed": silver_parsed,
     "surrogate_key_stats": surrogate_key_stats,
@@ -160,4 +229,8 @@ QUERIES = {
     "source_reconcile": source_reconcile,
     "pipeline_counts": pipeline_counts,
     "gold_decimal": gold_decimal,
+    "mutations_applied": mutations_applied,
+    "mutations_rejected": mutations_rejected,
+    "delta_fold": delta_fold,
+    "insert_if_absent": insert_if_absent,
 }

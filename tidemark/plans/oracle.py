@@ -7,7 +7,14 @@ never compared (the hash is engine-specific); the ``key|lsn`` text it hashes is.
 
 from __future__ import annotations
 
-from .catalog import LOOKUP_ACCOUNT
+from .catalog import (
+    DELTA_CENTER,
+    EMPTY_CURRENCY_EVERY,
+    EUR_EVERY,
+    LOOKUP_ACCOUNT,
+    NO_BALANCE_EVERY,
+    NO_CURRENCY_EVERY,
+)
 
 # Relational feed (FIXTURES.md section 3) and silver projected from it.
 FEED_CTES = """
@@ -59,6 +66,82 @@ retained AS (
   SELECT * FROM silver WHERE key_text IN (SELECT key_text FROM latest))
 """
 
+# Mutation batch from ``events`` and its sequential judgement, as plain windows.
+MUTATION_CTES = """
+, req AS (
+  SELECT event_id AS seq,
+         CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END AS action,
+         user_id AS account_id,
+         CASE WHEN event_id % {NO_BALANCE_EVERY} = 0 THEN NULL ELSE value END AS balance,
+         CASE WHEN event_id % {EUR_EVERY} = 0 THEN 'EUR'
+              WHEN event_id % {NO_CURRENCY_EVERY} = 0 THEN NULL
+              WHEN event_id % {EMPTY_CURRENCY_EVERY} = 0 THEN ''
+              ELSE 'USD' END AS currency
+  FROM events),
+base AS (
+  SELECT -1 AS seq, 'seed' AS action, account_id, NULL::DOUBLE AS balance, NULL::VARCHAR AS currency,
+         TRUE AS flag, currency AS icur
+  FROM gold WHERE account_id IN (SELECT account_id FROM req)
+  UNION ALL
+  SELECT seq, action, account_id, balance, currency,
+         CASE WHEN action = 'insert' AND balance IS NOT NULL THEN TRUE
+              WHEN action = 'delete' THEN FALSE END,
+         CASE WHEN action = 'insert' AND balance IS NOT NULL
+              THEN COALESCE(NULLIF(currency, ''), 'USD') END
+  FROM req),
+scan AS (
+  SELECT *,
+         COALESCE(LAST_VALUE(flag IGNORE NULLS) OVER (PARTITION BY account_id ORDER BY seq
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS ex,
+         LAST_VALUE(icur IGNORE NULLS) OVER (PARTITION BY account_id ORDER BY seq
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cur_before
+  FROM base),
+decided AS (
+  SELECT seq, account_id, action,
+         CASE WHEN action IN ('insert', 'update') AND balance IS NULL THEN 'balance required'
+              WHEN action IN ('update', 'delete') AND NOT ex THEN 'not found' END AS reason,
+         CASE action WHEN 'insert' THEN (CASE WHEN ex THEN 'u' ELSE 'c' END)
+                     WHEN 'update' THEN 'u' ELSE 'd' END AS op,
+         CASE WHEN action <> 'delete' THEN balance END AS current_balance,
+         CASE action WHEN 'insert' THEN COALESCE(NULLIF(currency, ''), 'USD')
+                     WHEN 'update' THEN cur_before END AS currency
+  FROM scan WHERE action <> 'seed')
+""".format(**dict(NO_BALANCE_EVERY=NO_BALANCE_EVERY, EUR_EVERY=EUR_EVERY,
+                  NO_CURRENCY_EVERY=NO_CURRENCY_EVERY, EMPTY_CURRENCY_EVERY=EMPTY_CURRENCY_EVERY))
+
+# Delta fold: segments start at an applied insert (or the current balance).
+DELTA_CTES = """
+, req2 AS (
+  SELECT event_id AS seq,
+         CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END AS action,
+         user_id AS account_id, value
+  FROM events),
+base2 AS (
+  SELECT -1 AS seq, 'seed' AS action, account_id, CAST(current_balance AS DECIMAL(20,2)) AS amount, TRUE AS flag
+  FROM gold WHERE account_id IN (SELECT account_id FROM req2)
+  UNION ALL
+  SELECT seq, action, account_id,
+         CAST(CASE action WHEN 'update' THEN value - {DELTA_CENTER} WHEN 'insert' THEN value END AS DECIMAL(20,2)),
+         CASE action WHEN 'insert' THEN TRUE WHEN 'delete' THEN FALSE END
+  FROM req2),
+s1 AS (
+  SELECT *, COALESCE(LAST_VALUE(flag IGNORE NULLS) OVER (PARTITION BY account_id ORDER BY seq
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS ex
+  FROM base2),
+s2 AS (
+  SELECT *, action = 'seed' OR (action = 'insert' AND NOT ex) AS is_set,
+         action = 'update' AND ex AS is_add, action = 'delete' AND ex AS is_del
+  FROM s1),
+s3 AS (
+  SELECT *, SUM(CASE WHEN is_set THEN 1 ELSE 0 END) OVER (PARTITION BY account_id ORDER BY seq
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
+  FROM s2),
+s4 AS (
+  SELECT *, SUM(CASE WHEN is_set OR is_add THEN amount ELSE 0 END) OVER (PARTITION BY account_id, seg ORDER BY seq
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bal
+  FROM s3)
+""".format(DELTA_CENTER=DELTA_CENTER)
+
 GOLD_COLS = "account_id, current_balance, currency, transaction_timestamp, source_commit_lsn, operation_type"
 
 
@@ -183,4 +266,18 @@ ORACLE = {
                transaction_timestamp, source_commit_lsn, operation_type
         FROM gold"""
     ),
+    "mutations_applied": _with(MUTATION_CTES + """
+        SELECT seq, account_id, op, current_balance, currency FROM decided WHERE reason IS NULL"""),
+    "mutations_rejected": _with(MUTATION_CTES + """
+        SELECT seq, account_id, action, reason FROM decided WHERE reason IS NOT NULL"""),
+    "delta_fold": _with(DELTA_CTES + """
+        SELECT seq, account_id,
+               CASE action WHEN 'insert' THEN 'c' WHEN 'update' THEN 'u' ELSE 'd' END AS op,
+               CASE WHEN NOT is_del THEN CAST(bal AS DOUBLE) END AS current_balance
+        FROM s4 WHERE action <> 'seed' AND (is_set OR is_add OR is_del)"""),
+    "insert_if_absent": _with(MUTATION_CTES + """
+        SELECT seq, account_id, balance FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY seq) AS rn
+          FROM req WHERE action = 'insert' AND balance IS NOT NULL AND account_id IS NOT NULL) f
+        WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM gold WHERE gold.account_id = f.account_id)"""),
 }
