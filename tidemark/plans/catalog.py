@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import audit, maintenance, mutations, state
 from ..operators.ingest import to_silver
+from ..session import new_work_path
 from ..sources import feed, tables
+from ..streaming import ingest as streaming
 
 # Fixed value: the account used for point lookups (present at every scale).
 LOOKUP_ACCOUNT = 42
@@ -139,6 +141,45 @@ def gold_decimal(spark, sf_dir):
     return state.current_state(silver).select(*GOLD_COMPARABLE)
 
 
+def stream_vs_batch(spark, sf_dir):
+    """The feed written as files, ingested by Structured Streaming (``availableNow``,
+    one file per micro-batch) into a month-partitioned Parquet sink, read back."""
+    root = new_work_path(spark, "stream-vs-batch")
+    feed.fixture_feed(spark, sf_dir).write.parquet(root + "/feed")
+    streaming.ingest_available(feed.file_stream(spark, root + "/feed", max_files_per_trigger=1), root + "/silver")
+    return tables.read_silver(spark, root + "/silver").select(*SILVER_STABLE)
+
+
+def _compacted_table(spark, sf_dir, runs: int = 1) -> str:
+    root = new_work_path(spark, "compaction")
+    path = root + "/silver"
+    streaming.ingest_batch(feed.fixture_feed(spark, sf_dir), path)
+    for _ in range(runs):
+        maintenance.compact(spark, tables.read_silver(spark, path), path)
+    return path
+
+
+def visible_after_compaction(spark, sf_dir):
+    """Silver as readers see it after one real compaction run (sidecar written)."""
+    path = _compacted_table(spark, sf_dir)
+    vis = maintenance.visible(tables.read_silver(spark, path), maintenance.read_sidecar(spark, path))
+    return vis.select("kafka_partition", "kafka_event_offset", "account_id", "source_commit_lsn", "operation_type")
+
+
+def compaction_history(spark, sf_dir):
+    """History after two runs: the second invalidates nothing."""
+    path = _compacted_table(spark, sf_dir, runs=2)
+    hist = maintenance.read_history(spark, path)
+    m = F.col("metrics")
+    return hist.select(
+        "version",
+        "operation",
+        m["numRowsBefore"].cast("long").alias("rows_before"),
+        m["numDeletedRows"].cast("long").alias("rows_invalidated"),
+        m["numRowsAfter"].cast("long").alias("rows_after"),
+    )
+
+
 # How the test mutation batches are derived from ``events``.
 NO_BALANCE_EVERY = 13  # requests without a balance
 EUR_EVERY = 11
@@ -229,6 +270,9 @@ QUERIES = {
     "source_reconcile": source_reconcile,
     "pipeline_counts": pipeline_counts,
     "gold_decimal": gold_decimal,
+    "stream_vs_batch": stream_vs_batch,
+    "visible_after_compaction": visible_after_compaction,
+    "compaction_history": compaction_history,
     "mutations_applied": mutations_applied,
     "mutations_rejected": mutations_rejected,
     "delta_fold": delta_fold,

@@ -266,6 +266,27 @@ ORACLE = {
                transaction_timestamp, source_commit_lsn, operation_type
         FROM gold"""
     ),
+    "stream_vs_batch": _with(
+        """
+        SELECT kafka_event_offset, kafka_partition, operation_code, account_id, current_balance,
+               currency, transaction_timestamp, source_commit_lsn, operation_type
+        FROM silver"""
+    ),
+    "visible_after_compaction": _with(
+        """
+        SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type
+        FROM retained"""
+    ),
+    "compaction_history": _with(
+        """
+        SELECT CAST(0 AS BIGINT) AS version, 'SOFT DELETE' AS operation,
+               (SELECT COUNT(*) FROM silver) AS rows_before,
+               (SELECT COUNT(*) FROM superseded) AS rows_invalidated,
+               (SELECT COUNT(*) FROM retained) AS rows_after
+        UNION ALL
+        SELECT CAST(1 AS BIGINT), 'SOFT DELETE',
+               (SELECT COUNT(*) FROM retained), CAST(0 AS BIGINT), (SELECT COUNT(*) FROM retained)"""
+    ),
     "mutations_applied": _with(MUTATION_CTES + """
         SELECT seq, account_id, op, current_balance, currency FROM decided WHERE reason IS NULL"""),
     "mutations_rejected": _with(MUTATION_CTES + """
