@@ -23,6 +23,13 @@ Partitioning: the hot-key list is found with a partial aggregate and is at most
 (key-is-NULL flag, key, chunk); the join back uses the same columns, so the row
 side is shuffled once and later scans over the same frame reuse that partitioning.
 Only the hot summaries move again.
+
+Lineage: the locally scanned rows feed both the summaries and the join back, so
+they are written once with a reliable ``checkpoint()`` into the shared folder
+(``spark.checkpoint.dir``) instead of being computed twice. Chained scans thus
+stay linear in cost and survive the loss of executors without recomputing their
+inputs. (Under AQE a checkpoint does not report its hash partitioning, so the
+carry, which is small, is broadcast after a count rather than shuffling rows.)
 """
 
 from __future__ import annotations
@@ -30,6 +37,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 DEFAULT_CHUNK_SPAN = 1 << 20
 MAX_BROADCAST_KEYS = 2_000_000
 
@@ -122,6 +131,8 @@ def prefix_scan(
         *[F.sum(F.col(s)).over(upto).alias(c) for s, c in loc_sum.items()],
         F.lead(F.col(seq)).over(order).isNull().alias("_scan_group_end"),
     )
+    shared_dir(local.sparkSession)  # checkpoint target must be the shared folder
+    local = local.checkpoint(eager=True)
 
     # One summary row per hot (key, chunk): its values at the group's last row.
     summary = local.where(F.col("_scan_group_end") & F.col(_HOT)).select(
@@ -136,6 +147,11 @@ def prefix_scan(
         *[F.sum(F.col(loc_sum[s])).over(earlier).alias(c) for s, c in carry_sum.items()],
     )
 
+    # The carry has one row per hot (key, chunk) group. Broadcast it only after
+    # measuring it; beyond the cap it is a shuffled join.
+    carry = carry.checkpoint(eager=True)
+    if carry.count() <= MAX_BROADCAST_KEYS:
+        carry = F.broadcast(carry)
     joined = local.join(carry, PARTITION_COLS, "left")
     out = []
     for name, s in last_before.items():

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import shared_dir
 from .keyed_scan import DEFAULT_CHUNK_SPAN, drop_scan_partitioning, prefix_scan
 from .state import KEY
 
@@ -38,11 +39,17 @@ SEED = "seed"  # action of the virtual row carrying current state
 EXACT = "decimal(20,2)"  # exact money arithmetic for folds
 
 
-def _requested_state(requests: DataFrame, gold: DataFrame, key: str) -> DataFrame:
-    """Gold rows of the keys the batch touches (semi join: gold is not broadcast blindly;
-    AQE broadcasts the request keys only when they measure small)."""
+def _requested_state(requests: DataFrame, gold: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Gold rows of the keys the batch touches (at most one per requested key).
+
+    A semi join: nothing is broadcast blindly; AQE broadcasts the request keys only
+    when they measure small. Written once to the shared folder so that resolving
+    gold (a window over all of silver) runs once per batch, not once per use.
+    """
     keys = requests.select(key).where(F.col(key).isNotNull()).distinct()
-    return gold.join(keys, key, "left_semi")
+    state = gold.select(key, *columns).join(keys, key, "left_semi")
+    shared_dir(state.sparkSession)
+    return state.checkpoint(eager=True)
 
 
 def _currency_or_default(c) -> F.Column:
@@ -73,7 +80,7 @@ def judge_mutations(
         F.when(valid_insert, F.lit(True)).when(F.col("action") == DELETE, F.lit(False)).alias("_flag"),
         F.when(valid_insert, _currency_or_default(F.col("currency"))).alias("_icur"),
     )
-    seed = _requested_state(requests, gold, key).select(
+    seed = _requested_state(requests, gold, key, ["currency"]).select(
         F.lit(-1).cast("long").alias("seq"),
         F.lit(SEED).alias("action"),
         F.col(key),
@@ -154,7 +161,7 @@ def delta_fold(
     req_rows = reqs.select(
         "*", F.when(F.col("action") == INSERT, F.lit(True)).when(F.col("action") == DELETE, F.lit(False)).alias("_flag")
     )
-    seed = _requested_state(requests, gold, key).select(
+    seed = _requested_state(requests, gold, key, ["current_balance"]).select(
         F.lit(-1).cast("long").alias("seq"),
         F.lit(SEED).alias("action"),
         F.col(key),

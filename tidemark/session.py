@@ -39,6 +39,9 @@ def build_session(app_name: str = "tidemark", master: str | None = None, extra:
         **REQUIRED_CONF,
         **SCALE_CONF,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        # reliable checkpoints are removed once their DataFrame is garbage collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     conf.update(extra or {})
