@@ -188,6 +188,26 @@ def delta_fold(
     return rows.select("seq", key, op.alias("op"), balance.alias("current_balance"))
 
 
+def mutation_changes(applied: DataFrame, base_lsn: int, at, base_offset: int | None = None, key: str = KEY) -> DataFrame:
+    """Applied mutation events -> relational changes for the feed (commit order = ``seq``).
+
+    ``lsn = base_lsn + seq`` keeps the batch after everything already committed when
+    ``base_lsn`` exceeds the current maximum; ``at`` is the commit time (column or literal).
+    """
+    base_offset = base_lsn if base_offset is None else base_offset
+    ts = at if isinstance(at, F.Column) else F.lit(at)
+    return applied.select(
+        F.col(key).cast("long").alias("account_id"),
+        (F.lit(base_lsn) + F.col("seq")).cast("long").alias("lsn"),
+        F.col("op"),
+        ts.cast("timestamp").alias("ts"),
+        F.col("current_balance").cast("double").alias("value"),
+        (F.lit(base_offset) + F.col("seq")).cast("long").alias("off"),
+        F.lit(False).alias("junk"),
+        F.col("currency"),
+    )
+
+
 def insert_if_absent(requests: DataFrame, existing: DataFrame, key: str = KEY) -> DataFrame:
     """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` batch adds (M3).
 

@@ -244,6 +244,28 @@ def delta_fold(spark, sf_dir):
     return mutations.delta_fold(delta_requests(spark, sf_dir), _gold(spark, sf_dir), **SCAN)
 
 
+# Where the mutation batch lands in the feed.
+MUTATION_BASE_LSN = 10_000_000_000
+MUTATION_COMMIT_TS = "2024-03-01 00:00:00"
+
+
+def gold_after_mutations(spark, sf_dir):
+    """End to end: judge a batch against gold, publish the applied events as change
+    envelopes, ingest them next to the existing feed, resolve gold again."""
+    silver = fixture_silver(spark, sf_dir)
+    applied = mutations.apply_mutations(mutation_requests(spark, sf_dir), state.current_state(silver), **SCAN)
+    changes = mutations.mutation_changes(applied, MUTATION_BASE_LSN, MUTATION_COMMIT_TS)
+    new_rows = to_silver(feed.envelope_records(changes))
+    return state.current_state(silver.unionByName(new_rows)).select(*GOLD_COMPARABLE)
+
+
+def gold_preview(spark, sf_dir):
+    """Gold ordered by key, first 50 rows (the report's presentation)."""
+    return state.current_state(fixture_silver(spark, sf_dir)).select(*GOLD_COMPARABLE).orderBy(
+        F.col("account_id").asc_nulls_first()
+    ).limit(50)
+
+
 def insert_if_absent(spark, sf_dir):
     reqs = mutation_requests(spark, sf_dir).where(F.col("balance").isNotNull())
     return mutations.insert_if_absent(reqs, _gold(spark, sf_dir)).select("seq", "account_id", "balance")
@@ -277,4 +299,6 @@ QUERIES = {
     "mutations_rejected": mutations_rejected,
     "delta_fold": delta_fold,
     "insert_if_absent": insert_if_absent,
+    "gold_after_mutations": gold_after_mutations,
+    "gold_preview": gold_preview,
 }

@@ -8,6 +8,8 @@ never compared (the hash is engine-specific); the ``key|lsn`` text it hashes is.
 from __future__ import annotations
 
 from .catalog import (
+    MUTATION_BASE_LSN,
+    MUTATION_COMMIT_TS,
     DELTA_CENTER,
     EMPTY_CURRENCY_EVERY,
     EUR_EVERY,
@@ -301,4 +303,25 @@ ORACLE = {
           SELECT *, ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY seq) AS rn
           FROM req WHERE action = 'insert' AND balance IS NOT NULL AND account_id IS NOT NULL) f
         WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM gold WHERE gold.account_id = f.account_id)"""),
+    "gold_after_mutations": _with(MUTATION_CTES + f"""
+        , after AS (
+          SELECT account_id, current_balance, currency, transaction_timestamp, source_commit_lsn,
+                 operation_type, kafka_event_offset, kafka_partition FROM silver
+          UNION ALL
+          SELECT account_id,
+                 CASE WHEN op <> 'd' THEN current_balance END,
+                 CASE WHEN op <> 'd' THEN currency END,
+                 CASE WHEN op <> 'd' THEN strftime(TIMESTAMP '{MUTATION_COMMIT_TS}', '%Y-%m-%dT%H:%M:%S.%fZ') END,
+                 {MUTATION_BASE_LSN} + seq,
+                 CASE op WHEN 'c' THEN 'INSERT' WHEN 'u' THEN 'UPDATE' ELSE 'DELETE' END,
+                 {MUTATION_BASE_LSN} + seq,
+                 CAST(account_id % 3 AS INTEGER)
+          FROM decided WHERE reason IS NULL)
+        SELECT {GOLD_COLS} FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY account_id
+                     ORDER BY source_commit_lsn DESC NULLS LAST, kafka_event_offset DESC NULLS LAST,
+                              kafka_partition DESC NULLS LAST) AS rn3
+          FROM after) a
+        WHERE rn3 = 1 AND operation_type <> 'DELETE'"""),
+    "gold_preview": _with(f"SELECT {GOLD_COLS} FROM gold ORDER BY account_id NULLS FIRST LIMIT 50"),
 }

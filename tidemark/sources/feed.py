@@ -60,12 +60,14 @@ def envelope_records(changes: DataFrame, currency: str = "USD") -> DataFrame:
     """Relational changes -> feed records with JSON envelopes.
 
     ``changes`` columns: account_id, lsn, op, ts (timestamp), value (balance),
-    off (record offset), junk (bool: emit a malformed payload instead).
+    off (record offset), junk (bool: emit a malformed payload instead), and
+    optionally currency (else ``currency`` for every row).
     A ``d`` puts the row image in ``before``; every other op puts it in ``after``.
     """
     ts = F.col("ts").cast("timestamp")
     ts_text = envelope_timestamp(ts)
-    image = _row_image(F.col("account_id"), F.col("value"), F.lit(currency), ts_text)
+    cur = F.col("currency") if "currency" in changes.columns else F.lit(currency)
+    image = _row_image(F.col("account_id"), F.col("value"), cur, ts_text)
     is_delete = F.col("op") == "d"
     ts_ms = F.unix_millis(ts)
     env = F.struct(
