@@ -132,14 +132,17 @@ def fixture_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(-1) - F.col("c_custkey")).alias("off"),
         F.lit(False).alias("junk"),
     )
-    bad = ev.where(lsn % JUNK_EVERY == 0).select(
+    junk = lsn % JUNK_EVERY == 0
+    # The junk flag is computed from the data (not a literal) so that the
+    # optimizer cannot constant-fold the malformed branch into literals.
+    bad = ev.where(junk).select(
         F.lit(None).cast("long").alias("account_id"),
         F.lit(None).cast("long").alias("lsn"),
         F.lit(None).cast("string").alias("op"),
         F.lit(None).cast("timestamp").alias("ts"),
         F.lit(None).cast("double").alias("value"),
         (lsn + JUNK_SHIFT).alias("off"),
-        F.lit(True).alias("junk"),
+        junk.alias("junk"),
     )
     return main.unionByName(dup).unionByName(snap).unionByName(bad)
 
