@@ -24,12 +24,13 @@ Partitioning: the hot-key list is found with a partial aggregate and is at most
 side is shuffled once and later scans over the same frame reuse that partitioning.
 Only the hot summaries move again.
 
-Lineage: the locally scanned rows feed both the summaries and the join back, so
-they are written once with a reliable ``checkpoint()`` into the shared folder
-(``spark.checkpoint.dir``) instead of being computed twice. Chained scans thus
-stay linear in cost and survive the loss of executors without recomputing their
-inputs. (Under AQE a checkpoint does not report its hash partitioning, so the
-carry, which is small, is broadcast after a count rather than shuffling rows.)
+Lineage: when hot keys exist, the locally scanned rows feed both the summaries and
+the join back, so they are written once with a reliable ``checkpoint()`` into the
+shared folder (``spark.checkpoint.dir``) instead of being computed twice. Chained
+scans thus stay linear in cost and survive the loss of executors without
+recomputing their inputs. (Under AQE a checkpoint does not report its hash
+partitioning, so the carry, whose size is bounded by the hot-key aggregate, is
+broadcast rather than shuffling rows.) Without hot keys a scan is one window.
 """
 
 from __future__ import annotations
@@ -57,6 +58,11 @@ def with_scan_partitioning(
 
     A NULL key is a group of its own (as in SQL ``PARTITION BY``); the flag column
     keeps it apart from the filler value, so joins stay plain equi-joins.
+
+    One aggregate finds the hot keys and, from each hot key's first and last chunk,
+    an upper bound on the number of hot ``(key, chunk)`` groups. Both numbers ride
+    along as metadata of the chunk column, so later scans over the same frame know
+    the carry size without running another job.
     """
     if _CHUNK in df.columns:
         return df
@@ -67,21 +73,31 @@ def with_scan_partitioning(
         F.col(key).isNull().alias(_KN),
         F.coalesce(F.col(key), filler).alias(_KK),
     )
+    chunk_of = F.floor(F.col(seq) / F.lit(chunk_span))
     hot = (
         keyed.groupBy(_KN, _KK)
-        .agg(F.count(F.lit(1)).alias("_scan_n"))
+        .agg(F.count(F.lit(1)).alias("_scan_n"), F.min(chunk_of).alias("_c0"), F.max(chunk_of).alias("_c1"))
         .where(F.col("_scan_n") > hot_rows)
-        .select(_KN, _KK, F.lit(True).alias(_HOT))
     )
-    # Size check before broadcasting: at most rows / hot_rows keys can be hot.
-    if hot.count() <= MAX_BROADCAST_KEYS:
+    stats = hot.agg(
+        F.count(F.lit(1)).alias("keys"), F.sum(F.col("_c1") - F.col("_c0") + 1).alias("groups")
+    ).first()
+    hot_keys, hot_groups = int(stats["keys"]), int(stats["groups"] or 0)
+    meta = {"hot_keys": hot_keys, "hot_groups": hot_groups}
+    if hot_keys == 0:
+        return keyed.select(
+            *keyed.columns, F.lit(False).alias(_HOT), F.lit(0).cast("long").alias(_CHUNK, metadata=meta)
+        )
+    hot = hot.select(_KN, _KK, F.lit(True).alias(_HOT))
+    # At most rows / hot_rows keys can be hot, and the count was just measured.
+    if hot_keys <= MAX_BROADCAST_KEYS:
         hot = F.broadcast(hot)
     flagged = keyed.join(hot, [_KN, _KK], "left")
     is_hot = F.coalesce(F.col(_HOT), F.lit(False))
     return flagged.select(
         *keyed.columns,
         is_hot.alias(_HOT),
-        F.when(is_hot, F.floor(F.col(seq) / F.lit(chunk_span))).otherwise(F.lit(0)).cast("long").alias(_CHUNK),
+        F.when(is_hot, chunk_of).otherwise(F.lit(0)).cast("long").alias(_CHUNK, metadata=meta),
     )
 
 
@@ -131,28 +147,35 @@ def prefix_scan(
         *[F.sum(F.col(s)).over(upto).alias(c) for s, c in loc_sum.items()],
         F.lead(F.col(seq)).over(order).isNull().alias("_scan_group_end"),
     )
-    shared_dir(local.sparkSession)  # checkpoint target must be the shared folder
-    local = local.checkpoint(eager=True)
-
-    # One summary row per hot (key, chunk): its values at the group's last row.
-    summary = local.where(F.col("_scan_group_end") & F.col(_HOT)).select(
-        *PARTITION_COLS, *loc_last_upto.values(), *loc_sum.values()
-    )
-    earlier = Window.partitionBy(_KN, _KK).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    meta = d.schema[_CHUNK].metadata
     carry_last = {s: f"_scan_cl_{s}" for s in last_srcs}
     carry_sum = {s: f"_scan_cs_{s}" for s in sum_srcs}
-    carry = summary.select(
-        *PARTITION_COLS,
-        *[F.last(F.col(loc_last_upto[s]), ignorenulls=True).over(earlier).alias(c) for s, c in carry_last.items()],
-        *[F.sum(F.col(loc_sum[s])).over(earlier).alias(c) for s, c in carry_sum.items()],
-    )
-
-    # The carry has one row per hot (key, chunk) group. Broadcast it only after
-    # measuring it; beyond the cap it is a shuffled join.
-    carry = carry.checkpoint(eager=True)
-    if carry.count() <= MAX_BROADCAST_KEYS:
-        carry = F.broadcast(carry)
-    joined = local.join(carry, PARTITION_COLS, "left")
+    if meta.get("hot_keys", 1) == 0:
+        # No hot key: every key is one group and the local scan is the answer.
+        joined = local.select(
+            "*",
+            *[F.lit(None).cast(local.schema[loc_last_upto[s]].dataType).alias(c) for s, c in carry_last.items()],
+            *[F.lit(None).cast(local.schema[loc_sum[s]].dataType).alias(c) for s, c in carry_sum.items()],
+        )
+    else:
+        shared_dir(local.sparkSession)  # checkpoint target must be the shared folder
+        local = local.checkpoint(eager=True)
+
+        # One summary row per hot (key, chunk): its values at the group's last row.
+        summary = local.where(F.col("_scan_group_end") & F.col(_HOT)).select(
+            *PARTITION_COLS, *loc_last_upto.values(), *loc_sum.values()
+        )
+        earlier = Window.partitionBy(_KN, _KK).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        carry = summary.select(
+            *PARTITION_COLS,
+            *[F.last(F.col(loc_last_upto[s]), ignorenulls=True).over(earlier).alias(c) for s, c in carry_last.items()],
+            *[F.sum(F.col(loc_sum[s])).over(earlier).alias(c) for s, c in carry_sum.items()],
+        )
+        # The carry has at most ``hot_groups`` rows (bound from the hot-key aggregate).
+        # Broadcast it only under the cap; beyond it the join is shuffled.
+        if meta.get("hot_groups", MAX_BROADCAST_KEYS + 1) <= MAX_BROADCAST_KEYS:
+            carry = F.broadcast(carry)
+        joined = local.join(carry, PARTITION_COLS, "left")
     out = []
     for name, s in last_before.items():
         out.append(F.coalesce(F.col(loc_last_before[s]), F.col(carry_last[s])).alias(name))
