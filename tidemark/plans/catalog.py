@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import audit, maintenance, mutations, state
+from ..operators import audit, maintenance, mutations, snapshot, state
 from ..operators.ingest import to_silver
 from ..session import new_work_path
 from ..sources import feed, tables
@@ -206,6 +206,22 @@ def compaction_history(spark, sf_dir):
     )
 
 
+# Fixed value: feed records stamped before this instant arrive before the snapshot.
+SNAPSHOT_CUT = "2024-01-15 00:00:00"
+
+
+def gold_incremental(spark, sf_dir):
+    """Gold from a state snapshot plus the files that arrived after it: the feed is
+    ingested in two arrivals (by record time) with a snapshot in between."""
+    path = new_work_path(spark, "incremental") + "/silver"
+    records = feed.fixture_feed(spark, sf_dir)
+    early = F.col("timestamp") < F.lit(SNAPSHOT_CUT).cast("timestamp")
+    streaming.ingest_batch(records.where(early), path)
+    snapshot.write_snapshot(spark, path)
+    streaming.ingest_batch(records.where(~early | F.col("timestamp").isNull()), path)
+    return snapshot.current_state_incremental(spark, path).select(*GOLD_COMPARABLE)
+
+
 # How the test mutation batches are derived from ``events``.
 NO_BALANCE_EVERY = 13  # requests without a balance
 EUR_EVERY = 11
@@ -327,4 +343,5 @@ QUERIES = {
     "insert_if_absent": insert_if_absent,
     "gold_after_mutations": gold_after_mutations,
     "gold_preview": gold_preview,
+    "gold_incremental": gold_incremental,
 }

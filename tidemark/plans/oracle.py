@@ -323,5 +323,6 @@ ORACLE = {
                               kafka_partition DESC NULLS LAST) AS rn3
           FROM after) a
         WHERE rn3 = 1 AND operation_type <> 'DELETE'"""),
+    "gold_incremental": _with(f"SELECT {GOLD_COLS} FROM gold"),
     "gold_preview": _with(f"SELECT {GOLD_COLS} FROM gold ORDER BY account_id NULLS FIRST LIMIT 50"),
 }
