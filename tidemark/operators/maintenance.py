@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from ..session import shared_dir
+from ..sources.tables import empty
 from .state import KEY, ORDER, winners
 
 SIDECAR_DIR = "_invalidated"
@@ -53,7 +55,7 @@ def _read_or_empty(spark: SparkSession, path: str, schema, reader: str = "parque
     try:
         return getattr(spark.read.schema(schema), reader)(path)
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
 
 
 def read_sidecar(spark: SparkSession, table_path: str) -> DataFrame:
@@ -95,12 +97,19 @@ def next_version(spark: SparkSession, table_path: str) -> int:
 def compact(spark: SparkSession, silver: DataFrame, table_path: str, key: str = KEY, order: tuple[str, ...] = ORDER) -> dict:
     """Invalidate every superseded visible row of ``silver``; log one history entry.
 
-    Re-runnable: a second run over unchanged data invalidates nothing. Gold over the
-    visible rows is unchanged by construction (winners are never invalidated).
+    ``silver`` must be the whole table at ``table_path``. Re-runnable: a second run
+    over unchanged data invalidates nothing. Gold over the visible rows is unchanged
+    by construction (winners are never invalidated).
+
+    Visible silver is needed three times (count, winners, rows to test), so its
+    narrow projection (identity, key, order, surrogate key) is written once with a
+    reliable checkpoint: the anti join against the sidecar runs once per run.
     """
     version = next_version(spark, table_path)
     sidecar = read_sidecar(spark, table_path)
-    vis = visible(silver, sidecar)
+    cols = list(dict.fromkeys([*schemas.ROW_IDENTITY, "surrogate_key", key, *order]))
+    shared_dir(spark)
+    vis = visible(silver, sidecar).select(*cols).checkpoint(eager=True)
     before = vis.count()
     doomed = superseded(vis, key, order).select(*schemas.ROW_IDENTITY, F.lit(version).cast("long").alias("version"))
     (

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
-from ..sources.tables import read_silver
+from ..sources.tables import empty, read_silver
 from .state import KEY, ORDER, current_state, latest_changes
 
 SNAPSHOT_DIR = "_state"
@@ -53,7 +53,7 @@ def _new_rows(spark: SparkSession, table_path: str, silver: DataFrame, covered:
     """Silver rows from files the snapshot did not cover (only those files are read)."""
     new_files = [f for f in silver.inputFiles() if f not in covered]
     if not new_files:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     return spark.read.schema(schema).option("basePath", table_path).parquet(*new_files)
 
 

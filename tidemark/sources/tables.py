@@ -12,6 +12,12 @@ from pyspark.sql.utils import AnalysisException
 from .. import schemas
 
 
+def empty(spark: SparkSession, schema) -> DataFrame:
+    """An empty frame the optimizer *knows* is empty (``limit(0)`` folds into an empty
+    relation), so joins against it are pruned instead of shuffling the other side."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def read_silver(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFrame:
     """Batch scan of a silver directory with the fixed schema.
 
@@ -21,7 +27,7 @@ def read_silver(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFr
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
 
 
 def silver_exists(spark: SparkSession, path: str) -> bool:
