@@ -81,6 +81,11 @@ def test_kafka_options():
     }
 
 
+def test_kafka_options_for_backlogs():
+    opts = feeds.kafka_options("b:1", max_offsets_per_trigger=1_000_000, min_partitions=64)
+    assert opts["maxOffsetsPerTrigger"] == "1000000" and opts["minPartitions"] == "64"
+
+
 def test_missing_silver_reads_empty(spark, workdir):
     df = read_silver(spark, os.path.join(workdir, "nothing-here"))
     assert df.count() == 0 and len(df.columns) == 14

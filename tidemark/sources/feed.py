@@ -22,16 +22,31 @@ KAFKA_OPTIONS = {
 }
 
 
-def kafka_options(bootstrap: str = KAFKA_BOOTSTRAP, topic: str = KAFKA_TOPIC, **extra: str) -> dict[str, str]:
-    """Options for ``readStream.format("kafka")``: one topic, from earliest, tolerate retention gaps."""
+def kafka_options(
+    bootstrap: str = KAFKA_BOOTSTRAP,
+    topic: str = KAFKA_TOPIC,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+    **extra: str,
+) -> dict[str, str]:
+    """Options for ``readStream.format("kafka")``: one topic, from earliest, tolerate retention gaps.
+
+    For large backlogs: ``max_offsets_per_trigger`` bounds every micro-batch (an
+    ``availableNow`` drain then runs as many bounded batches), and ``min_partitions``
+    splits busy broker partitions over more Spark tasks than there are partitions.
+    """
     opts = {"kafka.bootstrap.servers": bootstrap, **KAFKA_OPTIONS, "subscribe": topic}
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra)
     return opts
 
 
-def kafka_stream(spark: SparkSession, bootstrap: str = KAFKA_BOOTSTRAP, topic: str = KAFKA_TOPIC, **extra: str) -> DataFrame:
+def kafka_stream(spark: SparkSession, bootstrap: str = KAFKA_BOOTSTRAP, topic: str = KAFKA_TOPIC, **options) -> DataFrame:
     """Streaming DataFrame over the broker topic (requires the Kafka connector jar)."""
-    return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, **extra)).load()
+    return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, **options)).load()
 
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

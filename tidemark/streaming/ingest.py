@@ -100,6 +100,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--kafka-bootstrap", default=feeds.KAFKA_BOOTSTRAP)
     parser.add_argument("--topic", default=feeds.KAFKA_TOPIC)
     parser.add_argument("--max-files-per-trigger", type=int)
+    parser.add_argument("--max-offsets-per-trigger", type=int)
+    parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--exact-decimal", action="store_true")
     args = parser.parse_args(argv)
 
@@ -107,7 +109,13 @@ def main(argv: list[str] | None = None) -> int:
     if args.feed_path:
         source = feeds.file_stream(spark, args.feed_path, args.max_files_per_trigger)
     else:
-        source = feeds.kafka_stream(spark, args.kafka_bootstrap, args.topic)
+        source = feeds.kafka_stream(
+            spark,
+            args.kafka_bootstrap,
+            args.topic,
+            max_offsets_per_trigger=args.max_offsets_per_trigger,
+            min_partitions=args.min_partitions,
+        )
     query = start_ingest(
         source, args.table_path, mode=args.mode, checkpoint=args.checkpoint, exact_decimal=args.exact_decimal
     )
