@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from .. import schemas
+from ..session import shared_dir
 from ..sources.tables import read_silver, silver_exists
 from .state import KEY, current_state
 
@@ -172,8 +173,10 @@ def replay_invariance(silver: DataFrame, replay: DataFrame, key: str = KEY) -> D
     gold both ways (both 0 when replay is harmless).
     """
     grown = silver.unionByName(replay)
-    gold_before = current_state(silver, key)
-    gold_after = current_state(grown, key)
+    # Each gold (one row per key) is used three times: materialise it once.
+    shared_dir(silver.sparkSession)
+    gold_before = current_state(silver, key).checkpoint(eager=True)
+    gold_after = current_state(grown, key).checkpoint(eager=True)
     return counts_row(
         silver_rows_before=silver,
         silver_rows_after=grown,
