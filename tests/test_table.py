@@ -36,3 +36,16 @@ def test_change_table_end_to_end(spark, workdir):
     assert row["silver_table_exists"] and row["silver_count"] > 0
     t.snapshot()
     assert _same(t.gold_incremental(), state.current_state(t.silver().where(F.col("kafka_event_offset") >= 0)))
+
+
+def test_change_table_exact_decimal(spark, workdir):
+    t = ChangeTable(spark, os.path.join(workdir, "accounting_dec"), exact_decimal=True)
+    feed_dir = os.path.join(workdir, "feed")
+    feeds.fixture_feed(spark, SF_SMALL).write.parquet(feed_dir)
+    t.ingest_available(feeds.file_stream(spark, feed_dir))
+    gold = t.gold()
+    assert dict(gold.dtypes)["current_balance"] == "decimal(14,2)"
+    assert gold.count() == 148
+    assert t.counts().first()["gold_count"] == 148
+    t.snapshot()
+    assert _same(t.gold_incremental(), gold)

@@ -101,8 +101,8 @@ def pipeline_counts(silver: DataFrame | None) -> DataFrame:
     return counts.select(F.lit(True).alias("silver_table_exists"), "silver_count", "gold_count")
 
 
-def pipeline_counts_at(spark: SparkSession, path: str) -> DataFrame:
-    return pipeline_counts(read_silver(spark, path) if silver_exists(spark, path) else None)
+def pipeline_counts_at(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFrame:
+    return pipeline_counts(read_silver(spark, path, schema) if silver_exists(spark, path) else None)
 
 
 def silver_vs_gold(silver: DataFrame, key: str = KEY) -> dict[str, DataFrame]:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from . import schemas
 from .operators import audit, maintenance, snapshot, state
 from .sources import tables
 from .streaming import ingest as streaming
@@ -43,10 +44,14 @@ class ChangeTable:
         streaming.ingest_batch(feed, self.backfill_path, exact_decimal=self.exact_decimal)
 
     # --- reads ----------------------------------------------------------------
+    @property
+    def schema(self):
+        return schemas.silver(schemas.BALANCE_DECIMAL) if self.exact_decimal else schemas.SILVER
+
     def silver(self) -> DataFrame:
         """Every change ever ingested (stream sink ∪ backfills)."""
-        stream = tables.read_silver(self.spark, self.silver_path)
-        backfill = tables.read_silver(self.spark, self.backfill_path)
+        stream = tables.read_silver(self.spark, self.silver_path, self.schema)
+        backfill = tables.read_silver(self.spark, self.backfill_path, self.schema)
         return stream.unionByName(backfill)
 
     def visible(self) -> DataFrame:
@@ -66,11 +71,11 @@ class ChangeTable:
         return maintenance.recent_history(self.spark, self.silver_path, n)
 
     def counts(self) -> DataFrame:
-        return audit.pipeline_counts_at(self.spark, self.silver_path)
+        return audit.pipeline_counts_at(self.spark, self.silver_path, self.schema)
 
     # --- incremental state (stream sink only: snapshots track its files) --------
     def snapshot(self) -> dict:
-        return snapshot.write_snapshot(self.spark, self.silver_path)
+        return snapshot.write_snapshot(self.spark, self.silver_path, self.schema)
 
     def gold_incremental(self) -> DataFrame:
-        return snapshot.current_state_incremental(self.spark, self.silver_path)
+        return snapshot.current_state_incremental(self.spark, self.silver_path, self.schema)
