@@ -158,3 +158,8 @@ def test_prefix_scan_null_key_group_and_sums(spark):
         assert r["lb"] == (prior[-1] if prior else None)
         assert r["lu"] == (upto[-1] if upto else None)
         assert r["rs"] == sum(upto)
+
+
+def test_action_must_match_exactly(spark):
+    got = judged(spark, [(0, "INSERT", 1, 1.0, None), (1, "upsert", 1, 1.0, None), (2, "insert", None, 1.0, None)])
+    assert [r["reason"] for r in got] == ["unsupported action", "unsupported action", "account_id required"]

@@ -65,7 +65,7 @@ def judge_mutations(
 ) -> DataFrame:
     """Every request with its verdict: ``reason`` NULL when applied, with ``op``,
     ``current_balance`` and ``currency`` of the resulting change (NULL for deletes)."""
-    action = F.lower(F.col("action"))
+    action = F.col("action")  # exact match, as the request model requires
     has_balance = F.col("balance").isNotNull()
     reqs = requests.select(
         F.col("seq").cast("long").alias("seq"),
@@ -151,7 +151,7 @@ def delta_fold(
     deltas since then. With P = running sum of applied deltas, that is
     ``last(base - P at the base row) + P(i)``: two associative scans.
     """
-    act = F.lower(F.col("action"))
+    act = F.col("action")
     reqs = requests.select(
         F.col("seq").cast("long").alias("seq"),
         act.alias("action"),
@@ -215,6 +215,6 @@ def insert_if_absent(requests: DataFrame, existing: DataFrame, key: str = KEY) -
     keys already present are removed with an anti join.
     """
     w = Window.partitionBy(key).orderBy(F.col("seq").asc())
-    inserts = requests.where((F.lower(F.col("action")) == INSERT) & F.col(key).isNotNull())
+    inserts = requests.where((F.col("action") == INSERT) & F.col(key).isNotNull())
     first = inserts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     return first.join(existing.select(key), key, "left_anti")
