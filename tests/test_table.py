@@ -49,3 +49,20 @@ def test_change_table_exact_decimal(spark, workdir):
     assert t.counts().first()["gold_count"] == 148
     t.snapshot()
     assert _same(t.gold_incremental(), gold)
+
+
+def test_jobs_cli(spark, workdir, capsys):
+    from tidemark import jobs
+
+    root = os.path.join(workdir, "cli")
+    feed_dir = os.path.join(workdir, "feed")
+    feeds.fixture_feed(spark, SF_SMALL).write.parquet(feed_dir)
+    assert jobs.main(["ingest", "--root", root, "--feed-path", feed_dir, "--mode", "once"]) == 0
+    assert jobs.main(["gold", "--root", root]) == 0
+    assert jobs.main(["compact", "--root", root]) == 0
+    assert jobs.main(["report", "--root", root]) == 0
+    assert jobs.main(["snapshot", "--root", root]) == 0
+    out = capsys.readouterr().out
+    assert "1251 visible rows -> 155 remain visible" in out
+    assert "Total raw events currently in silver: 155" in out
+    spark.sparkContext.setLogLevel("ERROR")
