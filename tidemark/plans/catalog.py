@@ -148,8 +148,9 @@ def replay_invariance(spark, sf_dir):
 
 
 def source_table(spark, sf_dir):
-    """Source table after all changes in commit order."""
-    return tables.source_snapshot(tables.source_from_changes(feed.fixture_changes(spark, sf_dir)))
+    """Source table after all changes in commit order (S7); times shown as UTC wall clock."""
+    snap = tables.source_snapshot(tables.source_from_changes(feed.fixture_changes(spark, sf_dir)))
+    return snap.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("transaction_timestamp", "updated_at")})
 
 
 def source_reconcile(spark, sf_dir):
