@@ -5,7 +5,6 @@ import random
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import mutations

@@ -114,9 +114,6 @@ def silver_vs_gold(silver: DataFrame, key: str = KEY) -> dict[str, DataFrame]:
     }
 
 
-RECONCILE_VALUES = ("current_balance", "currency", "transaction_timestamp")
-
-
 def reconcile(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
     """Per-key comparison of the source table with gold.
 
