@@ -160,9 +160,11 @@ def test_null_in_winner_not_backfilled(spark):
 
 
 def test_null_key_is_one_gold_row(spark):
-    recs = [("{bad", 1), ("{bad", 2), (None, 3)]
-    g = state.current_state(silver_of(spark, recs)).collect()
-    assert len(g) == 1 and g[0]["account_id"] is None
+    recs = [("{bad", 1), ("{bad", 2), (None, 3), (env("c", 1, 1, 1.0), 4)]
+    gold = state.current_state(silver_of(spark, recs))
+    g = state.lookup(gold, None).collect()
+    assert len(g) == 1 and g[0]["account_id"] is None and g[0]["operation_type"] == "UNKNOWN"
+    assert state.lookup(gold, 1).count() == 1
 
 
 def test_tie_on_lsn_and_offset_broken_by_partition(spark):

@@ -61,7 +61,12 @@ def current_state(
 
 
 def lookup(gold: DataFrame, key_value, key: str = KEY) -> DataFrame:
-    """Point lookup; the key predicate is pushed through the window to the scan."""
+    """Point lookup; the key predicate is pushed through the window to the scan.
+
+    ``None`` finds the NULL-key group (junk records), as ``IS NULL``.
+    """
+    if key_value is None:
+        return gold.where(F.col(key).isNull())
     return gold.where(F.col(key) == F.lit(key_value))
 
 
