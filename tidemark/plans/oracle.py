@@ -160,7 +160,7 @@ ORACLE = {
     ),
     "surrogate_key_stats": _with(
         """
-        SELECT SUM(copies) AS total_rows, COUNT(*) AS distinct_keys,
+        SELECT CAST(SUM(copies) AS BIGINT) AS total_rows, COUNT(*) AS distinct_keys,
                COUNT(*) FILTER (WHERE copies > 1) AS duplicated_keys, MAX(copies) AS max_copies
         FROM (SELECT key_text, COUNT(*) AS copies FROM silver GROUP BY key_text) k"""
     ),
