@@ -52,6 +52,20 @@ def test_restart_from_checkpoint_processes_only_new_files(spark, workdir):
     assert rows.select("kafka_partition", "kafka_event_offset").distinct().count() == 1251
 
 
+def test_new_checkpoint_over_old_sink_is_refused(spark, workdir):
+    import pytest
+
+    feed_dir = os.path.join(workdir, "feed")
+    silver = os.path.join(workdir, "silver")
+    feeds.fixture_feed(spark, SF_SMALL).write.parquet(feed_dir)
+    streaming.ingest_available(feeds.file_stream(spark, feed_dir), silver)
+    with pytest.raises(ValueError, match="streaming sink log"):
+        streaming.start_ingest(feeds.file_stream(spark, feed_dir), silver, checkpoint=os.path.join(workdir, "other_ckpt"))
+    # the paired checkpoint restarts fine and adds nothing new
+    streaming.ingest_available(feeds.file_stream(spark, feed_dir), silver)
+    assert read_silver(spark, silver).count() == 1251
+
+
 def test_processing_time_trigger(spark, workdir):
     feed_dir = os.path.join(workdir, "feed")
     _write_feed_parts(spark, feed_dir, 2)

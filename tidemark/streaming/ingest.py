@@ -26,6 +26,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from ..operators.ingest import to_silver
 from ..sources import feed as feeds
@@ -39,6 +40,14 @@ def checkpoint_path(table_path: str) -> str:
     return table_path.rstrip("/") + CHECKPOINT_SUFFIX
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def start_ingest(
     source: DataFrame,
     table_path: str,
@@ -47,14 +56,31 @@ def start_ingest(
     interval: str = DEFAULT_INTERVAL,
     exact_decimal: bool = False,
     query_name: str | None = None,
+    allow_new_checkpoint: bool = False,
 ) -> StreamingQuery:
-    """Start the feed -> silver query; returns the running query."""
+    """Start the feed -> silver query; returns the running query.
+
+    Refuses a *new* checkpoint over a sink that another checkpoint already wrote:
+    the sink would silently skip the batch ids its log holds (rows lost without an
+    error). Replays go through new feed files, not a checkpoint reset.
+    """
     if not source.isStreaming:
         raise ValueError("start_ingest needs a streaming source (readStream)")
+    spark = source.sparkSession
+    checkpoint = checkpoint or checkpoint_path(table_path)
+    if (
+        not allow_new_checkpoint
+        and _exists(spark, table_path.rstrip("/") + "/_spark_metadata")
+        and not _exists(spark, checkpoint)
+    ):
+        raise ValueError(
+            f"{table_path} already holds a streaming sink log but checkpoint {checkpoint} is new; "
+            "reset both together or keep the original checkpoint"
+        )
     events = to_silver(source, exact_decimal=exact_decimal)
     writer = (
         events.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint or checkpoint_path(table_path))
+        .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .partitionBy("event_month")
     )
