@@ -9,7 +9,7 @@ of ``chunk_span`` consecutive ``seq`` values, and the scan runs in two levels:
 
 1. inside each ``(key, chunk)`` group, an ordinary running window;
 2. the last row of each hot group is its summary; a window over the summaries of
-   one key (``rows / chunk_span`` rows at most) gives the carry from earlier chunks;
+   one key (at most ``seq range / chunk_span`` rows) gives the carry from earlier chunks;
 3. the carry is joined back on ``(key, chunk)`` and combined with the local value.
 
 Other keys form one group each (at most ``hot_rows`` rows) and need no carry.
@@ -17,20 +17,18 @@ Both supported scans are associative, so the result is exact, not approximate:
 ``last non-NULL value`` (strictly before or up to the row) and ``running sum``.
 ``seq`` must be unique within a key.
 
-Partitioning: the hot-key list is found with a partial aggregate and is at most
-``rows / hot_rows`` keys; it is broadcast only when its measured count is under
-``MAX_BROADCAST_KEYS`` (else a shuffled join). Step 1 hash-partitions rows by
-(key-is-NULL flag, key, chunk); the join back uses the same columns, so the row
-side is shuffled once and later scans over the same frame reuse that partitioning.
-Only the hot summaries move again.
+Partitioning: one partial aggregate finds the hot keys (at most ``rows / hot_rows``)
+and bounds the number of hot ``(key, chunk)`` groups. The hot-key list is broadcast
+only when its measured count is under ``MAX_BROADCAST_KEYS`` (else a shuffled join).
+Rows are hash-partitioned by (key-is-NULL flag, key, chunk) for the window: one
+shuffle of the rows per scan. The carry (one row per hot group, bounded by the
+aggregate) is broadcast back under the same cap, else joined with a shuffle.
 
 Lineage: when hot keys exist, the locally scanned rows feed both the summaries and
 the join back, so they are written once with a reliable ``checkpoint()`` into the
 shared folder (``spark.checkpoint.dir``) instead of being computed twice. Chained
 scans thus stay linear in cost and survive the loss of executors without
-recomputing their inputs. (Under AQE a checkpoint does not report its hash
-partitioning, so the carry, whose size is bounded by the hot-key aggregate, is
-broadcast rather than shuffling rows.) Without hot keys a scan is one window.
+recomputing their inputs. Without hot keys a scan is one window and nothing more.
 """
 
 from __future__ import annotations
