@@ -162,3 +162,11 @@ def test_prefix_scan_null_key_group_and_sums(spark):
 def test_action_must_match_exactly(spark):
     got = judged(spark, [(0, "INSERT", 1, 1.0, None), (1, "upsert", 1, 1.0, None), (2, "insert", None, 1.0, None)])
     assert [r["reason"] for r in got] == ["unsupported action", "unsupported action", "account_id required"]
+
+
+def test_requests_need_a_position(spark):
+    rows = [(None, "insert", 1, 1.0, None), (-3, "insert", 1, 1.0, None), (0, "update", 1, 2.0, None)]
+    got = mutations.judge_mutations(reqs(spark, rows), gold(spark)).collect()
+    reasons = {r["seq"]: r["reason"] for r in got}
+    assert reasons[None] == "seq required" and reasons[-3] == "seq required"
+    assert reasons[0] == "not found"  # the unplaced inserts did not create the account

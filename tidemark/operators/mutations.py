@@ -34,6 +34,7 @@ REASON_BALANCE = "balance required"
 REASON_NOT_FOUND = "not found"
 REASON_ACTION = "unsupported action"
 REASON_KEY = "account_id required"
+REASON_SEQ = "seq required"  # position must be >= 0 (the current state sits at -1)
 SEED = "seed"  # action of the virtual row carrying current state
 
 EXACT = "decimal(20,2)"  # exact money arithmetic for folds
@@ -89,19 +90,24 @@ def judge_mutations(
         F.lit(True).alias("_flag"),
         F.col("currency").alias("_icur"),
     )
+    positioned = F.col("seq").isNotNull() & (F.col("seq") >= 0)
     scanned = prefix_scan(
-        req_rows.unionByName(seed),
+        req_rows.where(positioned).unionByName(seed),
         key,
         "seq",
         last_before={"_exists": "_flag", "_cur": "_icur"},
         chunk_span=chunk_span,
         hot_rows=hot_rows,
     )
-    rows = drop_scan_partitioning(scanned).where(F.col("action") != SEED)
+    unplaced = req_rows.where(~positioned | F.col("seq").isNull()).select(
+        "*", F.lit(None).cast("boolean").alias("_exists"), F.lit(None).cast("string").alias("_cur")
+    )
+    rows = drop_scan_partitioning(scanned).where(F.col("action") != SEED).unionByName(unplaced)
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     act = F.col("action")
     reason = (
-        F.when(F.col(key).isNull(), REASON_KEY)
+        F.when(F.col("seq").isNull() | (F.col("seq") < 0), REASON_SEQ)
+        .when(F.col(key).isNull(), REASON_KEY)
         .when(~act.isin(INSERT, UPDATE, DELETE), REASON_ACTION)
         .when(act.isin(INSERT, UPDATE) & ~has_balance, REASON_BALANCE)
         .when(act.isin(UPDATE, DELETE) & ~exists, REASON_NOT_FOUND)
@@ -143,7 +149,8 @@ def delta_fold(
 ) -> DataFrame:
     """Relative updates folded into balances (M2).
 
-    ``requests``: seq, action, key, amount (base for insert, delta for update).
+    ``requests``: seq (>= 0), action, key, amount (base for insert, delta for update);
+    requests without a valid position are not applied.
     Returns the applied requests with the balance after each (NULL for deletes),
     computed exactly in DECIMAL and returned as double.
 
@@ -168,7 +175,15 @@ def delta_fold(
         F.col("current_balance").cast(EXACT).alias("amount"),
         F.lit(True).alias("_flag"),
     )
-    s1 = prefix_scan(req_rows.unionByName(seed), key, "seq", last_before={"_exists": "_flag"}, chunk_span=chunk_span, hot_rows=hot_rows)
+    positioned = F.col("seq").isNotNull() & (F.col("seq") >= 0)
+    s1 = prefix_scan(
+        req_rows.where(positioned).unionByName(seed),
+        key,
+        "seq",
+        last_before={"_exists": "_flag"},
+        chunk_span=chunk_span,
+        hot_rows=hot_rows,
+    )
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     a = F.col("action")
     s1 = s1.select(
