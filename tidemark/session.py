@@ -57,12 +57,11 @@ def shared_dir(spark: SparkSession) -> str:
     neither is set -- local runs and tests -- a fresh folder is created and registered.
     """
     sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if found:
-        return found.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tidemark-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        # Register the configured folder for checkpoint(); invent one only when unset.
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-"))
+    return (configured or sc.getCheckpointDir()).rstrip("/")
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:
