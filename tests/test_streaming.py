@@ -66,6 +66,17 @@ def test_new_checkpoint_over_old_sink_is_refused(spark, workdir):
     assert read_silver(spark, silver).count() == 1251
 
 
+def test_batch_append_into_stream_sink_is_refused(spark, workdir):
+    import pytest
+
+    feed_dir = os.path.join(workdir, "feed")
+    silver = os.path.join(workdir, "silver")
+    feeds.fixture_feed(spark, SF_SMALL).write.parquet(feed_dir)
+    streaming.ingest_available(feeds.file_stream(spark, feed_dir), silver)
+    with pytest.raises(ValueError, match="streaming sink"):
+        streaming.ingest_batch(feeds.file_batch(spark, feed_dir), silver)
+
+
 def test_processing_time_trigger(spark, workdir):
     feed_dir = os.path.join(workdir, "feed")
     _write_feed_parts(spark, feed_dir, 2)

@@ -111,6 +111,9 @@ def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False)
     by month anyway), so Parquet row-group statistics on ``account_id`` are narrow and
     a pushed-down key lookup can skip row groups.
     """
+    if _exists(feed.sparkSession, table_path.rstrip("/") + "/_spark_metadata"):
+        # Readers of a streaming sink go through its log: appended files would be invisible.
+        raise ValueError(f"{table_path} is a streaming sink; backfill into a sibling table and union")
     rows = to_silver(feed, exact_decimal=exact_decimal).sortWithinPartitions("event_month", "account_id")
     rows.write.mode("append").partitionBy("event_month").parquet(table_path)
 
