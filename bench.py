@@ -1,7 +1,7 @@
 """Benchmark of the headline operators; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPLICAS (default "10": extra runs on the feed redelivered N times; "" to skip).
+BENCH_REPLICAS (default "10,100": extra runs on the feed redelivered N times; "" to skip).
 
 Every timed step runs a full action: writes, or a ``noop`` write that executes the
 whole plan without collecting rows to the driver. Inputs are materialised first
@@ -153,7 +153,7 @@ def change_latency(spark, root: str, feed_dir: str, q: dict) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    replicas = [int(x) for x in os.environ.get("BENCH_REPLICAS", "10").split(",") if x.strip()]
+    replicas = [int(x) for x in os.environ.get("BENCH_REPLICAS", "10,100").split(",") if x.strip()]
     log_dir = tempfile.mkdtemp(prefix="tidemark-eventlog-")
     spark = build_session(
         "tidemark-bench",
