@@ -159,6 +159,13 @@ def source_reconcile(spark, sf_dir):
     return audit.reconcile_summary(source, gold)
 
 
+def source_reconcile_rows(spark, sf_dir):
+    """Per-account reconciliation status (D2), with both sides' balances."""
+    source = tables.source_from_changes(feed.fixture_changes(spark, sf_dir))
+    gold = state.current_state(fixture_silver(spark, sf_dir))
+    return audit.reconcile(source, gold).select("account_id", "status", "source_balance", "gold_balance")
+
+
 def pipeline_counts(spark, sf_dir):
     return audit.pipeline_counts(fixture_silver(spark, sf_dir))
 
@@ -333,6 +340,7 @@ QUERIES = {
     "replay_invariance": replay_invariance,
     "source_table": source_table,
     "source_reconcile": source_reconcile,
+    "source_reconcile_rows": source_reconcile_rows,
     "pipeline_counts": pipeline_counts,
     "gold_decimal": gold_decimal,
     "stream_vs_batch": stream_vs_batch,
