@@ -26,37 +26,38 @@ def to_silver(
     feed: DataFrame,
     ingested_at: Column | None = None,
     exact_decimal: bool = False,
+    spec: schemas.TableSpec | None = None,
 ) -> DataFrame:
-    """Parse, type and key change envelopes into the 14 silver columns.
+    """Parse, type and key change envelopes into silver rows.
 
     * permissive ``from_json``: malformed, NULL or empty payloads still give a row
       (parsed fields NULL, op UNKNOWN, raw kept); a wrong-typed field is NULL alone;
     * the business key comes from ``after``, else ``before`` (deletes);
-      balance, currency and event time come from ``after`` only;
+      payload columns and event time come from ``after`` only;
     * ``ingested_at`` defaults to ``current_timestamp()`` (one value per
       micro-batch); batch tests may pass a literal to make delete months stable;
-    * ``exact_decimal`` reads balances as DECIMAL(14,2) (text or number; overflow -> NULL).
+    * ``spec`` describes the captured table (default: the account table, 14 silver
+      columns); ``exact_decimal`` selects its DECIMAL(14,2) balance variant.
 
-    No shuffle: this is a projection, so it runs inside one codegen stage per partition.
+    No shuffle: this is a projection, so it runs inside one stage per partition.
     """
-    env_schema = schemas.ENVELOPE_DECIMAL if exact_decimal else schemas.ENVELOPE
+    spec = spec or (schemas.ACCOUNTS_EXACT if exact_decimal else schemas.ACCOUNTS)
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
-    event = F.from_json(F.col("raw_json"), env_schema)
+    event = F.from_json(F.col("raw_json"), spec.envelope())
     parsed = normalise_feed(feed).withColumn("event", event).select(
         "raw_json",
         "kafka_event_offset",
         "kafka_partition",
         "kafka_timestamp",
         F.col("event.op").alias("operation_code"),
-        F.coalesce(F.col("event.after.account_id"), F.col("event.before.account_id")).alias("account_id"),
-        F.col("event.after.current_balance").alias("current_balance"),
-        F.col("event.after.currency").alias("currency"),
-        F.col("event.after.transaction_timestamp").alias("transaction_timestamp"),
+        F.coalesce(F.col(f"event.after.{spec.key}"), F.col(f"event.before.{spec.key}")).alias(spec.key),
+        *[F.col(f"event.after.{c}").alias(c) for c in spec.payload_columns],
+        F.col(f"event.after.{spec.event_time}").alias(spec.event_time),
         F.col("event.source.lsn").alias("source_commit_lsn"),
     )
     return parsed.select(
         *parsed.columns,
         operation_type(F.col("operation_code")).alias("operation_type"),
-        surrogate_key(F.col("account_id"), F.col("source_commit_lsn")).alias("surrogate_key"),
+        surrogate_key(F.col(spec.key), F.col("source_commit_lsn")).alias("surrogate_key"),
         stamp.cast("timestamp").alias("ingested_at"),
-    ).withColumn("event_month", month_bucket(F.col("transaction_timestamp"), F.col("ingested_at")))
+    ).withColumn("event_month", month_bucket(F.col(spec.event_time), F.col("ingested_at")))

@@ -24,8 +24,13 @@ from ..sources.tables import empty, read_silver
 from .state import KEY, ORDER, current_state, latest_changes
 
 SNAPSHOT_DIR = "_state"
-# Columns a snapshot keeps: gold's columns plus the ordering columns.
-SNAPSHOT_COLUMNS = list(dict.fromkeys(schemas.GOLD_COLUMNS + list(ORDER)))
+
+
+def snapshot_columns(schema) -> list[str]:
+    """Columns a snapshot keeps: gold's columns plus the ordering columns."""
+    skip = set(schemas.DELIVERY_COLUMNS) | set(schemas.INGEST_COLUMNS)
+    gold = ["surrogate_key", *[f.name for f in schema.fields if f.name not in skip | {"surrogate_key"}]]
+    return list(dict.fromkeys(gold + list(ORDER)))
 
 
 def snapshot_path(table_path: str) -> str:
@@ -59,13 +64,14 @@ def _new_rows(spark: SparkSession, table_path: str, silver: DataFrame, covered:
 
 def _state_inputs(spark: SparkSession, table_path: str, schema) -> tuple[DataFrame, list[str], int | None]:
     """(rows to rank, files they cover, base version)."""
+    cols = snapshot_columns(schema)
     silver = read_silver(spark, table_path, schema)
     files = silver.inputFiles()
     version = latest_version(spark, table_path)
     if version is None:
-        return silver.select(*SNAPSHOT_COLUMNS), files, None
+        return silver.select(*cols), files, None
     covered = _covered_files(spark, table_path, version)
-    delta = _new_rows(spark, table_path, silver, covered, schema).select(*SNAPSHOT_COLUMNS)
+    delta = _new_rows(spark, table_path, silver, covered, schema).select(*cols)
     return _snapshot_rows(spark, table_path, version).unionByName(delta), files, version
 
 
@@ -73,7 +79,7 @@ def write_snapshot(spark: SparkSession, table_path: str, schema=schemas.SILVER,
     """Write the next state snapshot (newest change per key, tombstones kept)."""
     rows, files, base = _state_inputs(spark, table_path, schema)
     version = 0 if base is None else base + 1
-    latest = latest_changes(rows, key).select(*SNAPSHOT_COLUMNS, F.lit(version).cast("long").alias("version"))
+    latest = latest_changes(rows, key).select(*snapshot_columns(schema), F.lit(version).cast("long").alias("version"))
     latest.write.mode("append").partitionBy("version").parquet(snapshot_path(table_path) + "/rows")
     # The file list is written after the rows: a reader only trusts a version once
     # its file list exists, so a failed run leaves no half-visible snapshot.

@@ -6,7 +6,10 @@ these ``StructType`` values, so a malformed record can never change a schema.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql.types import (
+    DataType,
     DecimalType,
     DoubleType,
     IntegerType,
@@ -21,20 +24,6 @@ from pyspark.sql.types import (
 # Exact type of the source table's balance column (NUMERIC(14,2)).
 BALANCE_DECIMAL = DecimalType(14, 2)
 
-
-def row_image(balance_type=DoubleType()) -> StructType:
-    """One row image (``before`` / ``after``) of the captured table."""
-    return StructType(
-        [
-            StructField("account_id", LongType()),
-            StructField("current_balance", balance_type),
-            StructField("currency", StringType()),
-            StructField("transaction_timestamp", StringType()),
-            StructField("updated_at", StringType()),
-        ]
-    )
-
-
 SOURCE_INFO = StructType(
     [
         StructField("lsn", LongType()),
@@ -42,25 +31,93 @@ SOURCE_INFO = StructType(
     ]
 )
 
+# Silver columns that describe the delivery, not the captured row.
+DELIVERY_COLUMNS = ("raw_json", "kafka_event_offset", "kafka_partition", "kafka_timestamp", "operation_code")
+INGEST_COLUMNS = ("ingested_at", "event_month")
+
+
+@dataclass(frozen=True)
+class TableSpec:
+    """Shape of one captured table: business key, payload columns taken from the
+    ``after`` image, the event-time column (text, as the connector sends it), and
+    image fields that are parsed but never projected."""
+
+    key: str = "account_id"
+    key_type: DataType = LongType()
+    payload: tuple = (("current_balance", DoubleType()), ("currency", StringType()))
+    event_time: str = "transaction_timestamp"
+    unused: tuple = ("updated_at",)
+
+    def with_type(self, column: str, data_type: DataType) -> "TableSpec":
+        payload = tuple((c, data_type if c == column else t) for c, t in self.payload)
+        return replace(self, payload=payload)
+
+    @property
+    def payload_columns(self) -> list[str]:
+        return [c for c, _ in self.payload]
+
+    def image(self) -> StructType:
+        """One row image (``before`` / ``after``) of the captured table."""
+        fields = [StructField(self.key, self.key_type)]
+        fields += [StructField(c, t) for c, t in self.payload]
+        fields += [StructField(self.event_time, StringType())]
+        fields += [StructField(c, StringType()) for c in self.unused]
+        return StructType(fields)
+
+    def envelope(self) -> StructType:
+        """Change envelope carried in the feed record's ``value``."""
+        image = self.image()
+        return StructType(
+            [
+                StructField("before", image),
+                StructField("after", image),
+                StructField("source", SOURCE_INFO),
+                StructField("op", StringType()),
+                StructField("ts_ms", LongType()),
+            ]
+        )
+
+    def silver(self) -> StructType:
+        """Append-only event table, in write order."""
+        return StructType(
+            [
+                StructField("raw_json", StringType()),
+                StructField("kafka_event_offset", LongType()),
+                StructField("kafka_partition", IntegerType()),
+                StructField("kafka_timestamp", TimestampType()),
+                StructField("operation_code", StringType()),
+                StructField(self.key, self.key_type),
+                *[StructField(c, t) for c, t in self.payload],
+                StructField(self.event_time, StringType()),
+                StructField("source_commit_lsn", LongType()),
+                StructField("operation_type", StringType()),
+                StructField("surrogate_key", LongType(), nullable=False),
+                StructField("ingested_at", TimestampType()),
+                StructField("event_month", StringType()),
+            ]
+        )
+
+    def gold_columns(self) -> list[str]:
+        return ["surrogate_key", self.key, *self.payload_columns, self.event_time, "source_commit_lsn", "operation_type"]
+
+
+# The captured account table; balances arrive as JSON doubles (the connector
+# flattens NUMERIC), or exactly as DECIMAL(14,2) ("1250.75" and 1250.75 both parse,
+# overflow -> NULL).
+ACCOUNTS = TableSpec()
+ACCOUNTS_EXACT = ACCOUNTS.with_type("current_balance", BALANCE_DECIMAL)
+
+
+def row_image(balance_type=DoubleType()) -> StructType:
+    return ACCOUNTS.with_type("current_balance", balance_type).image()
+
 
 def envelope(balance_type=DoubleType()) -> StructType:
-    """Change envelope carried in the feed record's ``value``."""
-    image = row_image(balance_type)
-    return StructType(
-        [
-            StructField("before", image),
-            StructField("after", image),
-            StructField("source", SOURCE_INFO),
-            StructField("op", StringType()),
-            StructField("ts_ms", LongType()),
-        ]
-    )
-
-
-# Balances arrive as JSON doubles (the capture connector flattens NUMERIC).
-ENVELOPE = envelope(DoubleType())
-# Exact-decimal variant: accepts both "1250.75" and 1250.75, overflow -> NULL.
-ENVELOPE_DECIMAL = envelope(BALANCE_DECIMAL)
+    return ACCOUNTS.with_type("current_balance", balance_type).envelope()
+
+
+ENVELOPE = ACCOUNTS.envelope()
+ENVELOPE_DECIMAL = ACCOUNTS_EXACT.envelope()
 
 # One record of the durable, ordered change log (same shape as a Kafka row,
 # minus the columns the ingest never reads).
@@ -75,40 +132,15 @@ FEED = StructType(
 
 
 def silver(balance_type=DoubleType()) -> StructType:
-    """Append-only event table, in write order (14 columns)."""
-    return StructType(
-        [
-            StructField("raw_json", StringType()),
-            StructField("kafka_event_offset", LongType()),
-            StructField("kafka_partition", IntegerType()),
-            StructField("kafka_timestamp", TimestampType()),
-            StructField("operation_code", StringType()),
-            StructField("account_id", LongType()),
-            StructField("current_balance", balance_type),
-            StructField("currency", StringType()),
-            StructField("transaction_timestamp", StringType()),
-            StructField("source_commit_lsn", LongType()),
-            StructField("operation_type", StringType()),
-            StructField("surrogate_key", LongType(), nullable=False),
-            StructField("ingested_at", TimestampType()),
-            StructField("event_month", StringType()),
-        ]
-    )
+    """Account silver (14 columns, write order)."""
+    return ACCOUNTS.with_type("current_balance", balance_type).silver()
 
 
 SILVER = silver()
 SILVER_COLUMNS = [f.name for f in SILVER.fields]
 
 # Gold: one current row per business key, in presentation order.
-GOLD_COLUMNS = [
-    "surrogate_key",
-    "account_id",
-    "current_balance",
-    "currency",
-    "transaction_timestamp",
-    "source_commit_lsn",
-    "operation_type",
-]
+GOLD_COLUMNS = ACCOUNTS.gold_columns()
 
 # Silver preview as shown next to gold.
 PREVIEW_COLUMNS = [

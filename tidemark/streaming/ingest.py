@@ -57,6 +57,7 @@ def start_ingest(
     exact_decimal: bool = False,
     query_name: str | None = None,
     allow_new_checkpoint: bool = False,
+    spec=None,
 ) -> StreamingQuery:
     """Start the feed -> silver query; returns the running query.
 
@@ -77,7 +78,7 @@ def start_ingest(
             f"{table_path} already holds a streaming sink log but checkpoint {checkpoint} is new; "
             "reset both together or keep the original checkpoint"
         )
-    events = to_silver(source, exact_decimal=exact_decimal)
+    events = to_silver(source, exact_decimal=exact_decimal, spec=spec)
     writer = (
         events.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -104,7 +105,7 @@ def ingest_available(source: DataFrame, table_path: str, **kwargs) -> StreamingQ
     return query
 
 
-def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False) -> None:
+def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False, spec=None) -> None:
     """Backfill a static feed into a *batch* silver directory (not a streaming sink's).
 
     Rows are sorted by key inside each task (no shuffle; the partitioned writer sorts
@@ -114,7 +115,9 @@ def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False)
     if _exists(feed.sparkSession, table_path.rstrip("/") + "/_spark_metadata"):
         # Readers of a streaming sink go through its log: appended files would be invisible.
         raise ValueError(f"{table_path} is a streaming sink; backfill into a sibling table and union")
-    rows = to_silver(feed, exact_decimal=exact_decimal).sortWithinPartitions("event_month", "account_id")
+    parsed = to_silver(feed, exact_decimal=exact_decimal, spec=spec)
+    key = (spec.key if spec is not None else "account_id")
+    rows = parsed.sortWithinPartitions("event_month", key)
     rows.write.mode("append").partitionBy("event_month").parquet(table_path)
 
 

@@ -23,6 +23,11 @@ class ChangeTable:
     spark: SparkSession
     root: str
     exact_decimal: bool = False
+    spec: schemas.TableSpec | None = None  # the captured table (default: accounts)
+
+    def __post_init__(self):
+        if self.spec is None:
+            self.spec = schemas.ACCOUNTS_EXACT if self.exact_decimal else schemas.ACCOUNTS
 
     @property
     def silver_path(self) -> str:
@@ -35,18 +40,18 @@ class ChangeTable:
 
     # --- ingest ---------------------------------------------------------------
     def start_ingest(self, source: DataFrame, mode: str = "stream", **kwargs) -> StreamingQuery:
-        return streaming.start_ingest(source, self.silver_path, mode=mode, exact_decimal=self.exact_decimal, **kwargs)
+        return streaming.start_ingest(source, self.silver_path, mode=mode, spec=self.spec, **kwargs)
 
     def ingest_available(self, source: DataFrame, **kwargs) -> StreamingQuery:
-        return streaming.ingest_available(source, self.silver_path, exact_decimal=self.exact_decimal, **kwargs)
+        return streaming.ingest_available(source, self.silver_path, spec=self.spec, **kwargs)
 
     def backfill(self, feed: DataFrame) -> None:
-        streaming.ingest_batch(feed, self.backfill_path, exact_decimal=self.exact_decimal)
+        streaming.ingest_batch(feed, self.backfill_path, spec=self.spec)
 
     # --- reads ----------------------------------------------------------------
     @property
     def schema(self):
-        return schemas.silver(schemas.BALANCE_DECIMAL) if self.exact_decimal else schemas.SILVER
+        return self.spec.silver()
 
     def silver(self) -> DataFrame:
         """Every change ever ingested (stream sink ∪ backfills)."""
@@ -62,18 +67,18 @@ class ChangeTable:
         never invalidates a key's newest change, and an invalidated row can never become
         one later (winners only move to newer rows), so the result equals gold over the
         visible rows (tested) without paying the join on every read."""
-        return state.current_state(self.silver())
+        return state.current_state(self.silver(), key=self.spec.key)
 
     def register_views(self, silver_view: str = "silver_accounting_cdc_staging", gold_view: str = "gold_accounting_current") -> None:
         """``silver_view`` shows the visible rows; ``gold_view`` is defined in SQL over all of
         silver (same answer, see :meth:`gold`)."""
         all_rows = silver_view + "_all"
-        state.register_views(self.spark, self.silver(), all_rows, gold_view)
+        state.register_views(self.spark, self.silver(), all_rows, gold_view, key=self.spec.key)
         self.visible().createOrReplaceTempView(silver_view)
 
     # --- maintenance ------------------------------------------------------------
     def compact(self) -> dict:
-        return maintenance.compact(self.spark, self.silver(), self.silver_path)
+        return maintenance.compact(self.spark, self.silver(), self.silver_path, key=self.spec.key)
 
     def history(self, n: int = 5) -> DataFrame:
         return maintenance.recent_history(self.spark, self.silver_path, n)
@@ -83,7 +88,7 @@ class ChangeTable:
 
     # --- incremental state (stream sink only: snapshots track its files) --------
     def snapshot(self) -> dict:
-        return snapshot.write_snapshot(self.spark, self.silver_path, self.schema)
+        return snapshot.write_snapshot(self.spark, self.silver_path, self.schema, key=self.spec.key)
 
     def gold_incremental(self) -> DataFrame:
-        return snapshot.current_state_incremental(self.spark, self.silver_path, self.schema)
+        return snapshot.current_state_incremental(self.spark, self.silver_path, self.schema, key=self.spec.key)
