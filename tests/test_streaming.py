@@ -111,6 +111,17 @@ def test_kafka_options_for_backlogs():
     assert opts["maxOffsetsPerTrigger"] == "1000000" and opts["minPartitions"] == "64"
 
 
+def test_kafka_source_without_connector_says_what_to_do(spark):
+    import pytest
+
+    try:
+        feeds.kafka_stream(spark, "localhost:1")
+    except RuntimeError as exc:
+        assert "file_stream" in str(exc)
+    else:  # connector present on this runtime: nothing to check
+        pytest.skip("Kafka connector available")
+
+
 def test_missing_silver_reads_empty(spark, workdir):
     df = read_silver(spark, os.path.join(workdir, "nothing-here"))
     assert df.count() == 0 and len(df.columns) == 14

@@ -46,7 +46,15 @@ def kafka_options(
 
 def kafka_stream(spark: SparkSession, bootstrap: str = KAFKA_BOOTSTRAP, topic: str = KAFKA_TOPIC, **options) -> DataFrame:
     """Streaming DataFrame over the broker topic (requires the Kafka connector jar)."""
-    return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, **options)).load()
+    try:
+        return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, **options)).load()
+    except Exception as exc:  # the provider is resolved at load(); say what to do
+        if "kafka" in str(exc).lower() and ("not found" in str(exc).lower() or "DATA_SOURCE_NOT_FOUND" in str(exc)):
+            raise RuntimeError(
+                "the Kafka source is not on the classpath: start Spark with the "
+                "spark-sql-kafka connector, or read feed records from files with file_stream()"
+            ) from exc
+        raise
 
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
