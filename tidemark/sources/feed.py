@@ -49,7 +49,8 @@ def kafka_stream(spark: SparkSession, bootstrap: str = KAFKA_BOOTSTRAP, topic: s
     try:
         return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, **options)).load()
     except Exception as exc:  # the provider is resolved at load(); say what to do
-        if "kafka" in str(exc).lower() and ("not found" in str(exc).lower() or "DATA_SOURCE_NOT_FOUND" in str(exc)):
+        text = str(exc).lower()
+        if "kafka" in text and ("find data source" in text or "not found" in text or "data_source_not_found" in text):
             raise RuntimeError(
                 "the Kafka source is not on the classpath: start Spark with the "
                 "spark-sql-kafka connector, or read feed records from files with file_stream()"
