@@ -81,11 +81,11 @@ def test_anti_join_not_null_aware(spark, workdir, capsys):
     assert "WindowGroupLimit" in plan
 
 
-def test_pipeline_counts(spark, workdir):
+def test_health_counts(spark, workdir):
     path = _table(spark, workdir)
-    row = audit.pipeline_counts_at(spark, path).first()
+    row = audit.health_counts_at(spark, path).first()
     assert (row["silver_table_exists"], row["silver_count"], row["gold_count"]) == (True, 1251, 148)
-    missing = audit.pipeline_counts_at(spark, os.path.join(workdir, "absent")).first()
+    missing = audit.health_counts_at(spark, os.path.join(workdir, "absent")).first()
     assert (missing["silver_table_exists"], missing["silver_count"], missing["gold_count"]) == (False, None, None)
 
 

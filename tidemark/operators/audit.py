@@ -83,7 +83,7 @@ def key_stats(silver: DataFrame) -> DataFrame:
     )
 
 
-PIPELINE_COUNTS = StructType(
+HEALTH_COUNTS = StructType(
     [
         StructField("silver_table_exists", BooleanType(), False),
         StructField("silver_count", LongType()),
@@ -92,17 +92,17 @@ PIPELINE_COUNTS = StructType(
 )
 
 
-def pipeline_counts(silver: DataFrame | None) -> DataFrame:
+def health_counts(silver: DataFrame | None) -> DataFrame:
     """Health counts (H1): one row; counts are NULL when there is no table."""
     if silver is None:
         spark = SparkSession.getActiveSession()
-        return spark.createDataFrame([(False, None, None)], PIPELINE_COUNTS)
+        return spark.createDataFrame([(False, None, None)], HEALTH_COUNTS)
     counts = counts_row(silver_count=silver, gold_count=current_state(silver))
     return counts.select(F.lit(True).alias("silver_table_exists"), "silver_count", "gold_count")
 
 
-def pipeline_counts_at(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFrame:
-    return pipeline_counts(read_silver(spark, path, schema) if silver_exists(spark, path) else None)
+def health_counts_at(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFrame:
+    return health_counts(read_silver(spark, path, schema) if silver_exists(spark, path) else None)
 
 
 def silver_vs_gold(silver: DataFrame, key: str = KEY) -> dict[str, DataFrame]:

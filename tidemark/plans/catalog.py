@@ -166,8 +166,8 @@ def source_reconcile_rows(spark, sf_dir):
     return audit.reconcile(source, gold).select("account_id", "status", "source_balance", "gold_balance")
 
 
-def pipeline_counts(spark, sf_dir):
-    return audit.pipeline_counts(fixture_silver(spark, sf_dir))
+def health_counts(spark, sf_dir):
+    return audit.health_counts(fixture_silver(spark, sf_dir))
 
 
 def gold_decimal(spark, sf_dir):
@@ -341,7 +341,7 @@ QUERIES = {
     "source_table": source_table,
     "source_reconcile": source_reconcile,
     "source_reconcile_rows": source_reconcile_rows,
-    "pipeline_counts": pipeline_counts,
+    "health_counts": health_counts,
     "gold_decimal": gold_decimal,
     "stream_vs_batch": stream_vs_batch,
     "visible_after_compaction": visible_after_compaction,

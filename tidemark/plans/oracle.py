@@ -279,7 +279,7 @@ ORACLE = {
                       ELSE 'value_diff' END AS status
           FROM src FULL OUTER JOIN g ON src.account_id IS NOT DISTINCT FROM g.account_id"""
     ),
-    "pipeline_counts": _with(
+    "health_counts": _with(
         """
         SELECT TRUE AS silver_table_exists, (SELECT COUNT(*) FROM silver) AS silver_count,
                (SELECT COUNT(*) FROM gold) AS gold_count"""

@@ -84,7 +84,7 @@ class ChangeTable:
         return maintenance.recent_history(self.spark, self.silver_path, n)
 
     def counts(self) -> DataFrame:
-        return audit.pipeline_counts_at(self.spark, self.silver_path, self.schema)
+        return audit.health_counts_at(self.spark, self.silver_path, self.schema)
 
     # --- incremental state (stream sink only: snapshots track its files) --------
     def snapshot(self) -> dict:
