@@ -70,3 +70,27 @@ def test_jobs_cli(spark, workdir, capsys):
     assert "1251 visible rows -> 155 remain visible" in out
     assert "Total raw events currently in silver: 155" in out
     spark.sparkContext.setLogLevel("ERROR")
+
+
+def test_change_table_mutations_use_current_state(spark, workdir):
+    from tidemark import schemas as S
+
+    t = ChangeTable(spark, os.path.join(workdir, "acct"))
+    feed_dir = os.path.join(workdir, "feed")
+    feeds.fixture_feed(spark, SF_SMALL).write.parquet(feed_dir)
+    t.ingest_available(feeds.file_stream(spark, feed_dir))
+    t.snapshot()
+    assert _same(t.current(), t.gold())
+    reqs = spark.createDataFrame(
+        [(0, "update", 42, 7.0, None), (1, "delete", 42, None, None), (2, "update", 42, 8.0, None),
+         (3, "insert", 999999, 1.0, "EUR")],
+        S.REQUEST,
+    )
+    verdicts = {r["seq"]: (r["op"], r["reason"]) for r in t.judge_mutations(reqs).collect()}
+    assert verdicts == {0: ("u", None), 1: ("d", None), 2: (None, "not found"), 3: ("c", None)}
+    # accepted requests become change envelopes on the same feed, like any other change
+    t.mutation_events(reqs, 10_000_000_000, "2024-03-01 00:00:00").write.mode("append").parquet(feed_dir)
+    t.ingest_available(feeds.file_stream(spark, feed_dir))
+    now = {r["account_id"]: (r["current_balance"], r["currency"]) for r in t.current().collect()}
+    assert 42 not in now and now[999999] == (1.0, "EUR")
+    assert _same(t.current(), t.gold())

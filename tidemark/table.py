@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from . import schemas
-from .operators import audit, maintenance, snapshot, state
+from .operators import audit, maintenance, mutations, snapshot, state
 from .sources import tables
 from .streaming import ingest as streaming
 
@@ -92,3 +92,23 @@ class ChangeTable:
 
     def gold_incremental(self) -> DataFrame:
         return snapshot.current_state_incremental(self.spark, self.silver_path, self.schema, key=self.spec.key)
+
+    def current(self) -> DataFrame:
+        """Gold the cheapest exact way: from the newest snapshot plus new files when a
+        snapshot exists (stream sink only, so only without backfills), else in full."""
+        has_backfill = tables.silver_exists(self.spark, self.backfill_path)
+        if not has_backfill and snapshot.latest_version(self.spark, self.silver_path) is not None:
+            return self.gold_incremental()
+        return self.gold()
+
+    # --- mutation batches ---------------------------------------------------------
+    def judge_mutations(self, requests: DataFrame, **scan) -> DataFrame:
+        """Every request of a batch with its verdict against the current state."""
+        return mutations.judge_mutations(requests, self.current(), key=self.spec.key, **scan)
+
+    def mutation_events(self, requests: DataFrame, base_lsn: int, at, **scan) -> DataFrame:
+        """Feed records (change envelopes) for the accepted requests of a batch."""
+        from .sources import feed as feeds
+
+        applied = mutations.apply_mutations(requests, self.current(), key=self.spec.key, **scan)
+        return feeds.envelope_records(mutations.mutation_changes(applied, base_lsn, at, key=self.spec.key))
