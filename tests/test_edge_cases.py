@@ -113,6 +113,34 @@ def test_bad_timestamp_and_month_edge_utc(spark):
     assert rows[3]["event_month"] == "2024-02"
 
 
+def test_month_is_utc_whatever_the_session_zone(spark):
+    recs = [(env("u", 2, 1, 1.0, ts="2024-01-01T01:00:00+02:00"), 2), (env("u", 3, 1, 1.0, ts="2024-01-31T23:30:00Z"), 3)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = by_offset(silver_of(spark, recs))
+            assert (rows[2]["event_month"], rows[3]["event_month"]) == ("2023-12", "2024-01"), zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_envelope_timestamps_are_utc_whatever_the_session_zone(spark):
+    import datetime as dt
+
+    from tidemark.functions.envelope import envelope_timestamp
+
+    instant = dt.datetime(2024, 1, 1, 0, 0, 7, 179575, tzinfo=dt.timezone.utc)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(instant,)], "ts timestamp")
+            assert df.select(envelope_timestamp(F.col("ts"))).first()[0] == "2024-01-01T00:00:07.179575Z", zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_key_collision_through_nulls(spark):
     recs = [
         ('{"after":{"current_balance":1.0},"source":{"lsn":5},"op":"u"}', 1),

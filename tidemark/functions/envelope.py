@@ -37,17 +37,18 @@ def surrogate_key(key: Column, lsn: Column) -> Column:
 
 
 def month_bucket(event_ts_text: Column, fallback_ts: Column) -> Column:
-    """``yyyy-MM`` (session zone, UTC) of the event time, else of ``fallback_ts``.
+    """``yyyy-MM`` in UTC of the event time, else of ``fallback_ts``.
 
-    Junk timestamps become NULL via ``try_cast`` (ANSI mode would throw on ``cast``).
+    UTC whatever the session zone: the instant is shifted to its UTC wall clock before
+    rendering. Junk timestamps become NULL via ``try_cast`` (ANSI mode would throw on
+    ``cast``).
     """
-    parsed = event_ts_text.try_cast("timestamp")
-    return F.date_format(F.coalesce(parsed, fallback_ts), MONTH_FORMAT)
+    instant = F.coalesce(event_ts_text.try_cast("timestamp"), fallback_ts)
+    return F.date_format(F.to_utc_timestamp(instant, F.current_timezone()), MONTH_FORMAT)
 
 
 def envelope_timestamp(ts: Column) -> Column:
-    """Render a timestamp the way the capture connector does (microseconds, ``Z``).
-
-    ``to_json`` of a timestamp would keep only milliseconds.
+    """Render a timestamp the way the capture connector does (UTC, microseconds, ``Z``),
+    whatever the session zone. ``to_json`` of a timestamp would keep only milliseconds.
     """
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
