@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -112,12 +112,15 @@ def compact(spark: SparkSession, silver: DataFrame, table_path: str, key: str =
     vis = visible(silver, sidecar).select(*cols).checkpoint(eager=True)
     before = vis.count()
     doomed = superseded(vis, key, order).select(*schemas.ROW_IDENTITY, F.lit(version).cast("long").alias("version"))
+    # Count the invalidated rows inside the write job itself (no second pass).
+    written = Observation(f"compaction-{version}")
     (
-        doomed.write.mode("append")
+        doomed.observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.mode("append")
         .partitionBy("version")
         .parquet(sidecar_path(table_path))
     )
-    invalidated = read_sidecar(spark, table_path).where(F.col("version") == version).count()
+    invalidated = int(written.get["rows"])
     after = before - invalidated
     metrics = {
         "numRowsBefore": str(before),
