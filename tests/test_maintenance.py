@@ -15,7 +15,7 @@ from conftest import SF_SMALL
 
 def _table(spark, workdir):
     path = os.path.join(workdir, "silver")
-    streaming.ingest_batch(feeds.fixture_feed(spark, SF_SMALL), path)
+    assert streaming.ingest_batch(feeds.fixture_feed(spark, SF_SMALL), path) == 1251
     return path
 
 

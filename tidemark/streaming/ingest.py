@@ -24,7 +24,8 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
@@ -105,12 +106,12 @@ def ingest_available(source: DataFrame, table_path: str, **kwargs) -> StreamingQ
     return query
 
 
-def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False, spec=None) -> None:
+def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False, spec=None) -> int:
     """Backfill a static feed into a *batch* silver directory (not a streaming sink's).
 
     Rows are sorted by key inside each task (no shuffle; the partitioned writer sorts
     by month anyway), so Parquet row-group statistics on ``account_id`` are narrow and
-    a pushed-down key lookup can skip row groups.
+    a pushed-down key lookup can skip row groups. Returns the number of rows appended.
     """
     if _exists(feed.sparkSession, table_path.rstrip("/") + "/_spark_metadata"):
         # Readers of a streaming sink go through its log: appended files would be invisible.
@@ -118,7 +119,11 @@ def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False,
     parsed = to_silver(feed, exact_decimal=exact_decimal, spec=spec)
     key = (spec.key if spec is not None else "account_id")
     rows = parsed.sortWithinPartitions("event_month", key)
-    rows.write.mode("append").partitionBy("event_month").parquet(table_path)
+    appended = Observation("ingest-batch")  # counted inside the write job
+    rows.observe(appended, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(
+        "event_month"
+    ).parquet(table_path)
+    return int(appended.get["rows"])
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -45,8 +45,8 @@ class ChangeTable:
     def ingest_available(self, source: DataFrame, **kwargs) -> StreamingQuery:
         return streaming.ingest_available(source, self.silver_path, spec=self.spec, **kwargs)
 
-    def backfill(self, feed: DataFrame) -> None:
-        streaming.ingest_batch(feed, self.backfill_path, spec=self.spec)
+    def backfill(self, feed: DataFrame) -> int:
+        return streaming.ingest_batch(feed, self.backfill_path, spec=self.spec)
 
     # --- reads ----------------------------------------------------------------
     @property
