@@ -73,7 +73,7 @@ def run_report(args) -> int:
     print(f"Total raw events currently in silver: {total}")
     audit.event_mix(silver).show(SHOW_MIX, truncate=False)
     print("Gold: one current row per account, resolved at read time:")
-    t.gold().orderBy("account_id").show(SHOW_GOLD, truncate=False)
+    t.current().orderBy(t.spec.key).show(SHOW_GOLD, truncate=False)
     return 0
 
 
