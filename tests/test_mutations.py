@@ -170,3 +170,9 @@ def test_requests_need_a_position(spark):
     reasons = {r["seq"]: r["reason"] for r in got}
     assert reasons[None] == "seq required" and reasons[-3] == "seq required"
     assert reasons[0] == "not found"  # the unplaced inserts did not create the account
+
+
+def test_delta_fold_ignores_requests_without_key_or_position(spark):
+    rows = [(0, "insert", None, 5.0), (1, "insert", 1, 10.0), (-1, "update", 1, 99.0), (2, "update", 1, 2.5)]
+    out = mutations.delta_fold(spark.createDataFrame(rows, DELTA_SCHEMA), gold(spark)).collect()
+    assert sorted((r["seq"], r["op"], r["current_balance"]) for r in out) == [(1, "c", 10.0), (2, "u", 12.5)]

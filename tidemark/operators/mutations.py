@@ -150,7 +150,7 @@ def delta_fold(
     """Relative updates folded into balances (M2).
 
     ``requests``: seq (>= 0), action, key, amount (base for insert, delta for update);
-    requests without a valid position are not applied.
+    requests without a valid position or without a key are not applied.
     Returns the applied requests with the balance after each (NULL for deletes),
     computed exactly in DECIMAL and returned as double.
 
@@ -175,7 +175,7 @@ def delta_fold(
         F.col("current_balance").cast(EXACT).alias("amount"),
         F.lit(True).alias("_flag"),
     )
-    positioned = F.col("seq").isNotNull() & (F.col("seq") >= 0)
+    positioned = F.col("seq").isNotNull() & (F.col("seq") >= 0) & F.col(key).isNotNull()
     s1 = prefix_scan(
         req_rows.where(positioned).unionByName(seed),
         key,
