@@ -216,3 +216,30 @@ def test_gold_sql_view_equals_dataframe(spark):
     b = state.current_state(s)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.count() == 4
+
+
+def test_pruned_parse_equals_full_envelope_parse(spark):
+    """Parsing only the projected fields gives the same silver as the full envelope,
+    also when unprojected fields are junk."""
+    recs = [
+        (env("c", 1, 1, 1.0), 1),
+        ('{"before":{"account_id":"x","current_balance":{"a":1}},"after":{"account_id":2,"current_balance":[1],'
+         '"currency":"EUR","transaction_timestamp":"2024-03-01T00:00:00Z","updated_at":{"x":1}},'
+         '"source":{"lsn":"nope","ts_ms":"bad"},"op":"u","ts_ms":[1,2]}', 2),
+        ('{"before":{"account_id":9},"after":"oops","source":{"lsn":4},"op":"d"}', 3),
+        ("{bad", 4), (None, 5), ("{}", 6),
+    ]
+    pruned = silver_of(spark, recs)
+    feed = spark.createDataFrame([(r[0], r[1], 0, None) for r in recs], schemas.FEED)
+    full = feed.select(F.col("value").alias("raw_json"), F.col("offset").alias("o"),
+                       F.from_json("value", schemas.ENVELOPE).alias("e"))
+    got = {r["kafka_event_offset"]: (r["account_id"], r["current_balance"], r["currency"], r["source_commit_lsn"], r["operation_code"])
+           for r in pruned.collect()}
+    want = {r["o"]: (r["e"]["after"]["account_id"] if r["e"] and r["e"]["after"] and r["e"]["after"]["account_id"] is not None
+                     else (r["e"]["before"]["account_id"] if r["e"] and r["e"]["before"] else None),
+                     r["e"]["after"]["current_balance"] if r["e"] and r["e"]["after"] else None,
+                     r["e"]["after"]["currency"] if r["e"] and r["e"]["after"] else None,
+                     r["e"]["source"]["lsn"] if r["e"] and r["e"]["source"] else None,
+                     r["e"]["op"] if r["e"] else None)
+            for r in full.collect()}
+    assert got == want

@@ -43,7 +43,7 @@ def to_silver(
     """
     spec = spec or (schemas.ACCOUNTS_EXACT if exact_decimal else schemas.ACCOUNTS)
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
-    event = F.from_json(F.col("raw_json"), spec.envelope())
+    event = F.from_json(F.col("raw_json"), spec.parse_envelope())
     parsed = normalise_feed(feed).withColumn("event", event).select(
         "raw_json",
         "kafka_event_offset",

@@ -77,6 +77,21 @@ class TableSpec:
             ]
         )
 
+    def parse_envelope(self) -> StructType:
+        """The envelope pruned to the fields silver projects (key from both images,
+        payload and event time from ``after``, the LSN, the op). Parsing fewer fields
+        is cheaper; under permissive parsing with partial results a field's value
+        never depends on its siblings, so the projected values are the same."""
+        after = StructType([f for f in self.image().fields if f.name not in self.unused])
+        return StructType(
+            [
+                StructField("before", StructType([StructField(self.key, self.key_type)])),
+                StructField("after", after),
+                StructField("source", StructType([StructField("lsn", LongType())])),
+                StructField("op", StringType()),
+            ]
+        )
+
     def silver(self) -> StructType:
         """Append-only event table, in write order."""
         return StructType(
