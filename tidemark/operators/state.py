@@ -61,6 +61,10 @@ def current_state(
     Filtering deletes before the window would resurrect an older row of a
     deleted key, so the predicate must stay above the window (it does).
     Unknown ops pass the filter.
+
+    Pass the whole table: a key's changes span months, so filtering ``event_month``
+    *before* this call would rank per-month winners. Key predicates are safe either
+    way (they are pushed through the window to the scan).
     """
     cols = columns or gold_columns_of(silver)
     latest = latest_changes(silver, key, order)
