@@ -89,10 +89,11 @@ def source_from_changes(changes: DataFrame) -> DataFrame:
     w = Window.partitionBy("account_id").orderBy(F.col("lsn").desc_nulls_last(), F.col("off").desc_nulls_last())
     latest = valid.withColumn("rn", F.row_number().over(w)).where("rn = 1").where(F.col("op") != "d")
     ts = F.col("ts").cast("timestamp")
+    currency = F.col("currency") if "currency" in changes.columns else F.lit(SEED_CURRENCY)
     return latest.select(
         "account_id",
         F.col("value").cast(schemas.BALANCE_DECIMAL).alias("current_balance"),
-        F.lit(SEED_CURRENCY).alias("currency"),
+        currency.alias("currency"),
         ts.alias("transaction_timestamp"),
         ts.alias("updated_at"),
     )
