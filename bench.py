@@ -70,12 +70,15 @@ def event_log_metrics(log_dir: str) -> dict:
                 elif kind == "SparkListenerTaskEnd":
                     m = ev.get("Task Metrics") or {}
                     g = out.setdefault(stage_group.get(ev.get("Stage ID"), "other"), {
-                        "input_records": 0, "shuffle_records": 0, "shuffle_bytes": 0, "tasks": 0})
+                        "input_records": 0, "shuffle_records": 0, "shuffle_bytes": 0, "tasks": 0,
+                        "max_task_shuffle_read_records": 0})
                     g["tasks"] += 1
                     g["input_records"] += (m.get("Input Metrics") or {}).get("Records Read", 0)
                     sw = m.get("Shuffle Write Metrics") or {}
                     g["shuffle_records"] += sw.get("Shuffle Records Written", 0)
                     g["shuffle_bytes"] += sw.get("Shuffle Bytes Written", 0)
+                    sr = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+                    g["max_task_shuffle_read_records"] = max(g["max_task_shuffle_read_records"], sr)
     return out
 
 
@@ -150,6 +153,22 @@ def change_latency(spark, root: str, feed_dir: str, q: dict) -> None:
         query.stop()
 
 
+def skewed_gold(spark, root: str, feed_dir: str, q: dict, info: dict) -> None:
+    """One account's change redelivered until it holds a third of all rows: gold over
+    that table. The event log shows what the hot key costs the shuffle."""
+    base = feeds.file_batch(spark, feed_dir)
+    n = info["feed"]
+    one = base.where(F.col("offset") == F.lit(1))  # a single change of one account
+    hot = one.select(
+        "value", "partition", "timestamp", F.explode(F.sequence(F.lit(1), F.lit(n // 2))).alias("_i")
+    ).select("value", (F.lit(REPLICA_OFFSET_STRIDE * 2000) + F.col("_i")).alias("offset"), "partition", "timestamp")
+    path = root + "/skewed/silver"
+    streaming.ingest_batch(base.unionByName(hot), path)
+    silver = tables.read_silver(spark, path)
+    timed(q, "gold_skewed", lambda: run(state.current_state(silver)))
+    info["skewed_rows"] = n + n // 2
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -177,7 +196,7 @@ def main() -> None:
     finally:
         spark.stop()
     metrics = event_log_metrics(log_dir)
-    shuffle = {k: v for k, v in metrics.items() if k in ("gold_current", "gold_current_x10", "gold_current_x100",
+    shuffle = {k: v for k, v in metrics.items() if k in ("gold_current", "gold_current_x10", "gold_current_x100", "gold_skewed",
                                                         "compaction", "gold_incremental", "gold_incremental_x100",
                                                         "mutations", "mutations_hot", "event_mix", "ingest_batch")}
     headline = ["ingest_batch", "ingest_stream", "gold_current", "compaction", "gold_after_compaction",
@@ -240,6 +259,7 @@ def run_steps(spark, sf_dir: str, replicas: list[int], q: dict, info: dict) -> N
     timed(q, "reconcile", lambda: run(audit.reconcile(source, gold)))
 
     change_latency(spark, root, feed_dir, q)
+    skewed_gold(spark, root, feed_dir, q, info)
 
     for k in replicas:
         rdir = root + f"/x{k}/feed"
