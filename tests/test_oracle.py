@@ -32,3 +32,16 @@ def test_entry_smoke(spark):
     assert df.count() == 148
     assert df.columns == ["account_id", "current_balance", "currency", "transaction_timestamp",
                           "source_commit_lsn", "operation_type"]
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "decimal(14,2)": "DECIMAL(14,2)", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"stream_vs_batch", "visible_after_compaction",
+                                                      "compaction_history", "gold_incremental"}))
+def test_column_types_match_oracle(spark, con, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    theirs = {r[0]: r[1] for r in con.execute("DESCRIBE " + ORACLE[name]).fetchall()}
+    assert ours == theirs
