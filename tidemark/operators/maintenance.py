@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
-from ..session import shared_dir
+from ..session import path_exists, shared_dir
 from ..sources.tables import empty
 from .state import KEY, ORDER, winners
 
@@ -52,6 +52,8 @@ def history_path(table_path: str) -> str:
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema, reader: str = "parquet") -> DataFrame:
+    if not path_exists(spark, path):
+        return empty(spark, schema)
     try:
         return getattr(spark.read.schema(schema), reader)(path)
     except AnalysisException:

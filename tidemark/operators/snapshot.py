@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from ..session import path_exists
 from ..sources.tables import empty, read_silver
 from .state import KEY, ORDER, current_state, latest_changes
 
@@ -38,8 +39,11 @@ def snapshot_path(table_path: str) -> str:
 
 
 def latest_version(spark: SparkSession, table_path: str) -> int | None:
+    listing = snapshot_path(table_path) + "/files"
+    if not path_exists(spark, listing):
+        return None
     try:
-        row = spark.read.parquet(snapshot_path(table_path) + "/files").agg(F.max("version").alias("v")).first()
+        row = spark.read.parquet(listing).agg(F.max("version").alias("v")).first()
     except AnalysisException:
         return None
     return None if row is None or row["v"] is None else int(row["v"])

@@ -67,3 +67,24 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the filesystem Spark reads through.
+
+    Checking first (rather than reading and catching the error) keeps failed
+    queries out of the session's listeners and logs. Falls back to a read probe
+    where the JVM is not reachable (e.g. a Spark Connect session).
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:
+        from pyspark.sql.utils import AnalysisException
+
+        try:
+            spark.read.format("binaryFile").load(path)
+            return True
+        except AnalysisException:
+            return False

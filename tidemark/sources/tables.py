@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from ..session import path_exists
 
 
 def empty(spark: SparkSession, schema) -> DataFrame:
@@ -24,6 +25,8 @@ def read_silver(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFr
     A streaming sink directory is read through its metadata log, so only committed
     micro-batches are seen. A missing table reads as empty (same schema).
     """
+    if not path_exists(spark, path):
+        return empty(spark, schema)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException:
@@ -31,11 +34,7 @@ def read_silver(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFr
 
 
 def silver_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema(schemas.SILVER).parquet(path).limit(0).collect()
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path)
 
 
 def register_silver(spark: SparkSession, path: str, view: str = "silver_accounting_cdc_staging") -> DataFrame:

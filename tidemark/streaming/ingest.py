@@ -27,9 +27,9 @@ import sys
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.ingest import to_silver
+from ..session import path_exists
 from ..sources import feed as feeds
 
 DEFAULT_INTERVAL = "10 seconds"
@@ -42,11 +42,7 @@ def checkpoint_path(table_path: str) -> str:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path)
 
 
 def start_ingest(
