@@ -44,7 +44,7 @@ def reference(rows):
     return gold, superseded
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=15, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(changes=st.lists(change, min_size=1, max_size=40), copies=st.lists(st.integers(0, 39), max_size=8))
 def test_gold_and_compaction_match_definitions(spark, changes, copies):
     rows = [(a, l, o, p, i) for i, (a, l, o, p) in enumerate(changes)]
