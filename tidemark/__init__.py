@@ -7,6 +7,18 @@ Structured Streaming operations.
 
 from .operators.ingest import to_silver
 from .operators.state import current_state, latest_changes, winners
+from .schemas import ACCOUNTS, TableSpec
 from .session import build_session, configure
+from .table import ChangeTable
 
-__all__ = ["to_silver", "current_state", "latest_changes", "winners", "build_session", "configure"]
+__all__ = [
+    "to_silver",
+    "current_state",
+    "latest_changes",
+    "winners",
+    "build_session",
+    "configure",
+    "ChangeTable",
+    "TableSpec",
+    "ACCOUNTS",
+]
