@@ -58,6 +58,16 @@ def main(sf_dir: str) -> None:
         results[label] = {"run": run, "sidecar": side, "verdicts": verdicts, "gold": inc}
 
     same = {k: results["clean"][k] == results["flaky"][k] for k in results["clean"]}
+
+    # Streaming ingest with failing tasks inside micro-batches: exactly once in the sink.
+    feed_dir, sink = f"{root}/stream/feed", f"{root}/stream/silver"
+    feeds.fixture_feed(spark, sf_dir).repartition(4).write.parquet(feed_dir)
+    source = feeds.file_stream(spark, feed_dir, max_files_per_trigger=2).where(fail_once(F.col("offset")))
+    streaming.ingest_available(source, sink)
+    streamed = read_silver(spark, sink)
+    same["stream_rows"] = streamed.count() == streamed.select("kafka_partition", "kafka_event_offset").distinct().count()
+    same["stream_total"] = streamed.count() == results["clean"]["run"]["before"]
+
     print(json.dumps({"same": same, "invalidated": results["flaky"]["run"]["invalidated"]}))
     spark.stop()
 
