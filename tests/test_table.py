@@ -94,3 +94,12 @@ def test_change_table_mutations_use_current_state(spark, workdir):
     now = {r["account_id"]: (r["current_balance"], r["currency"]) for r in t.current().collect()}
     assert 42 not in now and now[999999] == (1.0, "EUR")
     assert _same(t.current(), t.gold())
+
+
+def test_empty_table_operations(spark, workdir):
+    t = ChangeTable(spark, os.path.join(workdir, "empty"))
+    assert t.snapshot()["files"] == 0
+    assert t.gold().count() == 0 and t.gold_incremental().count() == 0 and t.current().count() == 0
+    assert t.compact() == {"version": 0, "before": 0, "invalidated": 0, "after": 0}
+    row = t.counts().first()
+    assert (row["silver_table_exists"], row["silver_count"], row["gold_count"]) == (False, None, None)
