@@ -114,7 +114,7 @@ def random_batch(rng, n, keys, hot_key=None):
     return rows
 
 
-@pytest.mark.parametrize("chunk_span,hot_rows", [(1 << 20, None), (8, 4), (3, 2), (16, 64)])
+@pytest.mark.parametrize("chunk_span,hot_rows", [(1 << 20, None), (8, 4), (3, 2), (16, 64), (1, 0)])
 def test_mutations_match_interpreter(spark, chunk_span, hot_rows):
     rng = random.Random(chunk_span * 31 + (hot_rows or 0))
     batch = random_batch(rng, 600, 12, hot_key=3)
