@@ -7,8 +7,10 @@ from compare import compare_one, duck
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from tidemark.plans.catalog import QUERIES as CATALOG
+
+QUERIES = {name: fn for name, fn in E.queries().items() if name in CATALOG}
+ORACLE = {name: sql for name, sql in E.oracle_sql().items() if name in CATALOG}
 
 
 @pytest.fixture(scope="module")
