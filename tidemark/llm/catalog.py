@@ -8,10 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from tidemark.llm import bpe, exact_dedup, html_extract, language_id, line_dedup, merkle, mixing, simhash, toxicity, url_filter
 from tidemark.llm.common import table
 
 
+#: The listed rules of op1: host and path, verdict.
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed rules, then mined ones, on every page's url.
+
+    The number that a url's path ends in names the document that the page shows; a url is labelled bad
+    if that document's labels say toxic or low quality.
+    """
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    bad = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    shown = F.try_to_number(F.regexp_extract(url_filter.path_of(F.col("url")), r"([0-9]{1,18})[^0-9]*$", 1), F.lit("9" * 18)).cast("long")
+    labelled = pages.select("url", shown.alias("doc_id")).join(bad, "doc_id").select("url", "bad")
+    return url_filter.judge(pages, URL_RULES, labelled)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes each document: equal budget, sources weighted 1, 2, 3 in turn."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(
@@ -34,12 +52,26 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         groups.where("full_hash is not null").withColumn("text_sha256", F.col("full_hash")).select(*columns))
 
 
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document, its edited text, and how alike they and the next are."""
+    return merkle.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints over 3-word shingles and components of those within 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a third of them is held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
+    network = language_id.fit(docs, train=fold != 1)
+    found = language_id.identify(docs.select("doc_id", "text"), network)
+    return found.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's encoding, and of the text it decodes to."""
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -48,6 +80,18 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without lines whose template recurs in ten documents or more."""
+    return line_dedup.drop_recurring(table(spark, sf_dir, "documents"))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, from its host's winning path."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = html_extract.extract(pages, url_filter.host_of(F.col("url")))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; a fifth of the labels is held out of training."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -65,7 +109,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_mixing, op3_exact_dedup, op5_simhash, op7_bpe, op10_toxicity, pipeline)
+    for f in (op1_url_filter, op2_mixing, op3_exact_dedup, op4_merkle, op5_simhash, op6_language_id, op7_bpe, op8_line_dedup,
+              op9_html_extraction, op10_toxicity, pipeline)
 }
 
 ORACLE: dict[str, str] = {
