@@ -73,7 +73,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("_id", *key, F.sha2("_text", 256).alias("full_hash"))
         .groupBy("_id", *key, "full_hash").agg(F.count("*").alias("copies")), "dedup-members")
     group = [*key, "full_hash"]
-    groups = members.groupBy(*group).agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size"))
+    groups = measured(members.groupBy(*group).agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size")),
+                      "dedup-groups", F.lit(112))
     hashed = members.join(groups, group).select("_id", "copies", *group, "keep_id", "group_size")
 
     return alone.unionByName(hashed).select(
