@@ -16,19 +16,19 @@ from tidemark.llm.common import cut
 SECTION, PARAGRAPH = "\n\n", "\n"
 SENTENCE = r"[^.!?]+[.!?]*|[.!?]+"
 RUN = r"(?:[^ ]+ *){1,4}| +"
-LEAF_DIGITS = 12
 
 
 def _leaf(text: Column) -> Column:
-    return F.substring(F.md5(text), 1, LEAF_DIGITS)
+    """32 bits of the text's MD5, as an int: leaves are most of what a comparison moves."""
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") - F.lit(1 << 31)).cast("int")
 
 
 def _node(children: Column) -> Column:
-    return F.md5(F.array_join(children, ""))
+    return F.md5(F.array_join(children.cast("array<string>"), ","))
 
 
 def tree(text: Column) -> Column:
-    """array (sections) of arrays (paragraphs) of arrays (leaf hashes, 12 hex digits). Null is empty."""
+    """array (sections) of arrays (paragraphs) of arrays (leaf hashes). Null is empty."""
     text = F.coalesce(text, F.lit(""))
     runs = lambda p: F.transform(F.flatten(F.transform(
         F.regexp_extract_all(p, F.lit(SENTENCE), F.lit(0)), lambda s: F.regexp_extract_all(s, F.lit(RUN), F.lit(0)))), _leaf)
@@ -84,8 +84,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def next_ids(docs: DataFrame, id_col: str, measure: Column, parts: int | None = None) -> DataFrame:
-    """(id, previous, previous_measure) of every distinct id: the next smaller id (null first; the
-    largest for the smallest) as struct(id), and the largest ``measure`` of its rows.
+    """(own, previous, previous_measure) of every distinct id, as struct(id): the next smaller id (null
+    first; the largest for the smallest), and the largest ``measure`` of its rows.
 
     Ids are dealt by range and written once, so that order within a part and the edges between parts
     are seen alike. Only one row per part meets in one task.
@@ -101,7 +101,7 @@ def next_ids(docs: DataFrame, id_col: str, measure: Column, parts: int | None =
     around = Window.orderBy("part")
     edges = edges.select("part", F.coalesce(F.lag("last").over(around), F.max_by("last", "part").over(Window.partitionBy())).alias("edge"))
     found = dealt.withColumn("before", before).join(edges, "part").withColumn("before", F.coalesce("before", "edge"))
-    return found.select(F.col("own.id").alias("id"), F.col("before.own").alias("previous"), F.col("before.measure").alias("previous_measure"))
+    return found.select("own", F.col("before.own").alias("previous"), F.col("before.measure").alias("previous_measure"))
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,22 +115,23 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     - Rows of one id have the same next document; if the next id has several rows, its smallest text.
     - A table with one id is its own next document. An empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # a struct is never null, so one key serves for all joins and each row's text moves once
+    rows = docs.select(F.struct(F.col(id_col).alias("id")).alias("own"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     quarter = F.expr("length(text) div 4").cast("int")
-    order = next_ids(rows, "id", quarter)
+    order = next_ids(rows.select("own.id", "text"), "id", quarter)
     # every document sends its beginning and its leaves to the document before it
-    sent = rows.join(order.withColumnRenamed("id", "own"), F.col("id").eqNullSafe(F.col("own"))).select(
-        F.col("previous.id").alias("target"), F.substring("text", F.lit(1), F.col("previous_measure")).alias("start"),
+    sent = rows.join(order, "own").select(
+        F.col("previous").alias("target"), F.substring("text", F.lit(1), F.col("previous_measure")).alias("start"),
         leaves(tree(F.col("text"))).alias("next_leaves"), F.xxhash64("text").alias("h"))
     sent = sent.groupBy("target").agg(F.min_by(F.struct("start", "next_leaves"), F.struct("start", "h")).alias("next"))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next.start", F.lit(1), quarter))
-    met = rows.join(sent, F.col("id").eqNullSafe(F.col("target"))).select(
-        "id", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), tree(F.col("text")).alias("own"),
+    met = rows.join(sent, F.col("own") == F.col("target")).select(
+        "own.id", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), tree(F.col("text")).alias("own_tree"),
         tree(edited).alias("edited"), F.col("next.next_leaves").alias("next_leaves"))
-    with_leaves = met.select("*", leaves(F.col("own")).alias("own_leaves"), leaves(F.col("edited")).alias("edited_leaves"))
+    with_leaves = met.select("*", leaves(F.col("own_tree")).alias("own_leaves"), leaves(F.col("edited")).alias("edited_leaves"))
     return with_leaves.select(
-        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", fingerprint(F.col("own_tree")).alias("fingerprint"),
         fingerprint(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("own_leaves"), F.col("edited_leaves")).alias("near_edited"),
         likeness(F.col("own_leaves"), F.col("next_leaves")).alias("near_next"))
