@@ -28,7 +28,7 @@ from tidemark.sources import feed as feeds  # noqa: E402
 from tidemark.sources import tables  # noqa: E402
 from tidemark.streaming import ingest as streaming  # noqa: E402
 
-REPLICA_OFFSET_STRIDE = 4_000_000_000
+REPLICA_OFFSET_STRIDE = 10**16
 LATENCY_DEADLINE_SEC = 120
 
 

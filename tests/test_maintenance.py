@@ -63,7 +63,7 @@ def test_superseded_equals_not_in_form(spark, workdir):
     silver = read_silver(spark, path)
     silver.createOrReplaceTempView("mt_silver")
     not_in = spark.sql(
-        """SELECT kafka_partition, kafka_event_offset FROM mt_silver WHERE surrogate_key NOT IN (
+        """SELECT kafka_partition, kafka_event_offset, ingested_at FROM mt_silver WHERE surrogate_key NOT IN (
              SELECT surrogate_key FROM (
                SELECT surrogate_key, ROW_NUMBER() OVER (PARTITION BY account_id
                  ORDER BY source_commit_lsn DESC, kafka_event_offset DESC) AS rn FROM mt_silver) r
@@ -137,3 +137,12 @@ def test_hot_surrogate_key_is_split_by_aqe(spark, workdir, capsys):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_replay_of_the_same_offsets_stays_visible(spark, workdir):
+    path = _table(spark, workdir)
+    run = maintenance.compact(spark, read_silver(spark, path), path)
+    streaming.ingest_batch(feeds.fixture_feed(spark, SF_SMALL), path)  # every position once more
+    vis = maintenance.visible(read_silver(spark, path), maintenance.read_sidecar(spark, path))
+    assert vis.count() == run["after"] + 1251
+    assert maintenance.compact(spark, read_silver(spark, path), path)["after"] == 2 * run["after"]

@@ -15,8 +15,8 @@ from .state import KEY, current_state
 def counts_row(**frames: DataFrame) -> DataFrame:
     """One row with ``count(*)`` of each named frame, computed in a single job.
 
-    Each frame is reduced to a tag column and the union is aggregated once, so the
-    counts share one scan per input and need no join.
+    Each frame is reduced to a tag column and the union is aggregated once: one scan per
+    frame and no join.
     """
     tagged = None
     for i, df in enumerate(frames.values()):
@@ -59,12 +59,12 @@ def newest(silver: DataFrame, n: int = 100, columns: list[str] | None = None) ->
     )
 
 
-def duplicate_keys(silver: DataFrame) -> DataFrame:
+def duplicate_keys(silver: DataFrame, key: str = KEY) -> DataFrame:
     """Surrogate keys held by more than one silver row."""
     return (
         silver.groupBy("surrogate_key")
         .agg(
-            F.min(KEY).alias(KEY),
+            F.min(key).alias(key),
             F.min("source_commit_lsn").alias("source_commit_lsn"),
             F.count(F.lit(1)).alias("copies"),
         )
@@ -92,12 +92,15 @@ HEALTH_COUNTS = StructType(
 )
 
 
-def health_counts(silver: DataFrame | None) -> DataFrame:
-    """Health counts (H1): one row; counts are NULL when there is no table."""
+def health_counts(silver: DataFrame | None, gold: DataFrame | None = None) -> DataFrame:
+    """Health counts (H1): one row; counts are NULL when there is no table.
+
+    ``gold`` defaults to the current state of ``silver``.
+    """
     if silver is None:
         spark = SparkSession.getActiveSession()
         return spark.createDataFrame([(False, None, None)], HEALTH_COUNTS)
-    counts = counts_row(silver_count=silver, gold_count=current_state(silver))
+    counts = counts_row(silver_count=silver, gold_count=current_state(silver) if gold is None else gold)
     return counts.select(F.lit(True).alias("silver_table_exists"), "silver_count", "gold_count")
 
 
@@ -114,24 +117,33 @@ def silver_vs_gold(silver: DataFrame, key: str = KEY) -> dict[str, DataFrame]:
     }
 
 
+def _overflows(column: str):
+    """A balance that DECIMAL(14,2) can't hold; shown as NULL, it must not match a NULL."""
+    c = F.col(column)
+    return c.isNotNull() & c.try_cast(schemas.BALANCE_DECIMAL).isNull()
+
+
 def reconcile(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
     """Per-key comparison of the source table with gold.
 
     ``status`` is match / value_diff / source_only / gold_only. Gold balances are
-    compared as DECIMAL(14,2) and gold event times as timestamps, NULL-safely.
+    compared as DECIMAL(14,2) and gold event times as timestamps, NULL-safely; a balance
+    beyond that type is shown as NULL and counts as value_diff.
     Full outer join on the key (null-safe), one shuffle per side.
     """
     s = source.select(
         F.col(key).alias("_k"),
         F.lit(True).alias("_in_source"),
-        F.col("current_balance").cast(schemas.BALANCE_DECIMAL).alias("source_balance"),
+        F.col("current_balance").try_cast(schemas.BALANCE_DECIMAL).alias("source_balance"),
+        _overflows("current_balance").alias("_source_over"),
         F.col("currency").alias("source_currency"),
         F.col("transaction_timestamp").cast("timestamp").alias("source_ts"),
     )
     g = gold.select(
         F.col(key).alias("_kg"),
         F.lit(True).alias("_in_gold"),
-        F.col("current_balance").cast(schemas.BALANCE_DECIMAL).alias("gold_balance"),
+        F.col("current_balance").try_cast(schemas.BALANCE_DECIMAL).alias("gold_balance"),
+        _overflows("current_balance").alias("_gold_over"),
         F.col("currency").alias("gold_currency"),
         F.col("transaction_timestamp").try_cast("timestamp").alias("gold_ts"),
     )
@@ -140,6 +152,8 @@ def reconcile(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
         F.col("source_balance").eqNullSafe(F.col("gold_balance"))
         & F.col("source_currency").eqNullSafe(F.col("gold_currency"))
         & F.col("source_ts").eqNullSafe(F.col("gold_ts"))
+        & ~F.col("_source_over")
+        & ~F.col("_gold_over")
     )
     status = (
         F.when(F.col("_in_gold").isNull(), "source_only")

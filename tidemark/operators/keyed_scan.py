@@ -39,7 +39,6 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 DEFAULT_CHUNK_SPAN = 1 << 20
-MAX_BROADCAST_KEYS = 2_000_000
 
 _KN, _KK, _CHUNK, _HOT = "_scan_key_null", "_scan_key", "_scan_chunk", "_scan_hot"
 PARTITION_COLS = [_KN, _KK, _CHUNK]
@@ -87,9 +86,6 @@ def with_scan_partitioning(
             *keyed.columns, F.lit(False).alias(_HOT), F.lit(0).cast("long").alias(_CHUNK, metadata=meta)
         )
     hot = hot.select(_KN, _KK, F.lit(True).alias(_HOT))
-    # At most rows / hot_rows keys can be hot, and the count was just measured.
-    if hot_keys <= MAX_BROADCAST_KEYS:
-        hot = F.broadcast(hot)
     flagged = keyed.join(hot, [_KN, _KK], "left")
     is_hot = F.coalesce(F.col(_HOT), F.lit(False))
     return flagged.select(
@@ -169,10 +165,7 @@ def prefix_scan(
             *[F.last(F.col(loc_last_upto[s]), ignorenulls=True).over(earlier).alias(c) for s, c in carry_last.items()],
             *[F.sum(F.col(loc_sum[s])).over(earlier).alias(c) for s, c in carry_sum.items()],
         )
-        # The carry has at most ``hot_groups`` rows (bound from the hot-key aggregate).
-        # Broadcast it only under the cap; beyond it the join is shuffled.
-        if meta.get("hot_groups", MAX_BROADCAST_KEYS + 1) <= MAX_BROADCAST_KEYS:
-            carry = F.broadcast(carry)
+        # Broadcast or shuffled as the carry measures at runtime.
         joined = local.join(carry, PARTITION_COLS, "left")
     out = []
     for name, s in last_before.items():

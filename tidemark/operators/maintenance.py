@@ -1,7 +1,7 @@
 """Soft invalidation of superseded silver rows, without rewriting data files.
 
 Parquet has no row-level delete, so invalidation is an append-only *sidecar* of
-row identities ``(kafka_partition, kafka_event_offset, version)`` next to the
+row identities ``(kafka_partition, kafka_event_offset, ingested_at, version)`` next to the
 table, one ``version=N`` directory per run, plus a history log. Readers see
 ``visible(silver) = silver LEFT ANTI JOIN sidecar``.
 
@@ -9,8 +9,8 @@ Selection follows the reference semantics: a visible row is superseded when its
 ``surrogate_key`` is not the key of any key's newest change (deletes included, so
 tombstones survive and a late older change can never resurrect a key).
 Redelivered copies of a winner share its surrogate key and therefore survive.
-Rows are *recorded* by identity, so copies that arrive after a run stay visible
-until the next run.
+Rows are *recorded* by identity, which includes the arrival, so rows that arrive after a
+run (also replays of positions that the run hid) stay visible until the next run.
 
 Scale notes:
 * winners come from a ``row_number() = 1`` window (partial top-1 before the shuffle);
@@ -30,7 +30,6 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 from ..session import path_exists, shared_dir
@@ -54,10 +53,7 @@ def history_path(table_path: str) -> str:
 def _read_or_empty(spark: SparkSession, path: str, schema, reader: str = "parquet") -> DataFrame:
     if not path_exists(spark, path):
         return empty(spark, schema)
-    try:
-        return getattr(spark.read.schema(schema), reader)(path)
-    except AnalysisException:
-        return empty(spark, schema)
+    return getattr(spark.read.schema(schema), reader)(path)
 
 
 def read_sidecar(spark: SparkSession, table_path: str) -> DataFrame:

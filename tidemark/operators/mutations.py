@@ -35,7 +35,7 @@ REASON_NOT_FOUND = "not found"
 REASON_ACTION = "unsupported action"
 REASON_KEY = "account_id required"
 REASON_SEQ = "seq required"  # position must be >= 0 (the current state sits at -1)
-SEED = "seed"  # action of the virtual row carrying current state
+VIRTUAL = "_virtual"  # marks the rows that carry current state; requests never have it
 
 EXACT = "decimal(20,2)"  # exact money arithmetic for folds
 
@@ -74,6 +74,7 @@ def judge_mutations(
         F.col(key),
         F.col("balance").cast("double").alias("balance"),
         F.col("currency"),
+        F.lit(False).alias(VIRTUAL),
     )
     valid_insert = (F.col("action") == INSERT) & has_balance
     req_rows = reqs.select(
@@ -83,10 +84,11 @@ def judge_mutations(
     )
     seed = _requested_state(requests, gold, key, ["currency"]).select(
         F.lit(-1).cast("long").alias("seq"),
-        F.lit(SEED).alias("action"),
+        F.lit(None).cast("string").alias("action"),
         F.col(key),
         F.lit(None).cast("double").alias("balance"),
         F.lit(None).cast("string").alias("currency"),
+        F.lit(True).alias(VIRTUAL),
         F.lit(True).alias("_flag"),
         F.col("currency").alias("_icur"),
     )
@@ -102,13 +104,13 @@ def judge_mutations(
     unplaced = req_rows.where(~positioned | F.col("seq").isNull()).select(
         "*", F.lit(None).cast("boolean").alias("_exists"), F.lit(None).cast("string").alias("_cur")
     )
-    rows = drop_scan_partitioning(scanned).where(F.col("action") != SEED).unionByName(unplaced)
+    rows = drop_scan_partitioning(scanned).where(~F.col(VIRTUAL)).unionByName(unplaced)
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     act = F.col("action")
     reason = (
         F.when(F.col("seq").isNull() | (F.col("seq") < 0), REASON_SEQ)
         .when(F.col(key).isNull(), REASON_KEY)
-        .when(~act.isin(INSERT, UPDATE, DELETE), REASON_ACTION)
+        .when(act.isNull() | ~act.isin(INSERT, UPDATE, DELETE), REASON_ACTION)
         .when(act.isin(INSERT, UPDATE) & ~has_balance, REASON_BALANCE)
         .when(act.isin(UPDATE, DELETE) & ~exists, REASON_NOT_FOUND)
     )
@@ -150,7 +152,8 @@ def delta_fold(
     """Relative updates folded into balances (M2).
 
     ``requests``: seq (>= 0), action, key, amount (base for insert, delta for update);
-    requests without a valid position or without a key are not applied.
+    requests without a valid position, a key or a needed amount are not applied (a state
+    without a balance counts as 0).
     Returns the applied requests with the balance after each (NULL for deletes),
     computed exactly in DECIMAL and returned as double.
 
@@ -163,16 +166,20 @@ def delta_fold(
         F.col("seq").cast("long").alias("seq"),
         act.alias("action"),
         F.col(key),
-        F.col("amount").cast(EXACT).alias("amount"),
+        F.col("amount").try_cast(EXACT).alias("amount"),
+        F.lit(False).alias(VIRTUAL),
     )
+    # an insert or update without an amount is rejected, as judge_mutations does
+    reqs = reqs.where(~F.coalesce(F.col("action").isin(INSERT, UPDATE), F.lit(False)) | F.col("amount").isNotNull())
     req_rows = reqs.select(
         "*", F.when(F.col("action") == INSERT, F.lit(True)).when(F.col("action") == DELETE, F.lit(False)).alias("_flag")
     )
     seed = _requested_state(requests, gold, key, ["current_balance"]).select(
         F.lit(-1).cast("long").alias("seq"),
-        F.lit(SEED).alias("action"),
+        F.lit(None).cast("string").alias("action"),
         F.col(key),
-        F.col("current_balance").cast(EXACT).alias("amount"),
+        F.coalesce(F.col("current_balance").try_cast(EXACT), F.lit(0).cast(EXACT)).alias("amount"),
+        F.lit(True).alias(VIRTUAL),
         F.lit(True).alias("_flag"),
     )
     positioned = F.col("seq").isNotNull() & (F.col("seq") >= 0) & F.col(key).isNotNull()
@@ -185,10 +192,10 @@ def delta_fold(
         hot_rows=hot_rows,
     )
     exists = F.coalesce(F.col("_exists"), F.lit(False))
-    a = F.col("action")
+    a, virtual = F.coalesce(F.col("action"), F.lit("")), F.col(VIRTUAL)
     s1 = s1.select(
         "*",
-        ((a == SEED) | ((a == INSERT) & ~exists)).alias("_is_set"),
+        (virtual | ((a == INSERT) & ~exists)).alias("_is_set"),
         ((a == UPDATE) & exists).alias("_is_add"),
         ((a == DELETE) & exists).alias("_is_del"),
     ).withColumn("_add", F.when(F.col("_is_add"), F.col("amount")).otherwise(F.lit(0).cast(EXACT)))
@@ -196,7 +203,7 @@ def delta_fold(
     s2 = s2.withColumn("_anchor", F.when(F.col("_is_set"), F.col("amount") - F.col("_p")))
     s3 = prefix_scan(s2, key, "seq", last_upto={"_base": "_anchor"}, chunk_span=chunk_span, hot_rows=hot_rows)
     rows = drop_scan_partitioning(s3).where(
-        (a != SEED) & (F.col("_is_set") | F.col("_is_add") | F.col("_is_del"))
+        ~virtual & (F.col("_is_set") | F.col("_is_add") | F.col("_is_del"))
     )
     op = F.when(a == INSERT, "c").when(a == UPDATE, "u").otherwise("d")
     balance = F.when(~F.col("_is_del"), (F.col("_base") + F.col("_p")).cast("double"))

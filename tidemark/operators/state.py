@@ -81,33 +81,13 @@ def lookup(gold: DataFrame, key_value, key: str = KEY) -> DataFrame:
     return gold.where(F.col(key) == F.lit(key_value))
 
 
-# The gold definition as SQL over a registered silver view (``QUALIFY`` is not
-# available in open-source Spark SQL, so it is a ranked subquery).
-GOLD_VIEW_SQL = """
-SELECT {columns}
-FROM (
-    SELECT *,
-           ROW_NUMBER() OVER (
-               PARTITION BY {key}
-               ORDER BY source_commit_lsn DESC NULLS LAST,
-                        kafka_event_offset DESC NULLS LAST,
-                        kafka_partition DESC NULLS LAST
-           ) AS rn
-    FROM {silver}
-) ranked
-WHERE rn = 1
-  AND operation_type != 'DELETE'
-"""
-
-
 def register_views(
     spark: SparkSession,
     silver: DataFrame,
-    silver_view: str = "silver_accounting_cdc_staging",
-    gold_view: str = "gold_accounting_current",
+    silver_view: str = schemas.SILVER_VIEW,
+    gold_view: str = schemas.GOLD_VIEW,
     key: str = KEY,
 ) -> None:
     """Register silver and the gold view (nothing is materialised)."""
     silver.createOrReplaceTempView(silver_view)
-    sql = GOLD_VIEW_SQL.format(columns=", ".join(gold_columns_of(silver)), key=key, silver=silver_view)
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {gold_view} AS " + sql)
+    current_state(silver, key).createOrReplaceTempView(gold_view)

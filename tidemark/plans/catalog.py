@@ -295,7 +295,7 @@ def delta_fold(spark, sf_dir):
 
 
 # Where the mutation batch lands in the feed.
-MUTATION_BASE_LSN = 10_000_000_000
+MUTATION_BASE_LSN = 10**16  # past every lsn and offset of the feed
 MUTATION_COMMIT_TS = "2024-03-01 00:00:00"
 
 
@@ -317,7 +317,7 @@ def gold_preview(spark, sf_dir):
 
 
 def insert_if_absent(spark, sf_dir):
-    reqs = mutation_requests(spark, sf_dir).where(F.col("balance").isNotNull())
+    reqs = mutation_requests(spark, sf_dir)
     return mutations.insert_if_absent(reqs, _gold(spark, sf_dir)).select("seq", "account_id", "balance")
 
 

@@ -27,14 +27,14 @@ ev AS (
   FROM events),
 feed AS (
   SELECT account_id, lsn, op, ts, value,
-         CASE WHEN lsn % 7 = 0 THEN lsn + 500000000 ELSE lsn END AS off FROM ev
+         CASE WHEN lsn % 7 = 0 THEN lsn + 1000000000000000 ELSE lsn END AS off FROM ev
   UNION ALL
-  SELECT account_id, lsn, op, ts, value, lsn + 1000000000 FROM ev WHERE lsn % 10 = 0
+  SELECT account_id, lsn, op, ts, value, lsn + 2000000000000000 FROM ev WHERE lsn % 10 = 0
   UNION ALL
   SELECT c_custkey, CAST(0 AS BIGINT), 'r', TIMESTAMP '2023-12-31 00:00:00', c_acctbal, -1 - c_custkey
   FROM customer
   UNION ALL
-  SELECT NULL::BIGINT, NULL::BIGINT, NULL, NULL::TIMESTAMP, NULL::DOUBLE, lsn + 2000000000
+  SELECT NULL::BIGINT, NULL::BIGINT, NULL, NULL::TIMESTAMP, NULL::DOUBLE, lsn + 4000000000000000
   FROM ev WHERE lsn % 997 = 0),
 silver AS (
   SELECT off AS kafka_event_offset,

@@ -171,14 +171,16 @@ PREVIEW_COLUMNS = [
     "ingested_at",
 ]
 
-# Row identity of a silver row: unique even for redelivered copies.
-ROW_IDENTITY = ["kafka_partition", "kafka_event_offset"]
+# Row identity of a silver row: its feed position and arrival. A later re-ingest of the same
+# positions makes new rows, which an earlier invalidation does not touch.
+ROW_IDENTITY = ["kafka_partition", "kafka_event_offset", "ingested_at"]
 
 # Invalidation sidecar: identities of soft-deleted silver rows, per run.
 SIDECAR = StructType(
     [
         StructField("kafka_partition", IntegerType()),
         StructField("kafka_event_offset", LongType()),
+        StructField("ingested_at", TimestampType()),
         StructField("version", LongType()),
     ]
 )
@@ -214,3 +216,7 @@ REQUEST = StructType(
         StructField("currency", StringType()),
     ]
 )
+
+# The names under which silver and gold are registered.
+SILVER_VIEW = "silver_accounting_cdc_staging"
+GOLD_VIEW = "gold_accounting_current"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,14 +51,23 @@ def build_session(app_name: str = "tidemark", master: str | None = None, extra:
     return configure(builder.getOrCreate())
 
 
+def require_local(master: str) -> None:
+    """Raise unless driver and executors are one process, with one file system."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and job state.
 
-    Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set -- local runs and tests -- a fresh folder is created and registered.
+    Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir). When neither is
+    set, a local run (tests) gets a fresh folder; on a cluster that is an error, as
+    executors would not see it.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc.getCheckpointDir() is None:
+        require_local(sc.master)
     if sc.getCheckpointDir() is None:
         # Register the configured folder for checkpoint(); invent one only when unset.
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-"))
@@ -72,19 +82,9 @@ def new_work_path(spark: SparkSession, name: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of the filesystem Spark reads through.
 
-    Checking first (rather than reading and catching the error) keeps failed
-    queries out of the session's listeners and logs. Falls back to a read probe
-    where the JVM is not reachable (e.g. a Spark Connect session).
+    Checking first (rather than reading and catching the error) keeps failed queries out
+    of the session's listeners and logs, and lets every other read error surface.
     """
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
-    except Exception:
-        from pyspark.sql.utils import AnalysisException
-
-        try:
-            spark.read.format("binaryFile").load(path)
-            return True
-        except AnalysisException:
-            return False
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))

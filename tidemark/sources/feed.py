@@ -14,7 +14,6 @@ from ..functions.envelope import envelope_timestamp
 
 # Broker source options of the reference deployment.
 KAFKA_TOPIC = "cdc.public.accounting"
-KAFKA_BOOTSTRAP = "cdc-kafka:9092"
 KAFKA_OPTIONS = {
     "subscribe": KAFKA_TOPIC,
     "startingOffsets": "earliest",
@@ -23,7 +22,7 @@ KAFKA_OPTIONS = {
 
 
 def kafka_options(
-    bootstrap: str = KAFKA_BOOTSTRAP,
+    bootstrap: str,
     topic: str = KAFKA_TOPIC,
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
@@ -44,7 +43,7 @@ def kafka_options(
     return opts
 
 
-def kafka_stream(spark: SparkSession, bootstrap: str = KAFKA_BOOTSTRAP, topic: str = KAFKA_TOPIC, **options) -> DataFrame:
+def kafka_stream(spark: SparkSession, bootstrap: str, topic: str = KAFKA_TOPIC, **options) -> DataFrame:
     """Streaming DataFrame over the broker topic (requires the Kafka connector jar)."""
     try:
         return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, **options)).load()
@@ -111,11 +110,11 @@ def envelope_records(changes: DataFrame, currency: str = "USD") -> DataFrame:
 
 # Fixed values of the test feed (see FIXTURES.md section 3).
 LATE_EVERY = 7  # every 7th change arrives late: offset order differs from lsn order
-LATE_SHIFT = 500_000_000
+LATE_SHIFT = 10**15  # shifts lie so far apart that offsets never meet for lsn under 10**15
 REDELIVER_EVERY = 10  # every 10th change is delivered twice
-REDELIVER_SHIFT = 1_000_000_000
+REDELIVER_SHIFT = 2 * 10**15
 JUNK_EVERY = 997  # every 997th change also yields a malformed record
-JUNK_SHIFT = 2_000_000_000
+JUNK_SHIFT = 4 * 10**15
 SNAPSHOT_TS = "2023-12-31 00:00:00"
 
 

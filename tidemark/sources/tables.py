@@ -7,7 +7,6 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 from ..session import path_exists
@@ -23,21 +22,19 @@ def read_silver(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFr
     """Batch scan of a silver directory with the fixed schema.
 
     A streaming sink directory is read through its metadata log, so only committed
-    micro-batches are seen. A missing table reads as empty (same schema).
+    micro-batches are seen. A missing path reads as empty (same schema); any
+    other read error is raised.
     """
     if not path_exists(spark, path):
         return empty(spark, schema)
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return empty(spark, schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def silver_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
-def register_silver(spark: SparkSession, path: str, view: str = "silver_accounting_cdc_staging") -> DataFrame:
+def register_silver(spark: SparkSession, path: str, view: str = schemas.SILVER_VIEW) -> DataFrame:
     """Register silver as a view over its path (sees new micro-batches at once,
     unlike a catalog table whose file listing can go stale)."""
     df = read_silver(spark, path)
@@ -91,7 +88,7 @@ def source_from_changes(changes: DataFrame) -> DataFrame:
     currency = F.col("currency") if "currency" in changes.columns else F.lit(SEED_CURRENCY)
     return latest.select(
         "account_id",
-        F.col("value").cast(schemas.BALANCE_DECIMAL).alias("current_balance"),
+        F.col("value").try_cast(schemas.BALANCE_DECIMAL).alias("current_balance"),
         currency.alias("currency"),
         ts.alias("transaction_timestamp"),
         ts.alias("updated_at"),

@@ -130,7 +130,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--table-path", required=True)
     parser.add_argument("--checkpoint")
     parser.add_argument("--feed-path", help="directory of Parquet feed records (instead of Kafka)")
-    parser.add_argument("--kafka-bootstrap", default=feeds.KAFKA_BOOTSTRAP)
+    parser.add_argument("--kafka-bootstrap")
     parser.add_argument("--topic", default=feeds.KAFKA_TOPIC)
     parser.add_argument("--max-files-per-trigger", type=int)
     parser.add_argument("--max-offsets-per-trigger", type=int)

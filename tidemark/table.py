@@ -69,8 +69,8 @@ class ChangeTable:
         visible rows (tested) without paying the join on every read."""
         return state.current_state(self.silver(), key=self.spec.key)
 
-    def register_views(self, silver_view: str = "silver_accounting_cdc_staging", gold_view: str = "gold_accounting_current") -> None:
-        """``silver_view`` shows the visible rows; ``gold_view`` is defined in SQL over all of
+    def register_views(self, silver_view: str = schemas.SILVER_VIEW, gold_view: str = schemas.GOLD_VIEW) -> None:
+        """``silver_view`` shows the visible rows; ``gold_view`` is the current state over all of
         silver (same answer, see :meth:`gold`)."""
         all_rows = silver_view + "_all"
         state.register_views(self.spark, self.silver(), all_rows, gold_view, key=self.spec.key)
@@ -84,13 +84,19 @@ class ChangeTable:
         return maintenance.recent_history(self.spark, self.silver_path, n)
 
     def counts(self) -> DataFrame:
-        return audit.health_counts_at(self.spark, self.silver_path, self.schema)
+        """Rows that readers see (compaction and backfills included) and keys in gold."""
+        there = any(tables.silver_exists(self.spark, p) for p in (self.silver_path, self.backfill_path))
+        return audit.health_counts(self.visible() if there else None, self.gold() if there else None)
 
     # --- incremental state (stream sink only: snapshots track its files) --------
     def snapshot(self) -> dict:
         return snapshot.write_snapshot(self.spark, self.silver_path, self.schema, key=self.spec.key)
 
     def gold_incremental(self) -> DataFrame:
+        """From the newest snapshot and files written since. Snapshots track the stream sink
+        only, so with a backfill present this raises; :meth:`current` then reads in full."""
+        if tables.silver_exists(self.spark, self.backfill_path):
+            raise ValueError("incremental state does not cover backfills; use current() or gold()")
         return snapshot.current_state_incremental(self.spark, self.silver_path, self.schema, key=self.spec.key)
 
     def current(self) -> DataFrame:
@@ -106,6 +112,21 @@ class ChangeTable:
         """Every request of a batch with its verdict against the current state."""
         return mutations.judge_mutations(requests, self.current(), key=self.spec.key, **scan)
 
+    def judged_events(self, requests: DataFrame, base_lsn: int, at, **scan) -> tuple[DataFrame, DataFrame]:
+        """(verdicts, feed records of the accepted requests), both from one judgement.
+
+        The verdicts are written once, so changes that arrive in between can't make the published
+        events disagree with them.
+        """
+        from .session import new_work_path
+        from .sources import feed as feeds
+
+        path = new_work_path(self.spark, "judged")
+        self.judge_mutations(requests, **scan).write.parquet(path)
+        judged = self.spark.read.parquet(path)
+        applied = judged.where(judged["reason"].isNull())
+        return judged, feeds.envelope_records(mutations.mutation_changes(applied, base_lsn, at, key=self.spec.key))
+
     def mutation_events(self, requests: DataFrame, base_lsn: int, at, **scan) -> DataFrame:
         """Feed records (change envelopes) for the accepted requests of a batch."""
         from .sources import feed as feeds
