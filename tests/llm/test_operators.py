@@ -1,0 +1,267 @@
+"""Corpus operators against brute-force versions, and on awkward tables."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import (bpe, exact_dedup, html_extract, language_id, line_dedup, merkle, mixing, simhash, toxicity,
+                          url_filter)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, _id string, Copies int, _text string, h long"
+LONG = "lorem ipsum dolor " * 4000
+
+
+def docs_of(spark, rows):
+    """Documents with columns whose names clash with the operators' own."""
+    return spark.createDataFrame([(i, t, lang, s, None, "x", 7, "y", 9) for i, t, lang, s in rows], DOCS)
+
+
+AWKWARD = [
+    (1, "one two three four. Five six!\n\nseven", "en", "a"), (2, "one two three four. Five six!\n\nseven", "en", "a"),
+    (2, "one two three four. Five six!\n\nseven", "en", "a"), (2, "another text of this id", "en", None),
+    (None, "one two three four. Five six!\n\nseven", None, None), (None, None, None, None), (None, "", "de", "b"),
+    (5, None, "en", "a"), (6, "", None, "b"), (7, " \t\n", "en", "b"), (8, LONG, "en", "c"), (9, LONG + "x", "en", "c"),
+    (10, "héé <|endoftext|> 漢字 😀 " * 9, "fr", "c"), (11, "a", "en", "a")]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return docs_of(spark, AWKWARD)
+
+
+@pytest.fixture(scope="module")
+def empty(awkward):
+    return awkward.limit(0)
+
+
+def test_exact_groups_against_brute_force(awkward, empty):
+    got = sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["copies"]) for r in exact_dedup.exact_groups(awkward).collect()), key=str)
+    rows, want = Counter((i, t or "") for i, t, *_ in AWKWARD), []
+    for (i, t), n in rows.items():
+        ids = [j for j, u in rows if u == t]
+        keep = max((j for j in ids if j is not None), default=None)
+        want.append((i, keep, len(ids), i == keep, n))
+    assert got == sorted(want, key=str)
+    kept = exact_dedup.keep_one(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted(r["text"] or "" for r in kept.collect()) == sorted({t or "" for _, t, *_ in AWKWARD})
+    assert exact_dedup.exact_groups(empty).count() == 0 and exact_dedup.keep_one(empty).count() == 0
+
+
+def brute_simhash(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_components(values, radius=3):
+    """Smallest index reachable over links within the radius."""
+    label = list(range(len(values)))
+    for _ in values:
+        label = [min(label[j] for j, b in enumerate(values) if (a ^ b).bit_count() <= radius) for a in values]
+    return label
+
+
+def test_simhash_components_against_brute_force(spark, awkward, empty):
+    r = random.Random(3)
+    base = [f"w{r.randint(0, 300)}" for _ in range(400)]
+    rows = list(AWKWARD)
+    for i in range(60):
+        words = list(base)
+        for _ in range(r.randint(0, 3)):
+            words[r.randrange(400)] = "edit"
+        rows.append((100 + i, " ".join(words), "en", "a"))
+    found = simhash.near_duplicates(docs_of(spark, rows)).collect()
+    prints = [brute_simhash(t) for _, t, *_ in rows]
+    label = brute_components(prints)
+    smallest = {k: min((rows[j][0] for j in range(len(rows)) if label[j] == k and rows[j][0] is not None), default=None) for k in set(label)}
+    want = Counter((rows[j][0], prints[j], smallest[label[j]]) for j in range(len(rows)))
+    assert Counter((x["doc_id"], x["fingerprint"] & (1 << 64) - 1, x["component_id"]) for x in found) == want
+    assert len({x["component_id"] for x in found}) < len(set(prints))  # some are linked
+    kept = simhash.keep_one(docs_of(spark, rows))
+    assert kept.count() == len(smallest) and kept.columns == awkward.columns
+    assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+
+
+def test_shard_blocks_lose_no_link(spark):
+    """A shard far larger than one tree gives the same components."""
+    r = random.Random(5)
+    values = {r.getrandbits(64)}
+    while len(values) < 300:
+        v = r.choice(sorted(values)) if r.random() < 0.8 else r.getrandbits(64)
+        for _ in range(r.randint(1, 3)):
+            v ^= 1 << r.randrange(64)
+        values.add(v)
+    values = sorted(values)
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    df = spark.createDataFrame(signed, "fingerprint long")
+    label = brute_components(values)
+    for rows in (7, 2048):
+        found = {x["node"]: x["component"] for x in simhash.components(simhash.near_links(df, tree_rows=rows)).collect()}
+        groups = {}
+        for (s,), k in zip(signed, label, strict=True):
+            groups.setdefault(k, set()).add(found.get(s, s))
+        assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(set(label))
+
+
+def test_mix_meets_targets(spark, awkward, empty):
+    r = random.Random(1)
+    rows = [(i, "w " * r.randint(1, 400), "en", f"s{i % 4}" if i % 9 else None) for i in range(2000)]
+    got = mixing.mix(docs_of(spark, rows))
+    per = got.groupBy("source").agg(F.max("target").alias("t"), F.sum("taken").alias("k"), F.max("source_size").alias("s")).collect()
+    total = sum(x["s"] for x in per)
+    assert abs(sum(x["t"] for x in per) - total) < 1e-6 * total
+    assert all(abs(x["k"] / x["t"] - 1) < 0.02 and x["t"] <= 3 * x["s"] + 1e-6 for x in per)
+    assert got.where("taken > 3 * size").count() == 0
+    one = {x["doc_id"]: x["taken"] for x in got.collect()}
+    assert one == {x["doc_id"]: x["taken"] for x in mixing.mix(docs_of(spark, rows[::-1])).collect()}
+    mixed = mixing.apply_mix(docs_of(spark, rows)).groupBy("doc_id").count().collect()
+    assert {x["doc_id"]: x["count"] for x in mixed} == {x["doc_id"]: x["copies"] for x in got.where("copies > 0").collect()}
+    odd = mixing.mix(awkward)
+    assert odd.count() == len(AWKWARD) and odd.where("copies not between 0 and 3").count() == 0
+    assert mixing.apply_mix(awkward).count() == odd.agg(F.sum("copies")).first()[0]
+    assert mixing.mix(empty).count() == 0 and mixing.apply_mix(empty).count() == 0
+
+
+def test_targets_reshare_excess(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 10), (None, 1000), ("c", 80)], "source string, source_size long")
+    got = {x["source"]: x["target"] for x in mixing.source_targets(sizes).collect()}
+    # weights a 1, b 2, c 3, null 1 again; a, b and c stop at 3 times their size, the rest goes on
+    assert got["a"] == 30 and got["b"] == 30 and got["c"] == 240 and abs(got[None] - 800) < 1e-9
+
+
+def test_bpe_tree_equals_the_tokenizer(spark, awkward, empty):
+    from tokenizers import Tokenizer
+
+    public = Tokenizer.from_file(bpe.default_path())
+    c, r = bpe.codec(bpe.default_path()), random.Random(2)
+    letters = ["a", "the", " ", "  ", "\n", "'s", "'", "!", "é", "漢", "😀", "23", "<|endoftext|>", "<|", "endoftext", "|>", "\t", " x", "ing"]
+    for _ in range(800):
+        t = "".join(r.choice(letters) for _ in range(r.randint(0, 90)))
+        assert c.encode_long(t, r.choice([1, 2, 3, 7, 16, 40])) == public.encode(t, add_special_tokens=False).ids
+    unsplit = "".join(r.choice("abcdef") for _ in range(30000))
+    assert c.encode_long(unsplit, 1000) == public.encode(unsplit, add_special_tokens=False).ids
+    rows = bpe.decode(bpe.encode(awkward, leaf_chars=500), digest_col="digest").collect()
+    assert len(rows) == len(AWKWARD)
+    for x in rows:
+        ids = public.encode(x["text"] or "", add_special_tokens=False).ids
+        assert x["ids"] == ids and x["decoded"] == public.decode(ids, skip_special_tokens=False)
+        assert x["digest"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+    assert bpe.decode(bpe.encode(empty)).count() == 0
+
+
+def test_merkle_locates_edits_and_meets_neighbours(spark, awkward, empty):
+    df = spark.createDataFrame([("a b.\nc d\n\ne f", "a b.\nc x\n\ne f"), ("same", "same"), (None, "")], "a string, b string")
+    got = df.select(merkle.differing(merkle.tree(F.col("a")), merkle.tree(F.col("b"))).alias("d"),
+                    (merkle.fingerprint(merkle.tree(F.col("a"))) == merkle.fingerprint(merkle.tree(F.col("b")))).alias("same")).collect()
+    assert [(x["section"], x["paragraph"]) for x in got[0]["d"]] == [(0, 1)] and [x["same"] for x in got] == [False, True, True]
+    rows = [(i, t, "en", "a") for i, t in {3: "abcdefgh", 10: "ZYXWVU", 40: "", 77: "q" * 100}.items()]
+    found = {x["doc_id"]: x for x in merkle.compare_with_next(docs_of(spark, rows)).collect()}
+    for k, (i, t, *_) in enumerate(rows):
+        nxt, q = rows[(k + 1) % len(rows)][1], len(t) // 4
+        assert found[i]["edited_sha256"] == hashlib.sha256((t[:len(t) - q] + nxt[:q]).encode()).hexdigest()
+        assert found[i]["n_chars"] == len(t)
+    odd = merkle.compare_with_next(awkward).collect()
+    assert len(odd) == len(AWKWARD) and all(0 <= x["near_edited"] <= 1 and 0 <= x["near_next"] <= 1 for x in odd)
+    assert merkle.compare_with_next(empty).count() == 0 and merkle.fingerprints(awkward).count() == len(AWKWARD)
+
+
+def test_line_templates(spark, awkward, empty):
+    rows = [(i, " ".join(chr(97 + i) * 3 + w for w in ("own", "text", "of", "it")) + f"\nUser 12{i} logged in at 1{i}:00\nall rights of name{chr(97 + i)} are reserved here", "en", "a")
+            for i in range(12)]
+    got = line_dedup.drop_recurring(docs_of(spark, rows), min_docs=10).collect()
+    # the second line varies in numbers only; the third in one word, which the tree generalises
+    assert all(x["dropped"] == 2 and x["n_lines"] == 3 and "own" in x["text"] and "\n" not in x["text"] for x in got)
+    few = line_dedup.drop_recurring(docs_of(spark, rows[:5]), min_docs=10).collect()
+    assert all(x["dropped"] == 0 for x in few) and {x["text"] for x in few} == {t for _, t, *_ in rows[:5]}
+    odd = line_dedup.drop_recurring(awkward, min_docs=2).collect()
+    assert len(odd) == len(AWKWARD) and sum(x["text"] is None for x in odd) == 2
+    assert line_dedup.drop_recurring(empty).count() == 0
+
+
+def test_language_network(spark, awkward, empty):
+    r = random.Random(4)
+    sets = {"en": "the and of with ing tion".split(), "de": "der und sch ich ung keit".split()}
+    rows = [(i, " ".join(r.choice(sets[lang]) for _ in range(60)), lang, "a") for i in range(300) for lang in [("en", "de")[i % 2]]]
+    net = language_id.fit(docs_of(spark, rows), train=F.col("doc_id") < 200, texts_per_lang=80)
+    found = language_id.identify(docs_of(spark, rows[200:]), net).collect()
+    assert sum(x["language"]["lang_pred"] == x["lang"] for x in found) >= 98
+    x = np.stack([language_id.windows(t)[0][0] for _, t, *_ in rows[:20]])
+    assert np.allclose(net.probabilities(x), net._forward(x)[2], atol=1e-4)  # tables give the network's answers
+    odd = {(y["doc_id"], y["text"]): y["language"] for y in language_id.identify(awkward, net).collect()}
+    assert odd[(7, " \t\n")]["lang_pred"] == "und" and odd[(5, None)]["score"] == 0
+    assert language_id.identify(empty, net).count() == 0
+    none = language_id.fit(empty)
+    assert language_id.identify(awkward, none).where("language.lang_pred <> 'und'").count() == 0
+
+
+def page(body, extra=""):
+    return f"<html><head><title>t</title><style>p{{}}</style><script>var x='<p>no</p>'</script></head><body><nav><a href='/'>Home page link</a></nav>{extra}{body}<footer>&copy; foot</footer>"
+
+
+def test_html_extraction(spark):
+    article = "<article class='post-12'><h1>Title &amp; more</h1><p>First <b>bold</b>\n text<p>Second<br>line</p><div class='share'>share it</div><div class='comments'><p>a reader</p></div></article>"
+    want = "Title & more\nFirst bold text\nSecond line"
+    assert html_extract.extract_text(page(article, "<div class='cookie-notice'>We use cookies</div><aside>side</aside><form><input>ask</form>"), None) == want
+    assert html_extract.extract_text(None, None) == "" and html_extract.extract_text("", "html") == ""
+    assert html_extract.extract_text("just words", None) == "just words"
+    assert html_extract.extract_text("<p>open <i>ended", None) == "open ended"
+    # a page whose own scores mislead follows its host
+    good = "<div class='main'><p>" + "long text here " * 30 + "</p></div><div class='box'><p>short</p></div>"
+    odd = "<div class='main'><p>tiny</p></div><div class='box'><p>" + "boxed text " * 30 + "</p></div>"
+    rows = [(i, "http://h.org/x", f"<html><body>{good}") for i in range(3)] + [(9, "http://h.org/y", f"<html><body>{odd}"), (None, None, None), (4, "none", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_host", F.lit(1)).withColumn("path", F.lit(2))
+    got = html_extract.extract(pages, url_filter.host_of(F.col("url"))).collect()
+    texts = {x["page_id"]: x["text"] for x in got}
+    assert len(got) == 6 and texts[9] == "tiny" and texts[None] == "" and texts[4] == ""
+    assert html_extract.extract(pages.limit(0), F.col("url")).count() == 0
+
+
+def test_url_rules(spark):
+    rules = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+    rows = [(1, "http://a.EXAMPLE.net/en/1"), (2, "http://example.net/fr?x"), (3, "http://x.net"), (4, None), (5, "no scheme"),
+            (6, "ftp://example.com/de/x#y"), (7, "http://notexample.com/de/"), (1, "http://a.EXAMPLE.net/en/1")]
+    rows += [(100 + i, f"http://spam-farm{i}.info/win/{i}") for i in range(40)] + [(200 + i, f"http://good{i}.info/read/{i}") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))
+    labelled = pages.where("page_id between 100 and 119 or page_id between 200 and 219").select("url", (F.col("page_id") < 200).alias("bad"))
+    found = url_filter.judge(pages, rules, labelled).collect()
+    got = {x["page_id"]: (x["host"], x["path"], x["rule"], x["verdict"]) for x in found}
+    assert len(found) == len(rows)
+    assert got[1] == ("a.example.net", "/en/1", "example.net/en/", "allow") and got[2] == ("example.net", "/fr", "net/", "block")
+    assert got[3] == ("x.net", "", None, "allow") and got[4] == ("", "", None, "allow") and got[5][:3] == ("", "", None)
+    assert got[6][2:] == ("example.com/de/", "block") and got[7][2:] == (None, "allow")
+    assert all(got[100 + i][3] == "block" and got[200 + i][3] == "allow" for i in range(40))
+    assert url_filter.judge(pages.limit(0), rules, labelled).count() == 0
+    assert url_filter.judge(pages, rules, labelled.limit(0)).where("mined_rule is not null").count() == 0
+
+
+def test_toxicity_learns_unseen_word_forms(spark, awkward, empty):
+    r = random.Random(6)
+    clean = ["ra" + "".join(r.choice("aeioulmnst") for _ in range(4)) for _ in range(150)]
+    rows, labels = [], []
+    for i in range(900):
+        words = [r.choice(clean) for _ in range(60)]
+        bad = i % 3 == 0
+        if bad:
+            words[10:12] = ["zorgla" + r.choice(clean), "zorgla" + r.choice(clean)]
+        rows.append((i, " ".join(words), "en", "a"))
+        labels.append((i, int(bad)))
+    docs, marks = docs_of(spark, rows), spark.createDataFrame([*labels, (None, 1), (1, None)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, marks, train=F.col("doc_id") % 5 != 0)
+    got = {x["doc_id"]: x["score"] for x in toxicity.score(docs, model).collect()}
+    assert sum((got[i] >= 0.5) == bool(y) for i, y in labels if i % 5 == 0) >= 176
+    odd = toxicity.score(awkward, model).collect()
+    assert len(odd) == len(AWKWARD) and all(0 <= x["score"] <= 1 for x in odd)
+    assert toxicity.score(empty, model).count() == 0
+    assert toxicity.score(awkward, toxicity.fit(empty, marks)).where("score not between 0 and 1").count() == 0
+    xs, ys = toxicity.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
+    assert np.allclose(np.interp([1, 2, 3, 4], xs, ys), [0, 0.5, 0.5, 1])

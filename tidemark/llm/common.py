@@ -16,8 +16,8 @@ WORD_SEPARATORS = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 32 << 20
 
 #: Bounds of one Arrow batch: rows and bytes. Python workers hold a few batches at a time.
-BATCH_ROWS = 256
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 96
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -79,14 +79,15 @@ def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_su
     """Rules (items, confidence, support, rule) for bad URLs, from (url, bad) rows.
 
     Support is the share of labelled rows with all items and a bad label, confidence that among rows
-    with all items; a rule also needs ``min_rows`` bad rows. Rows with a null url or label are ignored; without any bad row there is no rule.
+    with all items; a rule also needs ``min_rows`` bad rows and
+    more confidence than the share of bad rows overall. Rows with a null url or label are ignored; without any bad row there is no rule.
     """
     baskets = cut(labelled.where(F.col(url_col).isNotNull() & F.col(bad_col).isNotNull()).select(
         F.concat(tokens_of(F.col(url_col)), F.when(F.col(bad_col).cast("boolean"), F.array(F.lit(BAD))).otherwise(
             F.array().cast("array<string>"))).alias("items")).where(F.size("items") > 0), "url-baskets")
     least = max(min_support, min_rows / max(min_rows, baskets.count()))
     found = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets).associationRules
-    rules = cut(found.where(F.col("consequent") == F.array(F.lit(BAD))).select(
+    rules = cut(found.where((F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") > 1)).select(
         F.array_sort("antecedent").alias("items"), "confidence", "support"), "url-rules")
     # Drop a rule if a part of its items alone is at least as confident.
     parts = rules.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"))
