@@ -24,5 +24,5 @@ def test_jobs_as_processes(spark, workdir):
     feeds.fixture_feed(spark, SF_SMALL).write.parquet(feed_dir)
     root = os.path.join(workdir, "acct")
     _job("ingest", "--root", root, "--feed-path", feed_dir, "--mode", "once")
-    assert "1251 visible rows -> 155 remain visible" in _job("compact", "--root", root)
-    assert "Total raw events currently in silver: 155" in _job("report", "--root", root)
+    assert "compact version=0 before=1251 invalidated=1096 after=155" in _job("compact", "--root", root)
+    assert "report visible_rows=155" in _job("report", "--root", root)
