@@ -249,12 +249,15 @@ def run_steps(spark, sf_dir: str, replicas: list[int], q: dict, info: dict) -> N
     timed(q, "silver_newest", lambda: run(audit.newest(silver, 100)))
     reqs = catalog.mutation_requests(spark, sf_dir)
     deltas = catalog.delta_requests(spark, sf_dir)
-    # Production scan settings (no key is hot at this size: one window per scan) ...
     timed(q, "mutations", lambda: run(mutations.judge_mutations(reqs, gold)))
     timed(q, "delta_fold", lambda: run(mutations.delta_fold(deltas, gold)))
-    # ... and the hot-key path forced on (most keys hot, chunked, carried across chunks).
-    timed(q, "mutations_hot", lambda: run(mutations.judge_mutations(reqs, gold, **catalog.SCAN)))
-    timed(q, "delta_fold_hot", lambda: run(mutations.delta_fold(deltas, gold, **catalog.SCAN)))
+    # One key holds a third of the requests, and positions have wide gaps.
+    def hot(batch):
+        return batch.withColumns({"account_id": F.when(F.col("seq") % 3 == 0, F.lit(7)).otherwise(F.col("account_id")),
+                                  "seq": F.col("seq") * 10_000_000})
+
+    timed(q, "mutations_hot", lambda: run(mutations.judge_mutations(hot(reqs), gold)))
+    timed(q, "delta_fold_hot", lambda: run(mutations.delta_fold(hot(deltas), gold)))
     source = tables.source_from_changes(feeds.fixture_changes(spark, sf_dir))
     timed(q, "reconcile", lambda: run(audit.reconcile(source, gold)))
 

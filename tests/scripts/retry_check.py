@@ -51,7 +51,7 @@ def main(sf_dir: str) -> None:
         reqs = catalog.mutation_requests(spark, sf_dir)
         if inject:
             reqs = reqs.where(fail_once(F.col("seq")))
-        judged = mutations.judge_mutations(reqs, gold, chunk_span=512, hot_rows=64)
+        judged = mutations.judge_mutations(reqs, gold)
         verdicts = sorted(tuple(r) for r in judged.select("seq", "reason", "op", "current_balance").collect())
         snapshot.write_snapshot(spark, path)
         inc = sorted(tuple(r) for r in snapshot.current_state_incremental(spark, path).collect())

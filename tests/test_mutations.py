@@ -114,23 +114,23 @@ def random_batch(rng, n, keys, hot_key=None):
     return rows
 
 
-@pytest.mark.parametrize("chunk_span,hot_rows", [(1 << 20, None), (8, 4), (3, 2), (16, 64), (1, 0)])
-def test_mutations_match_interpreter(spark, chunk_span, hot_rows):
-    rng = random.Random(chunk_span * 31 + (hot_rows or 0))
-    batch = random_batch(rng, 600, 12, hot_key=3)
+@pytest.mark.parametrize("ranges,gap", [(None, 1), (1, 1), (7, 1), (64, 1), (7, 10_000_000)])
+def test_mutations_match_interpreter(spark, ranges, gap):
+    rng = random.Random((ranges or 0) * 31 + gap)
+    batch = [(r[0] * gap, *r[1:]) for r in random_batch(rng, 600, 12, hot_key=3)]
     current = [(k, round(rng.uniform(0, 50), 2), rng.choice(["USD", "EUR", None])) for k in range(0, 12, 2)]
     expected = interpret_mutations(batch, current)
-    got = judged(spark, batch, current, chunk_span=chunk_span, hot_rows=hot_rows)
+    got = judged(spark, batch, current, ranges=ranges)
     assert len(got) == len(batch)
     for r in got:
         assert (r["reason"], r["op"], r["current_balance"], r["currency"]) == expected[r["seq"]], r
 
 
-@pytest.mark.parametrize("chunk_span,hot_rows", [(1 << 20, None), (8, 4), (5, 3)])
-def test_delta_fold_matches_interpreter(spark, chunk_span, hot_rows):
-    rng = random.Random(7 + chunk_span)
+@pytest.mark.parametrize("ranges,gap", [(None, 1), (5, 1), (48, 10_000_000)])
+def test_delta_fold_matches_interpreter(spark, ranges, gap):
+    rng = random.Random(7 + (ranges or 0))
     rows = []
-    for seq in rng.sample(range(2000), 500):
+    for seq in (n * gap for n in rng.sample(range(2000), 500)):
         key = 1 if rng.random() < 0.4 else rng.randrange(10)
         action = rng.choices(["insert", "update", "delete"], weights=[2, 6, 1])[0]
         amount = round(rng.uniform(-20, 20), 2) if action == "update" else round(rng.uniform(0, 500), 2)
@@ -138,7 +138,7 @@ def test_delta_fold_matches_interpreter(spark, chunk_span, hot_rows):
     current = [(k, round(rng.uniform(0, 50), 2), "USD") for k in range(0, 10, 3)]
     expected = interpret_delta(rows, current)
     out = mutations.delta_fold(
-        spark.createDataFrame(rows, DELTA_SCHEMA), gold(spark, current), chunk_span=chunk_span, hot_rows=hot_rows
+        spark.createDataFrame(rows, DELTA_SCHEMA), gold(spark, current), ranges=ranges
     ).collect()
     got = {r["seq"]: (r["op"], r["current_balance"]) for r in out}
     assert got == expected
@@ -149,7 +149,7 @@ def test_prefix_scan_null_key_group_and_sums(spark):
     df = spark.createDataFrame(rows, "k long, s long, v long")
     out = drop_scan_partitioning(
         prefix_scan(df, "k", "s", last_before={"lb": "v"}, last_upto={"lu": "v"}, running_sum={"rs": "v"},
-                    chunk_span=4, hot_rows=3)
+                    ranges=6)
     ).collect()
     for r in out:
         prior = [v for k, s, v in rows if k == r["k"] and s < r["s"] and v is not None]

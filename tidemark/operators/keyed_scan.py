@@ -4,31 +4,22 @@ A sequential rule per key ("is the account there before this request?", "what is
 the balance after it?") is a prefix scan over the key's rows in ``seq`` order. A
 plain ``Window.partitionBy(key)`` would send every row of a hot key to one task.
 
-Keys with more than ``hot_rows`` rows are *hot*. Their rows are split into chunks
-of ``chunk_span`` consecutive ``seq`` values, and the scan runs in two levels:
+:func:`place` deals the rows out by *ranges* of (key, seq), so the cuts follow the
+number of rows, whatever gaps ``seq`` has, and writes them once with the number of
+their range, so that every later use sees the same cuts. A scan then has two levels:
 
-1. inside each ``(key, chunk)`` group, an ordinary running window;
-2. the last row of each hot group is its summary; a window over the summaries of
-   one key (at most ``seq range / chunk_span`` rows) gives the carry from earlier chunks;
-3. the carry is joined back on ``(key, chunk)`` and combined with the local value.
+1. inside each (key, range) group, an ordinary running window;
+2. one partial state per (key, range), combined over a key's earlier ranges into
+   what the group starts from (the carry), and joined back.
 
-Other keys form one group each (at most ``hot_rows`` rows) and need no carry.
-Both supported scans are associative, so the result is exact, not approximate:
-``last non-NULL value`` (strictly before or up to the row) and ``running sum``.
+There is one plan for all keys, hot or not. As ranges are contiguous in (key, seq),
+a range starts inside at most one key: the carry has fewer rows than there are
+ranges, and the window over a key's partial states at most one row per range.
 ``seq`` must be unique within a key.
 
-Partitioning: one partial aggregate finds the hot keys (at most ``rows / hot_rows``)
-and bounds the number of hot ``(key, chunk)`` groups. The hot-key list is broadcast
-only when its measured count is under ``MAX_BROADCAST_KEYS`` (else a shuffled join).
-Rows are hash-partitioned by (key-is-NULL flag, key, chunk) for the window: one
-shuffle of the rows per scan. The carry (one row per hot group, bounded by the
-aggregate) is broadcast back under the same cap, else joined with a shuffle.
-
-Lineage: when hot keys exist, the locally scanned rows feed both the summaries and
-the join back, so they are written once with a reliable ``checkpoint()`` into the
-shared folder (``spark.checkpoint.dir``) instead of being computed twice. Chained
-scans thus stay linear in cost and survive the loss of executors without
-recomputing their inputs. Without hot keys a scan is one window and nothing more.
+Shuffles: one by range (written to the shared folder ``spark.checkpoint.dir``), one
+by (key, range) for the windows, which later scans over the same frame reuse, and
+small ones of partial states.
 """
 
 from __future__ import annotations
@@ -38,65 +29,53 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-DEFAULT_CHUNK_SPAN = 1 << 20
+_KN, _KK, _RANGE = "_scan_key_null", "_scan_key", "_scan_range"
+PARTITION_COLS = [_KN, _KK, _RANGE]
 
-_KN, _KK, _CHUNK, _HOT = "_scan_key_null", "_scan_key", "_scan_chunk", "_scan_hot"
-PARTITION_COLS = [_KN, _KK, _CHUNK]
 
-
-def with_scan_partitioning(
-    df: DataFrame,
-    key: str,
-    seq: str,
-    chunk_span: int = DEFAULT_CHUNK_SPAN,
-    hot_rows: int | None = None,
-) -> DataFrame:
-    """Add the non-NULL grouping columns used by :func:`prefix_scan`.
+def place(df: DataFrame, key: str, seq: str, ranges: int | None = None) -> DataFrame:
+    """Rows with the grouping columns of the scans, written once.
 
     A NULL key is a group of its own (as in SQL ``PARTITION BY``); the flag column
-    keeps it apart from the filler value, so joins stay plain equi-joins.
-
-    One aggregate finds the hot keys and, from each hot key's first and last chunk,
-    an upper bound on the number of hot ``(key, chunk)`` groups. Both numbers ride
-    along as metadata of the chunk column, so later scans over the same frame know
-    the carry size without running another job.
+    keeps it apart from the filler value, so joins stay plain equi-joins. ``ranges``
+    is the number of ranges (default: the session's shuffle partitions, small ones
+    merged at runtime).
     """
-    if _CHUNK in df.columns:
+    if _RANGE in df.columns:
         return df
-    hot_rows = chunk_span if hot_rows is None else hot_rows
     filler = F.lit(0).cast(df.schema[key].dataType)
-    keyed = df.select(
-        "*",
-        F.col(key).isNull().alias(_KN),
-        F.coalesce(F.col(key), filler).alias(_KK),
-    )
-    chunk_of = F.floor(F.col(seq) / F.lit(chunk_span))
-    hot = (
-        keyed.groupBy(_KN, _KK)
-        .agg(F.count(F.lit(1)).alias("_scan_n"), F.min(chunk_of).alias("_c0"), F.max(chunk_of).alias("_c1"))
-        .where(F.col("_scan_n") > hot_rows)
-    )
-    stats = hot.agg(
-        F.count(F.lit(1)).alias("keys"), F.sum(F.col("_c1") - F.col("_c0") + 1).alias("groups")
-    ).first()
-    hot_keys, hot_groups = int(stats["keys"]), int(stats["groups"] or 0)
-    meta = {"hot_keys": hot_keys, "hot_groups": hot_groups}
-    if hot_keys == 0:
-        return keyed.select(
-            *keyed.columns, F.lit(False).alias(_HOT), F.lit(0).cast("long").alias(_CHUNK, metadata=meta)
-        )
-    hot = hot.select(_KN, _KK, F.lit(True).alias(_HOT))
-    flagged = keyed.join(hot, [_KN, _KK], "left")
-    is_hot = F.coalesce(F.col(_HOT), F.lit(False))
-    return flagged.select(
-        *keyed.columns,
-        is_hot.alias(_HOT),
-        F.when(is_hot, chunk_of).otherwise(F.lit(0)).cast("long").alias(_CHUNK, metadata=meta),
-    )
+    keyed = df.select("*", F.col(key).isNull().alias(_KN), F.coalesce(F.col(key), filler).alias(_KK))
+    order = [_KN, _KK, seq]
+    dealt = keyed.repartitionByRange(ranges, *order) if ranges else keyed.repartitionByRange(*order)
+    shared_dir(df.sparkSession)  # checkpoint target must be the shared folder
+    return dealt.withColumn(_RANGE, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def drop_scan_partitioning(df: DataFrame) -> DataFrame:
-    return df.drop(*PARTITION_COLS, _HOT)
+    return df.drop(*PARTITION_COLS)
+
+
+def _in_group(seq: str):
+    return Window.partitionBy(*PARTITION_COLS).orderBy(F.col(seq))
+
+
+def _upto(seq: str):
+    return _in_group(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _earlier():
+    return Window.partitionBy(_KN, _KK).orderBy(_RANGE)
+
+
+def _with_carry(rows: DataFrame, states: DataFrame, columns: dict) -> DataFrame:
+    """``rows`` with what each group starts from: ``columns`` over the states of a key's earlier ranges.
+
+    Groups that start their key have none, so the joined side stays under one row per range.
+    """
+    carry = states.select(
+        *PARTITION_COLS, *[c.alias(name) for name, c in columns.items()], F.row_number().over(_earlier()).alias("_scan_nth")
+    ).where("_scan_nth > 1").drop("_scan_nth")
+    return rows.join(carry, PARTITION_COLS, "left")
 
 
 def prefix_scan(
@@ -106,8 +85,7 @@ def prefix_scan(
     last_before: dict[str, str] | None = None,
     last_upto: dict[str, str] | None = None,
     running_sum: dict[str, str] | None = None,
-    chunk_span: int = DEFAULT_CHUNK_SPAN,
-    hot_rows: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add per-key prefix columns in ``seq`` order.
 
@@ -116,64 +94,65 @@ def prefix_scan(
     * ``running_sum[out] = src``: sum of ``src`` up to and including the row
       (NULL-valued rows add nothing; 0 when nothing was added).
 
-    The grouping columns are kept so a following scan does not shuffle again; drop
+    The grouping columns are kept so a following scan places nothing again; drop
     them with :func:`drop_scan_partitioning`.
     """
-    last_before = last_before or {}
-    last_upto = last_upto or {}
-    running_sum = running_sum or {}
-    d = with_scan_partitioning(df, key, seq, chunk_span, hot_rows)
-
-    order = Window.partitionBy(*PARTITION_COLS).orderBy(F.col(seq))
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-
-    last_srcs = sorted(set(last_before.values()) | set(last_upto.values()))
-    sum_srcs = sorted(set(running_sum.values()))
-    loc_last_upto = {s: f"_scan_lu_{s}" for s in last_srcs}
-    loc_last_before = {s: f"_scan_lb_{s}" for s in set(last_before.values())}
-    loc_sum = {s: f"_scan_rs_{s}" for s in sum_srcs}
+    last_before, last_upto, running_sum = last_before or {}, last_upto or {}, running_sum or {}
+    d = place(df, key, seq, ranges)
+    before = _in_group(seq).rowsBetween(Window.unboundedPreceding, -1)
+    past = _earlier().rowsBetween(Window.unboundedPreceding, -1)
 
+    lasts = sorted({*last_before.values(), *last_upto.values()})
+    sums = sorted(set(running_sum.values()))
     local = d.select(
         "*",
-        *[F.last(F.col(s), ignorenulls=True).over(upto).alias(c) for s, c in loc_last_upto.items()],
-        *[F.last(F.col(s), ignorenulls=True).over(before).alias(c) for s, c in loc_last_before.items()],
-        *[F.sum(F.col(s)).over(upto).alias(c) for s, c in loc_sum.items()],
-        F.lead(F.col(seq)).over(order).isNull().alias("_scan_group_end"),
+        *[F.last(F.col(s), ignorenulls=True).over(before).alias(f"_scan_lb_{s}") for s in sorted(set(last_before.values()))],
+        *[F.last(F.col(s), ignorenulls=True).over(_upto(seq)).alias(f"_scan_lu_{s}") for s in sorted(set(last_upto.values()))],
+        *[F.sum(F.col(s)).over(_upto(seq)).alias(f"_scan_rs_{s}") for s in sums],
+    )
+    # the partial states need no window: newest non-NULL value and sum, combined on the map side
+    states = d.groupBy(*PARTITION_COLS).agg(
+        F.count(F.lit(1)).alias("_scan_n"),
+        *[F.max_by(F.col(s), F.when(F.col(s).isNotNull(), F.col(seq))).alias(f"_scan_l_{s}") for s in lasts],
+        *[F.sum(F.col(s)).alias(f"_scan_s_{s}") for s in sums],
     )
-    meta = d.schema[_CHUNK].metadata
-    carry_last = {s: f"_scan_cl_{s}" for s in last_srcs}
-    carry_sum = {s: f"_scan_cs_{s}" for s in sum_srcs}
-    if meta.get("hot_keys", 1) == 0:
-        # No hot key: every key is one group and the local scan is the answer.
-        joined = local.select(
-            "*",
-            *[F.lit(None).cast(local.schema[loc_last_upto[s]].dataType).alias(c) for s, c in carry_last.items()],
-            *[F.lit(None).cast(local.schema[loc_sum[s]].dataType).alias(c) for s, c in carry_sum.items()],
-        )
-    else:
-        shared_dir(local.sparkSession)  # checkpoint target must be the shared folder
-        local = local.checkpoint(eager=True)
-
-        # One summary row per hot (key, chunk): its values at the group's last row.
-        summary = local.where(F.col("_scan_group_end") & F.col(_HOT)).select(
-            *PARTITION_COLS, *loc_last_upto.values(), *loc_sum.values()
-        )
-        earlier = Window.partitionBy(_KN, _KK).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        carry = summary.select(
-            *PARTITION_COLS,
-            *[F.last(F.col(loc_last_upto[s]), ignorenulls=True).over(earlier).alias(c) for s, c in carry_last.items()],
-            *[F.sum(F.col(loc_sum[s])).over(earlier).alias(c) for s, c in carry_sum.items()],
-        )
-        # Broadcast or shuffled as the carry measures at runtime.
-        joined = local.join(carry, PARTITION_COLS, "left")
+    joined = _with_carry(local, states, {
+        **{f"_scan_cl_{s}": F.last(F.col(f"_scan_l_{s}"), ignorenulls=True).over(past) for s in lasts},
+        **{f"_scan_cs_{s}": F.sum(F.col(f"_scan_s_{s}")).over(past) for s in sums},
+    })
     out = []
     for name, s in last_before.items():
-        out.append(F.coalesce(F.col(loc_last_before[s]), F.col(carry_last[s])).alias(name))
+        out.append(F.coalesce(F.col(f"_scan_lb_{s}"), F.col(f"_scan_cl_{s}")).alias(name))
     for name, s in last_upto.items():
-        out.append(F.coalesce(F.col(loc_last_upto[s]), F.col(carry_last[s])).alias(name))
+        out.append(F.coalesce(F.col(f"_scan_lu_{s}"), F.col(f"_scan_cl_{s}")).alias(name))
     for name, s in running_sum.items():
         zero = F.lit(0).cast(df.schema[s].dataType)
-        out.append((F.coalesce(F.col(loc_sum[s]), zero) + F.coalesce(F.col(carry_sum[s]), zero)).alias(name))
-    keep = [c for c in d.columns if c not in (set(last_before) | set(last_upto) | set(running_sum))]
-    return joined.select(*keep, *out)
+        out.append((F.coalesce(F.col(f"_scan_rs_{s}"), zero) + F.coalesce(F.col(f"_scan_cs_{s}"), zero)).alias(name))
+    made = {*last_before, *last_upto, *running_sum}
+    return joined.select(*[c for c in d.columns if c not in made], *out)
+
+
+def set_or_add(placed: DataFrame, seq: str, set_col: str, add_col: str, out: str) -> DataFrame:
+    """Add ``out``: a key's value after each row, where a row sets it (``set_col`` not NULL), adds to
+    it (``add_col`` not NULL) or leaves it; NULL until it is first set.
+
+    With P the running sum of what is added, the value is the newest ``set - P`` plus P. Both sums
+    start anew in each range, and one carry holds what a key's earlier ranges leave. ``placed`` has
+    the columns of :func:`place`.
+    """
+    zero = F.lit(0).cast(placed.schema[add_col].dataType)
+    past = _earlier().rowsBetween(Window.unboundedPreceding, -1)
+    added = F.coalesce(F.col(add_col), zero)
+    local = placed.withColumn("_scan_p", F.sum(added).over(_upto(seq))).withColumn(
+        "_scan_anchor", F.col(set_col) - F.col("_scan_p")
+    ).withColumn("_scan_base", F.last("_scan_anchor", ignorenulls=True).over(_upto(seq)))
+    states = local.groupBy(*PARTITION_COLS).agg(
+        F.sum(added).alias("_scan_total"),
+        F.max_by("_scan_anchor", F.when(F.col("_scan_anchor").isNotNull(), F.col(seq))).alias("_scan_a"),
+    ).withColumn("_scan_before", F.coalesce(F.sum("_scan_total").over(past), zero))
+    joined = _with_carry(local, states, {
+        "_scan_cp": F.col("_scan_before"),
+        "_scan_cb": F.last(F.col("_scan_a") - F.col("_scan_before"), ignorenulls=True).over(past),
+    })
+    value = F.coalesce(F.col("_scan_base"), F.col("_scan_cb") + F.col("_scan_cp")) + F.col("_scan_p")
+    return joined.select(*placed.columns, value.alias(out))

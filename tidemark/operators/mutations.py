@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..session import shared_dir
-from .keyed_scan import DEFAULT_CHUNK_SPAN, drop_scan_partitioning, prefix_scan
+from .keyed_scan import drop_scan_partitioning, prefix_scan, set_or_add
 from .state import KEY
 
 # Request actions, event op codes, rejection reasons, default currency.
@@ -61,8 +61,7 @@ def judge_mutations(
     requests: DataFrame,
     gold: DataFrame,
     key: str = KEY,
-    chunk_span: int = DEFAULT_CHUNK_SPAN,
-    hot_rows: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Every request with its verdict: ``reason`` NULL when applied, with ``op``,
     ``current_balance`` and ``currency`` of the resulting change (NULL for deletes)."""
@@ -98,8 +97,7 @@ def judge_mutations(
         key,
         "seq",
         last_before={"_exists": "_flag", "_cur": "_icur"},
-        chunk_span=chunk_span,
-        hot_rows=hot_rows,
+        ranges=ranges,
     )
     unplaced = req_rows.where(~positioned | F.col("seq").isNull()).select(
         "*", F.lit(None).cast("boolean").alias("_exists"), F.lit(None).cast("string").alias("_cur")
@@ -146,8 +144,7 @@ def delta_fold(
     requests: DataFrame,
     gold: DataFrame,
     key: str = KEY,
-    chunk_span: int = DEFAULT_CHUNK_SPAN,
-    hot_rows: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Relative updates folded into balances (M2).
 
@@ -157,9 +154,9 @@ def delta_fold(
     Returns the applied requests with the balance after each (NULL for deletes),
     computed exactly in DECIMAL and returned as double.
 
-    balance(i) = base of the last applied insert (or current balance) + applied
-    deltas since then. With P = running sum of applied deltas, that is
-    ``last(base - P at the base row) + P(i)``: two associative scans.
+    One scan finds whether the account exists before each request, a second one over the same
+    ranges the balance: that of the last applied insert (or the current one) and the deltas
+    applied since.
     """
     act = F.col("action")
     reqs = requests.select(
@@ -188,8 +185,7 @@ def delta_fold(
         key,
         "seq",
         last_before={"_exists": "_flag"},
-        chunk_span=chunk_span,
-        hot_rows=hot_rows,
+        ranges=ranges,
     )
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     a, virtual = F.coalesce(F.col("action"), F.lit("")), F.col(VIRTUAL)
@@ -198,15 +194,17 @@ def delta_fold(
         (virtual | ((a == INSERT) & ~exists)).alias("_is_set"),
         ((a == UPDATE) & exists).alias("_is_add"),
         ((a == DELETE) & exists).alias("_is_del"),
-    ).withColumn("_add", F.when(F.col("_is_add"), F.col("amount")).otherwise(F.lit(0).cast(EXACT)))
-    s2 = prefix_scan(s1, key, "seq", running_sum={"_p": "_add"}, chunk_span=chunk_span, hot_rows=hot_rows)
-    s2 = s2.withColumn("_anchor", F.when(F.col("_is_set"), F.col("amount") - F.col("_p")))
-    s3 = prefix_scan(s2, key, "seq", last_upto={"_base": "_anchor"}, chunk_span=chunk_span, hot_rows=hot_rows)
-    rows = drop_scan_partitioning(s3).where(
+    ).select(
+        "*",
+        F.when(F.col("_is_set"), F.col("amount")).alias("_set"),
+        F.when(F.col("_is_add"), F.col("amount")).alias("_add"),
+    )
+    folded = set_or_add(s1, "seq", "_set", "_add", "_balance")
+    rows = drop_scan_partitioning(folded).where(
         ~virtual & (F.col("_is_set") | F.col("_is_add") | F.col("_is_del"))
     )
     op = F.when(a == INSERT, "c").when(a == UPDATE, "u").otherwise("d")
-    balance = F.when(~F.col("_is_del"), (F.col("_base") + F.col("_p")).cast("double"))
+    balance = F.when(~F.col("_is_del"), F.col("_balance").cast("double"))
     return rows.select("seq", key, op.alias("op"), balance.alias("current_balance"))
 
 

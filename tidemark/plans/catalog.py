@@ -236,12 +236,6 @@ EUR_EVERY = 11
 NO_CURRENCY_EVERY = 17
 EMPTY_CURRENCY_EVERY = 19
 DELTA_CENTER = 50.0  # update delta = value - 50
-# Scan tuning of the mutation batches: keys with more than MUTATION_HOT_ROWS
-# requests are split into chunks of MUTATION_CHUNK_SPAN positions. Set low so the
-# test scales hold both hot and ordinary keys; at cluster scale ~1M / ~1M.
-MUTATION_CHUNK_SPAN = 512
-MUTATION_HOT_ROWS = 64
-SCAN = {"chunk_span": MUTATION_CHUNK_SPAN, "hot_rows": MUTATION_HOT_ROWS}
 
 
 def _event_actions(events: DataFrame) -> F.Column:
@@ -279,19 +273,15 @@ def _gold(spark, sf_dir):
 
 
 def mutations_applied(spark, sf_dir):
-    return mutations.apply_mutations(
-        mutation_requests(spark, sf_dir), _gold(spark, sf_dir), **SCAN
-    )
+    return mutations.apply_mutations(mutation_requests(spark, sf_dir), _gold(spark, sf_dir))
 
 
 def mutations_rejected(spark, sf_dir):
-    return mutations.rejected_mutations(
-        mutation_requests(spark, sf_dir), _gold(spark, sf_dir), **SCAN
-    )
+    return mutations.rejected_mutations(mutation_requests(spark, sf_dir), _gold(spark, sf_dir))
 
 
 def delta_fold(spark, sf_dir):
-    return mutations.delta_fold(delta_requests(spark, sf_dir), _gold(spark, sf_dir), **SCAN)
+    return mutations.delta_fold(delta_requests(spark, sf_dir), _gold(spark, sf_dir))
 
 
 # Where the mutation batch lands in the feed.
@@ -303,7 +293,7 @@ def gold_after_mutations(spark, sf_dir):
     """End to end: judge a batch against gold, publish the applied events as change
     envelopes, ingest them next to the existing feed, resolve gold again."""
     silver = fixture_silver(spark, sf_dir)
-    applied = mutations.apply_mutations(mutation_requests(spark, sf_dir), state.current_state(silver), **SCAN)
+    applied = mutations.apply_mutations(mutation_requests(spark, sf_dir), state.current_state(silver))
     changes = mutations.mutation_changes(applied, MUTATION_BASE_LSN, MUTATION_COMMIT_TS)
     new_rows = to_silver(feed.envelope_records(changes))
     return state.current_state(silver.unionByName(new_rows)).select(*GOLD_COMPARABLE)
