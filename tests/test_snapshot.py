@@ -33,16 +33,29 @@ def test_snapshot_chain_equals_full_read(spark, workdir):
     assert _same(full, inc)
 
 
-def test_only_new_files_are_read(spark, workdir):
+def test_only_later_arrivals_are_ranked(spark, workdir):
     path = os.path.join(workdir, "silver")
     records = feeds.fixture_feed(spark, SF_SMALL)
     streaming.ingest_batch(records.where(F.col("offset") < 500), path)
-    snapshot.write_snapshot(spark, path)
-    old_files = set(read_silver(spark, path).inputFiles())
+    first = snapshot.write_snapshot(spark, path)
+    assert first["arrived"] == records.where(F.col("offset") < 500).count()
     streaming.ingest_batch(records.where(F.col("offset") >= 500), path)
-    rows, _, version = snapshot._state_inputs(spark, path, schemas.SILVER)
-    silver_files_read = {f for f in rows.inputFiles() if "_state" not in f}
-    assert version == 0 and silver_files_read and not (silver_files_read & old_files)
+    rows, arrived, version, _ = snapshot._state_inputs(spark, path, schemas.SILVER)
+    assert version == 0
+    assert arrived.count() == records.where(F.col("offset") >= 500).count()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ingested_at" in plan  # pushed to the scan
+
+
+def test_old_versions_go_and_empty_arrivals_keep_the_cutoff(spark, workdir):
+    path = os.path.join(workdir, "silver")
+    streaming.ingest_batch(feeds.fixture_feed(spark, SF_SMALL), path)
+    for version in range(snapshot.KEEP_VERSIONS + 2):
+        done = snapshot.write_snapshot(spark, path)
+        assert done["version"] == version and (done["arrived"] > 0) == (version == 0)
+    rows = sorted(os.listdir(snapshot.snapshot_path(path) + "/rows"))
+    assert len([r for r in rows if r.startswith("version=")]) == snapshot.KEEP_VERSIONS
+    assert _same(snapshot.current_state_incremental(spark, path), state.current_state(read_silver(spark, path)))
 
 
 def _env(op, account, lsn, balance=None):

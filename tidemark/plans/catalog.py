@@ -219,15 +219,18 @@ SNAPSHOT_CUT = "2024-01-15 00:00:00"
 
 
 def gold_incremental(spark, sf_dir):
-    """Gold from a state snapshot plus the files that arrived after it: the feed is
-    ingested in two arrivals (by record time) with a snapshot in between."""
-    path = new_work_path(spark, "incremental") + "/silver"
+    """Gold from a state snapshot plus what arrived after it: the feed comes in three arrivals
+    (by record time and offset), a snapshot after the first, the last one as a backfill."""
+    root = new_work_path(spark, "incremental")
+    path, backfill = root + "/silver", root + "/silver_backfill"
     records = feed.fixture_feed(spark, sf_dir)
-    early = F.col("timestamp") < F.lit(SNAPSHOT_CUT).cast("timestamp")
+    early = F.coalesce(F.col("timestamp") < F.lit(SNAPSHOT_CUT).cast("timestamp"), F.lit(False))
+    third = F.pmod("offset", F.lit(3)) == 0
     streaming.ingest_batch(records.where(early), path)
     snapshot.write_snapshot(spark, path)
-    streaming.ingest_batch(records.where(~early | F.col("timestamp").isNull()), path)
-    return snapshot.current_state_incremental(spark, path).select(*GOLD_COMPARABLE)
+    streaming.ingest_batch(records.where(~early & ~third), path)
+    streaming.ingest_batch(records.where(~early & third), backfill)
+    return snapshot.current_state_incremental(spark, path, more=tables.read_silver(spark, backfill)).select(*GOLD_COMPARABLE)
 
 
 # How the test mutation batches are derived from ``events``.
@@ -284,6 +287,17 @@ def delta_fold(spark, sf_dir):
     return mutations.delta_fold(delta_requests(spark, sf_dir), _gold(spark, sf_dir))
 
 
+# Fixed value: gap between the positions of the sparse batches.
+SPARSE_GAP = 10_000_000
+
+
+def mutations_sparse_seq(spark, sf_dir):
+    """Every request of a batch with wide gaps between its positions, and its verdict."""
+    sparse = mutation_requests(spark, sf_dir).withColumn("seq", F.col("seq") * SPARSE_GAP)
+    judged = mutations.judge_mutations(sparse, _gold(spark, sf_dir))
+    return judged.select("seq", "account_id", "action", "reason", "op", "current_balance")
+
+
 # Where the mutation batch lands in the feed.
 MUTATION_BASE_LSN = 10**16  # past every lsn and offset of the feed
 MUTATION_COMMIT_TS = "2024-03-01 00:00:00"
@@ -338,6 +352,7 @@ QUERIES = {
     "compaction_history": compaction_history,
     "mutations_applied": mutations_applied,
     "mutations_rejected": mutations_rejected,
+    "mutations_sparse_seq": mutations_sparse_seq,
     "delta_fold": delta_fold,
     "insert_if_absent": insert_if_absent,
     "gold_after_mutations": gold_after_mutations,

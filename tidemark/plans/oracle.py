@@ -16,6 +16,7 @@ from .catalog import (
     LOOKUP_ACCOUNT,
     NO_BALANCE_EVERY,
     NO_CURRENCY_EVERY,
+    SPARSE_GAP,
 )
 
 # Relational feed (FIXTURES.md section 3) and silver projected from it.
@@ -315,6 +316,10 @@ ORACLE = {
         SELECT seq, account_id, op, current_balance, currency FROM decided WHERE reason IS NULL"""),
     "mutations_rejected": _with(MUTATION_CTES + """
         SELECT seq, account_id, action, reason FROM decided WHERE reason IS NOT NULL"""),
+    "mutations_sparse_seq": _with(MUTATION_CTES + f"""
+        SELECT seq * {SPARSE_GAP} AS seq, account_id, action, reason,
+               CASE WHEN reason IS NULL THEN op END AS op,
+               CASE WHEN reason IS NULL THEN current_balance END AS current_balance FROM decided"""),
     "delta_fold": _with(DELTA_CTES + """
         SELECT seq, account_id,
                CASE action WHEN 'insert' THEN 'c' WHEN 'update' THEN 'u' ELSE 'd' END AS op,

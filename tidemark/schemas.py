@@ -185,6 +185,9 @@ SIDECAR = StructType(
     ]
 )
 
+# State snapshots, one row per version: the latest arrival that it covers, in microseconds.
+SNAPSHOT_LOG = StructType([StructField("version", LongType()), StructField("cutoff", LongType())])
+
 # Maintenance log, one row per run.
 HISTORY = StructType(
     [

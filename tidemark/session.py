@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 #  - ANSI stays on (Spark 4 default); parsing code uses try_cast where input may be junk.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # times with statistics per row group, so that a cut-off by time can skip row groups
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 # Settings for scale: runtime re-planning, skew splitting, partition coalescing.
@@ -88,3 +90,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own work files, if it is there."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

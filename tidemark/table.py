@@ -88,24 +88,18 @@ class ChangeTable:
         there = any(tables.silver_exists(self.spark, p) for p in (self.silver_path, self.backfill_path))
         return audit.health_counts(self.visible() if there else None, self.gold() if there else None)
 
-    # --- incremental state (stream sink only: snapshots track its files) --------
+    # --- incremental state --------------------------------------------------------
     def snapshot(self) -> dict:
         return snapshot.write_snapshot(self.spark, self.silver_path, self.schema, key=self.spec.key)
 
     def gold_incremental(self) -> DataFrame:
-        """From the newest snapshot and files written since. Snapshots track the stream sink
-        only, so with a backfill present this raises; :meth:`current` then reads in full."""
-        if tables.silver_exists(self.spark, self.backfill_path):
-            raise ValueError("incremental state does not cover backfills; use current() or gold()")
-        return snapshot.current_state_incremental(self.spark, self.silver_path, self.schema, key=self.spec.key)
+        """From the newest snapshot of the stream sink, what arrived since, and all backfills."""
+        backfill = tables.read_silver(self.spark, self.backfill_path, self.schema)
+        return snapshot.current_state_incremental(self.spark, self.silver_path, self.schema, key=self.spec.key, more=backfill)
 
     def current(self) -> DataFrame:
-        """Gold the cheapest exact way: from the newest snapshot plus new files when a
-        snapshot exists (stream sink only, so only without backfills), else in full."""
-        has_backfill = tables.silver_exists(self.spark, self.backfill_path)
-        if not has_backfill and snapshot.latest_version(self.spark, self.silver_path) is not None:
-            return self.gold_incremental()
-        return self.gold()
+        """Gold the cheapest exact way: without a snapshot this is the full read."""
+        return self.gold_incremental()
 
     # --- mutation batches ---------------------------------------------------------
     def judge_mutations(self, requests: DataFrame, **scan) -> DataFrame:
