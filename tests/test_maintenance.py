@@ -146,3 +146,14 @@ def test_replay_of_the_same_offsets_stays_visible(spark, workdir):
     vis = maintenance.visible(read_silver(spark, path), maintenance.read_sidecar(spark, path))
     assert vis.count() == run["after"] + 1251
     assert maintenance.compact(spark, read_silver(spark, path), path)["after"] == 2 * run["after"]
+
+
+def test_begun_runs_keep_their_version(spark, workdir):
+    path = os.path.join(workdir, "silver")
+    streaming.ingest_batch(feeds.fixture_feed(spark, SF_SMALL), path)
+    # a run that has begun (or was lost) has its folder, without committed files
+    os.makedirs(os.path.join(maintenance.sidecar_path(path), "version=0", "_temporary"))
+    run = maintenance.compact(spark, read_silver(spark, path), path)
+    assert run["version"] == 1 and run["invalidated"] > 0
+    assert [r["version"] for r in maintenance.read_history(spark, path).collect()] == [1]
+    assert maintenance.visible(read_silver(spark, path), maintenance.read_sidecar(spark, path)).count() == run["after"]

@@ -40,6 +40,8 @@ def test_change_table_end_to_end(spark, workdir):
     assert spark.table("tt_gold").count() == 148
     row = t.counts().first()
     assert row["silver_table_exists"] and row["silver_count"] == 156 and row["gold_count"] == 148
+    rows = t.preview(10).collect()
+    assert len(rows) == 10 and {r["total_events"] for r in rows} == {156}
     t.snapshot()
     gold_before = spark.createDataFrame(t.gold().collect(), t.gold().schema)
     # backfills after the snapshot count, also one with a key's newest change

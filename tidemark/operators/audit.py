@@ -59,6 +59,11 @@ def newest(silver: DataFrame, n: int = 100, columns: list[str] | None = None) ->
     )
 
 
+def preview(silver: DataFrame, n: int = 100, columns: list[str] | None = None) -> DataFrame:
+    """The newest ``n`` rows and, beside each, how many rows there are in all (``total_events``)."""
+    return newest(silver, n, columns).withColumn("total_events", silver_total(silver).scalar())
+
+
 def duplicate_keys(silver: DataFrame, key: str = KEY) -> DataFrame:
     """Surrogate keys held by more than one silver row."""
     return (

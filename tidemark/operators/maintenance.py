@@ -46,6 +46,10 @@ def sidecar_path(table_path: str) -> str:
     return table_path.rstrip("/") + SIDECAR_DIR
 
 
+def _version_path(table_path: str, version: int) -> str:
+    return f"{sidecar_path(table_path)}/version={version}"
+
+
 def history_path(table_path: str) -> str:
     return table_path.rstrip("/") + HISTORY_DIR
 
@@ -82,14 +86,18 @@ def retained(silver_visible: DataFrame, key: str = KEY, order: tuple[str, ...] =
 
 
 def next_version(spark: SparkSession, table_path: str) -> int:
-    """One past the highest version seen in the sidecar or the history log."""
+    """One past the highest version seen in the sidecar or the history log, and past every run that
+    has begun to write (or failed while writing), so that two runs at once do not share a version."""
     row = (
         read_sidecar(spark, table_path).select(F.max("version").alias("v"))
         .unionByName(read_history(spark, table_path).select(F.max("version").alias("v")))
         .agg(F.max("v").alias("v"))
         .first()
     )
-    return 0 if row is None or row["v"] is None else int(row["v"]) + 1
+    version = 0 if row is None or row["v"] is None else int(row["v"]) + 1
+    while path_exists(spark, _version_path(table_path, version)):
+        version += 1
+    return version
 
 
 def compact(spark: SparkSession, silver: DataFrame, table_path: str, key: str = KEY, order: tuple[str, ...] = ORDER) -> dict:
@@ -103,20 +111,19 @@ def compact(spark: SparkSession, silver: DataFrame, table_path: str, key: str =
     narrow projection (identity, key, order, surrogate key) is written once with a
     reliable checkpoint: the anti join against the sidecar runs once per run.
     """
-    version = next_version(spark, table_path)
     sidecar = read_sidecar(spark, table_path)
     cols = list(dict.fromkeys([*schemas.ROW_IDENTITY, "surrogate_key", key, *order]))
     shared_dir(spark)
     vis = visible(silver, sidecar).select(*cols).checkpoint(eager=True)
     before = vis.count()
-    doomed = superseded(vis, key, order).select(*schemas.ROW_IDENTITY, F.lit(version).cast("long").alias("version"))
+    doomed = superseded(vis, key, order).select(*schemas.ROW_IDENTITY)
+    version = next_version(spark, table_path)
     # Count the invalidated rows inside the write job itself (no second pass).
     written = Observation(f"compaction-{version}")
     (
         doomed.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
-        .partitionBy("version")
-        .parquet(sidecar_path(table_path))
+        .write.mode("error")  # a run that took the same version at the same moment fails
+        .parquet(_version_path(table_path, version))
     )
     invalidated = int(written.get["rows"])
     after = before - invalidated

@@ -85,6 +85,24 @@ def event_month_counts(spark, sf_dir):
     )
 
 
+# Arrival stamps of the queries that compare them.
+ARRIVALS = ("2024-05-01 00:00:00", "2024-06-01 00:00:00")
+
+
+def event_month_all(spark, sf_dir):
+    """Month of every row, of the event or, for deletes and junk, of the arrival."""
+    silver = to_silver(feed.fixture_feed(spark, sf_dir), ingested_at=F.lit(ARRIVALS[0]).cast("timestamp"))
+    return silver.groupBy("event_month").agg(F.count(F.lit(1)).alias("events"))
+
+
+def silver_newest_arrivals(spark, sf_dir):
+    """The newest 100 rows of two arrivals (even offsets came first), with the total."""
+    stamp = F.when(F.col("kafka_event_offset") % 2 == 0, F.lit(ARRIVALS[0])).otherwise(F.lit(ARRIVALS[1]))
+    silver = to_silver(feed.fixture_feed(spark, sf_dir), ingested_at=stamp)
+    rows = audit.preview(silver, 100, ["kafka_partition", "kafka_event_offset", "account_id", "ingested_at"])
+    return rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
 def gold_current(spark, sf_dir):
     return state.current_state(fixture_silver(spark, sf_dir)).select(*GOLD_COMPARABLE).orderBy("account_id")
 
@@ -214,6 +232,14 @@ def compaction_history(spark, sf_dir):
     )
 
 
+def history_last_5(spark, sf_dir):
+    """The last five of six runs, newest first (T3); the first run hides rows, the others find none."""
+    path = _compacted_table(spark, sf_dir, runs=6)
+    m = F.col("metrics")
+    return maintenance.recent_history(spark, path).select(
+        "version", m["numRowsBefore"].cast("long").alias("rows_before"), m["numDeletedRows"].cast("long").alias("rows_invalidated"))
+
+
 # Fixed value: feed records stamped before this instant arrive before the snapshot.
 SNAPSHOT_CUT = "2024-01-15 00:00:00"
 
@@ -330,6 +356,8 @@ QUERIES = {
     "surrogate_key_stats": surrogate_key_stats,
     "duplicate_keys": duplicate_keys,
     "event_month_counts": event_month_counts,
+    "event_month_all": event_month_all,
+    "silver_newest_arrivals": silver_newest_arrivals,
     "gold_current": gold_current,
     "gold_sql": gold_sql,
     "gold_lookup": gold_lookup,
@@ -350,6 +378,7 @@ QUERIES = {
     "stream_vs_batch": stream_vs_batch,
     "visible_after_compaction": visible_after_compaction,
     "compaction_history": compaction_history,
+    "history_last_5": history_last_5,
     "mutations_applied": mutations_applied,
     "mutations_rejected": mutations_rejected,
     "mutations_sparse_seq": mutations_sparse_seq,

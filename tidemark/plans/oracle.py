@@ -8,6 +8,7 @@ never compared (the hash is engine-specific); the ``key|lsn`` text it hashes is.
 from __future__ import annotations
 
 from .catalog import (
+    ARRIVALS,
     MUTATION_BASE_LSN,
     MUTATION_COMMIT_TS,
     DELTA_CENTER,
@@ -176,6 +177,18 @@ ORACLE = {
         SELECT event_month, COUNT(*) AS events FROM silver
         WHERE transaction_timestamp IS NOT NULL GROUP BY event_month"""
     ),
+    "event_month_all": _with(
+        f"""
+        SELECT coalesce(event_month, strftime(TIMESTAMP '{ARRIVALS[0]}', '%Y-%m')) AS event_month, COUNT(*) AS events
+        FROM silver GROUP BY 1"""
+    ),
+    "silver_newest_arrivals": _with(
+        f"""
+        SELECT kafka_partition, kafka_event_offset, account_id,
+               CASE WHEN kafka_event_offset % 2 = 0 THEN TIMESTAMP '{ARRIVALS[0]}' ELSE TIMESTAMP '{ARRIVALS[1]}' END AS ingested_at,
+               (SELECT COUNT(*) FROM silver) AS total_events
+        FROM silver ORDER BY ingested_at DESC, kafka_partition DESC, kafka_event_offset DESC LIMIT 100"""
+    ),
     "gold_current": _with(f"SELECT {GOLD_COLS} FROM gold ORDER BY account_id"),
     "gold_sql": _with(f"SELECT {GOLD_COLS} FROM gold ORDER BY account_id"),
     "gold_lookup": _with(f"SELECT {GOLD_COLS} FROM gold WHERE account_id = {LOOKUP_ACCOUNT}"),
@@ -312,6 +325,12 @@ ORACLE = {
         SELECT CAST(1 AS BIGINT), 'SOFT DELETE',
                (SELECT COUNT(*) FROM retained), CAST(0 AS BIGINT), (SELECT COUNT(*) FROM retained)"""
     ),
+    "history_last_5": _with(
+        """
+        SELECT CAST(v AS BIGINT) AS version, (SELECT COUNT(*) FROM retained) AS rows_before,
+               CAST(0 AS BIGINT) AS rows_invalidated
+        FROM generate_series(5, 1, -1) t(v) ORDER BY version DESC"""
+    ),
     "mutations_applied": _with(MUTATION_CTES + """
         SELECT seq, account_id, op, current_balance, currency FROM decided WHERE reason IS NULL"""),
     "mutations_rejected": _with(MUTATION_CTES + """

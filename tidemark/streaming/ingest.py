@@ -102,19 +102,19 @@ def ingest_available(source: DataFrame, table_path: str, **kwargs) -> StreamingQ
     return query
 
 
-def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False, spec=None) -> int:
+def ingest_batch(feed: DataFrame, table_path: str, exact_decimal: bool = False, spec=None, sort_by_key: bool = False) -> int:
     """Backfill a static feed into a *batch* silver directory (not a streaming sink's).
 
-    Rows are sorted by key inside each task (no shuffle; the partitioned writer sorts
-    by month anyway), so Parquet row-group statistics on ``account_id`` are narrow and
-    a pushed-down key lookup can skip row groups. Returns the number of rows appended.
+    No shuffle. ``sort_by_key`` sorts each task's rows by month and key, so that Parquet row-group
+    statistics on the key are narrow and a pushed-down key lookup can skip row groups; the rows
+    are sorted in full width for it, raw JSON included. Returns the number of rows appended.
     """
     if _exists(feed.sparkSession, table_path.rstrip("/") + "/_spark_metadata"):
         # Readers of a streaming sink go through its log: appended files would be invisible.
         raise ValueError(f"{table_path} is a streaming sink; backfill into a sibling table and union")
     parsed = to_silver(feed, exact_decimal=exact_decimal, spec=spec)
     key = (spec.key if spec is not None else "account_id")
-    rows = parsed.sortWithinPartitions("event_month", key)
+    rows = parsed.sortWithinPartitions("event_month", key) if sort_by_key else parsed
     appended = Observation("ingest-batch")  # counted inside the write job
     rows.observe(appended, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(
         "event_month"

@@ -88,6 +88,10 @@ class ChangeTable:
         there = any(tables.silver_exists(self.spark, p) for p in (self.silver_path, self.backfill_path))
         return audit.health_counts(self.visible() if there else None, self.gold() if there else None)
 
+    def preview(self, n: int = 100) -> DataFrame:
+        """The newest visible rows, with the number of visible rows."""
+        return audit.preview(self.visible(), n)
+
     # --- incremental state --------------------------------------------------------
     def snapshot(self) -> dict:
         return snapshot.write_snapshot(self.spark, self.silver_path, self.schema, key=self.spec.key)
