@@ -232,9 +232,10 @@ def insert_if_absent(requests: DataFrame, existing: DataFrame, key: str = KEY) -
     """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` batch adds (M3).
 
     The first insert per key wins (top-1 per key, partial before the shuffle), then
-    keys already present are removed with an anti join.
+    keys already present are removed with an anti join. Requests without a key or a
+    balance can't be rows of the table, so they are no inserts.
     """
     w = Window.partitionBy(key).orderBy(F.col("seq").asc())
-    inserts = requests.where((F.col("action") == INSERT) & F.col(key).isNotNull())
+    inserts = requests.where((F.col("action") == INSERT) & F.col(key).isNotNull() & F.col("balance").isNotNull())
     first = inserts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     return first.join(existing.select(key), key, "left_anti")

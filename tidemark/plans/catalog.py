@@ -149,7 +149,7 @@ def compaction_counts(spark, sf_dir):
 
 def gold_after_compaction(spark, sf_dir):
     silver = fixture_silver(spark, sf_dir)
-    invalid = maintenance.superseded(silver).select("kafka_partition", "kafka_event_offset")
+    invalid = maintenance.superseded(silver).select(*schemas.ROW_IDENTITY)
     return state.current_state(maintenance.visible(silver, invalid)).select(*GOLD_COMPARABLE)
 
 
