@@ -107,7 +107,7 @@ def bench_feed(spark, feed_dir, q: dict, rows: dict, suffix: str = "") -> None:
     silver = tables.read_silver(spark, silver_stream)
     timed(q, f"gold_current{suffix}", lambda: run(state.current_state(silver)))
     timed(q, f"compaction{suffix}", lambda: maintenance.compact(spark, silver, silver_stream))
-    visible = maintenance.visible(tables.read_silver(spark, silver_stream), maintenance.read_sidecar(spark, silver_stream))
+    visible = maintenance.visible_rows(spark, tables.read_silver(spark, silver_stream), silver_stream)
     timed(q, f"gold_after_compaction{suffix}", lambda: run(state.current_state(visible)))
 
     # Incremental state on the batch table: snapshot, a small new arrival, then gold

@@ -45,8 +45,8 @@ def main(sf_dir: str) -> None:
         if inject:
             silver = silver.where(fail_once(F.col("kafka_event_offset")))
         run = maintenance.compact(spark, silver, path)
-        side = sorted(tuple(r) for r in maintenance.read_sidecar(spark, path).select(
-            "kafka_partition", "kafka_event_offset").collect())
+        side = sorted(tuple(r) for r in maintenance.read_kept(spark, path).select(
+            "surrogate_key", "_copies").collect())
         gold = state.current_state(silver)
         reqs = catalog.mutation_requests(spark, sf_dir)
         if inject:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import audit, maintenance, state
+from tidemark.plans.catalog import fixture_silver
 from tidemark.sources import feed as feeds
 from tidemark.sources.tables import read_silver
 from tidemark.streaming import ingest as streaming
@@ -29,7 +30,7 @@ def test_compaction_counts_and_gold_unchanged(spark, workdir):
     gold_before = state.current_state(silver)
     run = maintenance.compact(spark, silver, path)
     assert run == {"version": 0, "before": 1251, "invalidated": 1096, "after": 155}
-    vis = maintenance.visible(read_silver(spark, path), maintenance.read_sidecar(spark, path))
+    vis = maintenance.visible_rows(spark, read_silver(spark, path), path)
     assert vis.count() == 155
     assert _same(state.current_state(vis), gold_before)
     assert gold_before.count() == 148
@@ -44,7 +45,7 @@ def test_second_run_invalidates_nothing_and_history(spark, workdir):
     assert [h["version"] for h in hist] == [1, 0]
     assert hist[1]["metrics"]["numDeletedRows"] == "1096"
     assert hist[0]["operation"] == "SOFT DELETE"
-    assert maintenance.read_sidecar(spark, path).count() == 1096
+    assert maintenance.read_kept(spark, path).agg({"_copies": "sum"}).first()[0] == 155
 
 
 def test_copy_arriving_after_run_stays_visible_until_next_run(spark, workdir):
@@ -53,7 +54,7 @@ def test_copy_arriving_after_run_stays_visible_until_next_run(spark, workdir):
     # A late redelivery of an old (superseded) change arrives after the run.
     late = feeds.fixture_feed(spark, SF_SMALL).where(F.col("offset") == 3).withColumn("offset", F.lit(9_000_000_000))
     streaming.ingest_batch(late, path)
-    vis = maintenance.visible(read_silver(spark, path), maintenance.read_sidecar(spark, path))
+    vis = maintenance.visible_rows(spark, read_silver(spark, path), path)
     assert vis.count() == 156
     assert maintenance.compact(spark, read_silver(spark, path), path)["invalidated"] == 1
 
@@ -102,8 +103,6 @@ def test_newest_preview_and_side_by_side(spark, workdir):
 def test_hot_surrogate_key_is_split_by_aqe(spark, workdir, capsys):
     """One change redelivered so often that it holds a third of the rows: the anti
     join's hot partition is split (AQE skew join), and the answer is unchanged."""
-    from tidemark.plans.catalog import fixture_silver
-
     silver = fixture_silver(spark, SF_SMALL)
     cols = [c for c in silver.columns if c != "kafka_event_offset"]
     hot = (
@@ -143,7 +142,7 @@ def test_replay_of_the_same_offsets_stays_visible(spark, workdir):
     path = _table(spark, workdir)
     run = maintenance.compact(spark, read_silver(spark, path), path)
     streaming.ingest_batch(feeds.fixture_feed(spark, SF_SMALL), path)  # every position once more
-    vis = maintenance.visible(read_silver(spark, path), maintenance.read_sidecar(spark, path))
+    vis = maintenance.visible_rows(spark, read_silver(spark, path), path)
     assert vis.count() == run["after"] + 1251
     assert maintenance.compact(spark, read_silver(spark, path), path)["after"] == 2 * run["after"]
 
@@ -156,4 +155,43 @@ def test_begun_runs_keep_their_version(spark, workdir):
     run = maintenance.compact(spark, read_silver(spark, path), path)
     assert run["version"] == 1 and run["invalidated"] > 0
     assert [r["version"] for r in maintenance.read_history(spark, path).collect()] == [1]
-    assert maintenance.visible(read_silver(spark, path), maintenance.read_sidecar(spark, path)).count() == run["after"]
+    assert maintenance.visible_rows(spark, read_silver(spark, path), path).count() == run["after"]
+
+
+def _arrival(spark, silver, minute):
+    return silver.withColumn("ingested_at", F.lit(f"2024-05-01 00:{minute:02d}:00").cast("timestamp"))
+
+
+def test_backfill_stamped_before_the_cutoff_is_seen(spark, workdir):
+    # a backfill that began before a run and ends after it has stamps below the run's cut-off
+    silver, path = fixture_silver(spark, SF_SMALL), os.path.join(workdir, "silver")
+    main, late = silver.where("kafka_event_offset % 2 = 0"), silver.where("kafka_event_offset % 2 <> 0")
+    none = late.limit(0)
+    _arrival(spark, main, 10).write.parquet(path)
+    run = maintenance.compact(spark, read_silver(spark, path), path, more=none)
+    more = _arrival(spark, late, 5)
+    vis = maintenance.visible_rows(spark, read_silver(spark, path), path, more)
+    assert vis.count() == run["after"] + late.count()
+    assert _same(state.current_state(vis), state.current_state(silver))
+    again = maintenance.compact(spark, read_silver(spark, path), path, more=more)
+    assert again["before"] == vis.count()
+    vis = maintenance.visible_rows(spark, read_silver(spark, path), path, more)
+    assert vis.count() == again["after"] and _same(state.current_state(vis), state.current_state(silver))
+    assert maintenance.compact(spark, read_silver(spark, path), path, more=more)["invalidated"] == 0
+
+
+def test_hidden_rows_stay_hidden_when_their_surrogate_key_wins_later(spark, workdir):
+    # (5, no position) and (no key, 5) share a surrogate key: the first is hidden, the second wins
+    row, path = fixture_silver(spark, SF_SMALL).limit(1), os.path.join(workdir, "silver")
+
+    def change(key, lsn, minute):
+        cast = {"account_id": F.lit(key).cast("long"), "source_commit_lsn": F.lit(lsn).cast("long"),
+                "surrogate_key": F.xxhash64(F.concat_ws("|", F.lit(key).cast("string"), F.lit(lsn).cast("string")))}
+        return _arrival(spark, row.withColumns(cast), minute)
+
+    change(5, None, 1).union(change(5, 3, 1)).write.parquet(path)
+    assert maintenance.compact(spark, read_silver(spark, path), path)["after"] == 1
+    change(None, 5, 2).write.mode("append").parquet(path)
+    assert maintenance.compact(spark, read_silver(spark, path), path) == {"version": 1, "before": 2, "invalidated": 0, "after": 2}
+    seen = maintenance.visible_rows(spark, read_silver(spark, path), path).select("account_id", "source_commit_lsn").collect()
+    assert sorted(map(tuple, seen), key=str) == [(5, 3), (None, 5)]

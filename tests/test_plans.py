@@ -13,7 +13,8 @@ from conftest import SF_SMALL
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 # Queries that run a streaming or write job while being built (checked elsewhere).
-SIDE_EFFECTS = {"stream_vs_batch", "visible_after_compaction", "compaction_history", "gold_incremental"}
+SIDE_EFFECTS = {"stream_vs_batch", "visible_after_compaction", "compaction_history", "gold_incremental", "history_last_5",
+                "visible_after_replay", "visible_after_new_rows", "compaction_new_rows"}
 
 
 def plan_of(df) -> str:

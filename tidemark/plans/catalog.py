@@ -17,6 +17,7 @@ from ..operators.ingest import to_silver
 from ..session import new_work_path
 from ..sources import feed, tables
 from ..streaming import ingest as streaming
+from ..table import ChangeTable
 
 # Fixed value: the account used for point lookups (present at every scale).
 LOOKUP_ACCOUNT = 42
@@ -212,9 +213,9 @@ def _compacted_table(spark, sf_dir, runs: int = 1) -> str:
 
 
 def visible_after_compaction(spark, sf_dir):
-    """Silver as readers see it after one real compaction run (sidecar written)."""
+    """Silver as readers see it after one real compaction run (its tables written)."""
     path = _compacted_table(spark, sf_dir)
-    vis = maintenance.visible(tables.read_silver(spark, path), maintenance.read_sidecar(spark, path))
+    vis = maintenance.visible_rows(spark, tables.read_silver(spark, path), path)
     return vis.select("kafka_partition", "kafka_event_offset", "account_id", "source_commit_lsn", "operation_type")
 
 
@@ -259,6 +260,45 @@ def gold_incremental(spark, sf_dir):
     return snapshot.current_state_incremental(spark, path, more=tables.read_silver(spark, backfill)).select(*GOLD_COMPARABLE)
 
 
+def visible_after_replay(spark, sf_dir):
+    """One run, then the whole feed once more with its positions: what the run kept and every replayed row."""
+    path = _compacted_table(spark, sf_dir)
+    streaming.ingest_batch(feed.fixture_feed(spark, sf_dir), path)
+    vis = maintenance.visible_rows(spark, tables.read_silver(spark, path), path)
+    return vis.select("kafka_partition", "kafka_event_offset", "account_id", "source_commit_lsn", "operation_type")
+
+
+def _compacted_arrivals(spark, sf_dir) -> ChangeTable:
+    """A run after the early records, another after the later ones, a third of which are a backfill."""
+    t = ChangeTable(spark, new_work_path(spark, "arrivals"))
+    records = feed.fixture_feed(spark, sf_dir)
+    early = F.coalesce(F.col("timestamp") < F.lit(SNAPSHOT_CUT).cast("timestamp"), F.lit(False))
+    third = F.pmod("offset", F.lit(3)) == 0
+    streaming.ingest_batch(records.where(early), t.silver_path)
+    t.compact()
+    streaming.ingest_batch(records.where(~early & ~third), t.silver_path)
+    t.backfill(records.where(~early & third))
+    t.compact()
+    return t
+
+
+def visible_after_new_rows(spark, sf_dir):
+    """Visible rows after two runs, of which the second read only what had arrived since the first."""
+    return _compacted_arrivals(spark, sf_dir).visible().select(
+        "kafka_partition", "kafka_event_offset", "account_id", "source_commit_lsn", "operation_type")
+
+
+def compaction_new_rows(spark, sf_dir):
+    """History of the same two runs."""
+    m = F.col("metrics")
+    return _compacted_arrivals(spark, sf_dir).history().select(
+        "version",
+        m["numRowsBefore"].cast("long").alias("rows_before"),
+        m["numDeletedRows"].cast("long").alias("rows_invalidated"),
+        m["numRowsAfter"].cast("long").alias("rows_after"),
+    )
+
+
 # How the test mutation batches are derived from ``events``.
 NO_BALANCE_EVERY = 13  # requests without a balance
 EUR_EVERY = 11
@@ -379,6 +419,9 @@ QUERIES = {
     "visible_after_compaction": visible_after_compaction,
     "compaction_history": compaction_history,
     "history_last_5": history_last_5,
+    "visible_after_replay": visible_after_replay,
+    "visible_after_new_rows": visible_after_new_rows,
+    "compaction_new_rows": compaction_new_rows,
     "mutations_applied": mutations_applied,
     "mutations_rejected": mutations_rejected,
     "mutations_sparse_seq": mutations_sparse_seq,

@@ -17,6 +17,7 @@ from .catalog import (
     LOOKUP_ACCOUNT,
     NO_BALANCE_EVERY,
     NO_CURRENCY_EVERY,
+    SNAPSHOT_CUT,
     SPARSE_GAP,
 )
 
@@ -70,6 +71,21 @@ retained AS (
   SELECT * FROM silver WHERE key_text IN (SELECT key_text FROM latest))
 """
 
+# Two runs: one over the records before the cut, one over what it left and all later ones.
+RUN_CTES = f"""
+, early AS (SELECT *, ts IS NOT NULL AND ts < TIMESTAMP '{SNAPSHOT_CUT}' AS is_early FROM silver),
+first_latest AS (
+  SELECT key_text FROM early WHERE is_early
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY source_commit_lsn DESC NULLS LAST,
+                             kafka_event_offset DESC NULLS LAST, kafka_partition DESC NULLS LAST) = 1),
+second_in AS (SELECT * FROM early WHERE NOT is_early OR key_text IN (SELECT key_text FROM first_latest)),
+second_latest AS (
+  SELECT key_text FROM second_in
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY source_commit_lsn DESC NULLS LAST,
+                             kafka_event_offset DESC NULLS LAST, kafka_partition DESC NULLS LAST) = 1),
+second_out AS (SELECT * FROM second_in WHERE key_text IN (SELECT key_text FROM second_latest))
+"""
+
 # Mutation batch from ``events`` and its sequential judgement, as plain windows.
 MUTATION_CTES = """
 , req AS (
@@ -331,6 +347,21 @@ ORACLE = {
                CAST(0 AS BIGINT) AS rows_invalidated
         FROM generate_series(5, 1, -1) t(v) ORDER BY version DESC"""
     ),
+    "visible_after_replay": _with(
+        """
+        SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type FROM retained
+        UNION ALL
+        SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type FROM silver"""
+    ),
+    "visible_after_new_rows": _with(RUN_CTES + """
+        SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type FROM second_out"""),
+    "compaction_new_rows": _with(RUN_CTES + """
+        SELECT CAST(0 AS BIGINT) AS version, n AS rows_before, n - k AS rows_invalidated, k AS rows_after
+        FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE key_text IN (SELECT key_text FROM first_latest)) AS k
+              FROM early WHERE is_early)
+        UNION ALL
+        SELECT CAST(1 AS BIGINT), n, n - k, k
+        FROM (SELECT COUNT(*) AS n, (SELECT COUNT(*) FROM second_out) AS k FROM second_in)"""),
     "mutations_applied": _with(MUTATION_CTES + """
         SELECT seq, account_id, op, current_balance, currency FROM decided WHERE reason IS NULL"""),
     "mutations_rejected": _with(MUTATION_CTES + """

@@ -175,17 +175,20 @@ PREVIEW_COLUMNS = [
 # positions makes new rows, which an earlier invalidation does not touch.
 ROW_IDENTITY = ["kafka_partition", "kafka_event_offset", "ingested_at"]
 
-# Invalidation sidecar: identities of soft-deleted silver rows, per run.
-SIDECAR = StructType(
+# What an invalidation run keeps: surrogate keys, their visible copies, and since which run they are kept.
+KEPT = StructType(
     [
-        StructField("kafka_partition", IntegerType()),
-        StructField("kafka_event_offset", LongType()),
-        StructField("ingested_at", TimestampType()),
-        StructField("version", LongType()),
+        StructField("surrogate_key", LongType()),
+        StructField("_copies", LongType()),
+        StructField("_from_version", LongType()),
+        StructField("_from_cutoff", LongType()),  # rows of the stream sink up to here stay hidden, in microseconds
     ]
 )
 
-# State snapshots, one row per version: the latest arrival that it covers, in microseconds.
+# Arrivals of backfills that runs have covered, and the run that covered them first.
+ARRIVALS = StructType([StructField("ingested_at", TimestampType()), StructField("_first_version", LongType())])
+
+# State snapshots and invalidation runs, one row per version: the latest arrival that it covers, in microseconds.
 SNAPSHOT_LOG = StructType([StructField("version", LongType()), StructField("cutoff", LongType())])
 
 # Maintenance log, one row per run.

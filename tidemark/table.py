@@ -55,15 +55,19 @@ class ChangeTable:
 
     def silver(self) -> DataFrame:
         """Every change ever ingested (stream sink ∪ backfills)."""
-        stream = tables.read_silver(self.spark, self.silver_path, self.schema)
-        backfill = tables.read_silver(self.spark, self.backfill_path, self.schema)
-        return stream.unionByName(backfill)
+        return self._stream().unionByName(self._backfills())
+
+    def _stream(self) -> DataFrame:
+        return tables.read_silver(self.spark, self.silver_path, self.schema)
+
+    def _backfills(self) -> DataFrame:
+        return tables.read_silver(self.spark, self.backfill_path, self.schema)
 
     def visible(self) -> DataFrame:
-        return maintenance.visible(self.silver(), maintenance.read_sidecar(self.spark, self.silver_path))
+        return maintenance.visible_rows(self.spark, self._stream(), self.silver_path, self._backfills())
 
     def gold(self) -> DataFrame:
-        """Current state. Ranks all of silver, skipping the sidecar anti join: compaction
+        """Current state. Ranks all of silver, skipping the join with the kept keys: compaction
         never invalidates a key's newest change, and an invalidated row can never become
         one later (winners only move to newer rows), so the result equals gold over the
         visible rows (tested) without paying the join on every read."""
@@ -78,7 +82,7 @@ class ChangeTable:
 
     # --- maintenance ------------------------------------------------------------
     def compact(self) -> dict:
-        return maintenance.compact(self.spark, self.silver(), self.silver_path, key=self.spec.key)
+        return maintenance.compact(self.spark, self._stream(), self.silver_path, key=self.spec.key, more=self._backfills())
 
     def history(self, n: int = 5) -> DataFrame:
         return maintenance.recent_history(self.spark, self.silver_path, n)
@@ -98,8 +102,8 @@ class ChangeTable:
 
     def gold_incremental(self) -> DataFrame:
         """From the newest snapshot of the stream sink, what arrived since, and all backfills."""
-        backfill = tables.read_silver(self.spark, self.backfill_path, self.schema)
-        return snapshot.current_state_incremental(self.spark, self.silver_path, self.schema, key=self.spec.key, more=backfill)
+        return snapshot.current_state_incremental(
+            self.spark, self.silver_path, self.schema, key=self.spec.key, more=self._backfills())
 
     def current(self) -> DataFrame:
         """Gold the cheapest exact way: without a snapshot this is the full read."""
