@@ -188,6 +188,16 @@ def test_line_templates(spark, awkward, empty):
     assert line_dedup.drop_recurring(empty).count() == 0
 
 
+def test_line_dedup_counts_repeated_rows_once(spark):
+    boiler = [(i, f"all rights are reserved {i}\nown line number{i} of text{i} alone here{i}") for i in range(10)]
+    docs = spark.createDataFrame([*boiler, boiler[0], boiler[0]], "doc_id long, text string")
+    found = line_dedup.drop_recurring(docs, min_docs=10).collect()
+    assert [r["dropped"] for r in found if r["doc_id"] == 0] == [2, 2, 2] and len(found) == 12
+    # nine documents and their repeats are not ten documents
+    again = spark.createDataFrame([*boiler[:9], *boiler[:9]], "doc_id long, text string")
+    assert {r["dropped"] for r in line_dedup.drop_recurring(again, min_docs=10).collect()} == {0}
+
+
 def test_language_network(spark, awkward, empty):
     r = random.Random(4)
     sets = {"en": "the and of with ing tion".split(), "de": "der und sch ich ung keit".split()}

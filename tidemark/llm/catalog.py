@@ -114,6 +114,81 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_mixing": f"""
+        WITH r AS (
+          SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+                 md5(coalesce(text, '')) AS hash FROM documents),
+        s AS (
+          SELECT source, sum(size)::BIGINT AS source_size, sum(size::DOUBLE * size) AS squares, min(size) AS shortest,
+                 max(size) AS longest FROM r GROUP BY source),
+        n AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS i, source_size * {mixing.MAX_COPIES} AS stop FROM s),
+        w AS (SELECT *, list_extract({list(mixing.WEIGHTS)}, (i - 1) % {len(mixing.WEIGHTS)} + 1) AS weight FROM n),
+        l AS (
+          SELECT *, row_number() OVER (ORDER BY stop / weight, i) AS i2,
+                 (sum(source_size) OVER () - coalesce(sum(stop) OVER b, 0))::DOUBLE
+                 / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
+          FROM w WINDOW b AS (ORDER BY stop / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        f AS (SELECT min(i2) AS first, arg_min(level, i2) AS reached FROM l WHERE level * weight <= stop),
+        t AS (SELECT l.*, CASE WHEN first IS NULL OR i2 < first THEN stop::DOUBLE ELSE reached * weight END AS target FROM l, f),
+        m AS (
+          SELECT source, source_size, target, squares / source_size AS centre, target / source_size AS mean,
+                 greatest(longest - squares / source_size, squares / source_size - shortest) AS reach FROM t),
+        e AS (
+          SELECT r.*, m.source_size, m.target, CASE WHEN m.source_size > 0 THEN greatest(0.0::DOUBLE, least({mixing.MAX_COPIES}::DOUBLE,
+                   least(mean, {mixing.MAX_COPIES}::DOUBLE) + CASE WHEN reach > 0 THEN greatest(
+                     {mixing.TILT}::DOUBLE * least(mean, {mixing.MAX_COPIES} - mean) / reach, 0.0::DOUBLE) ELSE 0.0::DOUBLE END
+                   * (size - centre))) ELSE 0.0::DOUBLE END AS expected
+          FROM r JOIN m ON r.source IS NOT DISTINCT FROM m.source),
+        u AS (
+          SELECT *, floor(expected)::BIGINT AS certain, expected - floor(expected) AS p,
+                 (('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || hash), 1, 12))::BIGINT::DOUBLE
+                  + 0.5::DOUBLE) / {1 << 48}::DOUBLE AS u FROM e),
+        o AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN (u / (1 - u)) * ((1 - p) / p) END AS odds FROM u),
+        k AS (
+          SELECT *, target - sum(size * certain) OVER (PARTITION BY source) AS wanted, CASE WHEN odds IS NOT NULL THEN coalesce(
+                   sum(CASE WHEN odds IS NOT NULL THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY odds / (1 + odds) NULLS LAST,
+                     doc_id NULLS FIRST, hash ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) END AS sofar FROM o),
+        c AS (SELECT *, certain + CASE WHEN sofar + size / 2 <= wanted THEN 1 ELSE 0 END AS copies FROM k)
+        SELECT doc_id, source_size, target, (size * copies)::BIGINT AS taken, size, copies::BIGINT AS copies FROM c""",
+    "op8_line_dedup": f"""
+        WITH l AS (
+          SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+          FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+        t AS (
+          SELECT doc_id, text, pos, list_transform(
+            string_split_regex(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\\x20\\x09-\\x0D]+'),
+            lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS template FROM l),
+        placed AS (
+          SELECT doc_id, md5(text) AS h, pos, template, struct_pack(n := len(template), lead := template[1:{line_dedup.DEPTH}]) AS leaf
+          FROM t WHERE len(template) >= {line_dedup.MIN_TOKENS}),
+        in_docs AS (SELECT DISTINCT leaf, template, doc_id, h FROM placed),
+        busy AS (
+          SELECT leaf FROM (SELECT DISTINCT leaf, doc_id, h FROM in_docs) GROUP BY leaf HAVING count(*) >= {line_dedup.MIN_DOCS}),
+        templates AS (
+          SELECT leaf, template, count(*) AS docs FROM in_docs WHERE leaf IN (SELECT leaf FROM busy) GROUP BY leaf, template),
+        spelled AS (
+          SELECT leaf, template, docs, unnest(template) AS token, generate_subscripts(template, 1) AS i
+          FROM templates WHERE docs < {line_dedup.MIN_DOCS}),
+        constant AS (
+          SELECT leaf, i, token FROM spelled WHERE token <> '<*>' GROUP BY leaf, i, token HAVING sum(docs) >= {line_dedup.MIN_DOCS}),
+        general AS (
+          SELECT leaf, template, list(struct_pack(i := i, token := token) ORDER BY i) AS general
+          FROM spelled JOIN constant USING (leaf, i, token) GROUP BY leaf, template
+          HAVING count(*) >= len(template) * {line_dedup.SIMILARITY}::DOUBLE),
+        wide AS (
+          SELECT leaf, general FROM (SELECT DISTINCT leaf, general, doc_id, h FROM in_docs JOIN general USING (leaf, template))
+          GROUP BY leaf, general HAVING count(*) >= {line_dedup.MIN_DOCS}),
+        recurring AS (
+          SELECT template FROM templates WHERE docs >= {line_dedup.MIN_DOCS}
+          UNION SELECT template FROM general JOIN wide USING (leaf, general)),
+        gone AS (SELECT doc_id, h, pos FROM placed WHERE template IN (SELECT template FROM recurring)),
+        stay AS (
+          SELECT l.doc_id, l.text, coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE gone.pos IS NULL), '') AS rest,
+                 count(*) AS n_lines, count(gone.pos) AS dropped
+          FROM l LEFT JOIN gone ON l.doc_id IS NOT DISTINCT FROM gone.doc_id AND md5(l.text) = gone.h AND l.pos = gone.pos
+          GROUP BY l.doc_id, l.text)
+        SELECT d.doc_id, s.rest AS text, coalesce(s.n_lines, 0) AS n_lines, coalesce(s.dropped, 0) AS dropped
+        FROM documents d LEFT JOIN stay s ON d.doc_id IS NOT DISTINCT FROM s.doc_id AND d.text = s.text""",
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
