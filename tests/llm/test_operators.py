@@ -236,6 +236,24 @@ def test_html_extraction(spark):
     assert html_extract.extract(pages.limit(0), F.col("url")).count() == 0
 
 
+def test_html_extraction_keeps_split_articles(spark):
+    parts = ["headline " * 6, "lead words " * 18, "body words here " * 62]
+    want = "\n".join(p.strip() for p in parts)
+    inside = f"<h1>{parts[0]}</h1><div class=lead>{parts[1]}</div><div class=body>{parts[2]}</div>"
+    listed = f"<h1>{parts[0]}</h1><p>{parts[1]}</p><ul><li>{parts[2]}</li></ul>"
+    for split in (f"<article>{inside}</article>", f"<main><div>{inside}</div></main>", f"<div class=post>{inside}</div>",
+                  f"<article>{listed}</article>", f"<article>{listed.replace('ul>', 'blockquote>').replace('li>', 'p>')}</article>",
+                  f"<div class=post><h1>{parts[0]}</h1><article><p>{parts[1]}</p><div>{parts[2]}</div></article></div>"):
+        assert html_extract.extract_text(page(split), None) == want, split
+    # a short headline outside article and main, and a box that is no part of the article
+    short = f"<div class=post><h1>Hi</h1><div class=body>{parts[2]}</div></div><div class=box><p>ten chars.</p></div>"
+    assert html_extract.extract_text(page(short), None) == "Hi\n" + parts[2].strip()
+    # all pages of the host vote for the whole article
+    rows = [(i, "http://h.org/x", page(f"<article>{inside}</article>")) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {x["text"] for x in html_extract.extract(pages, url_filter.host_of(F.col("url"))).collect()} == {want}
+
+
 def test_url_rules(spark):
     rules = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
     rows = [(1, "http://a.EXAMPLE.net/en/1"), (2, "http://example.net/fr?x"), (3, "http://x.net"), (4, None), (5, "no scheme"),

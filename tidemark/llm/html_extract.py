@@ -1,7 +1,7 @@
 """Main-text extraction by consensus over hosts.
 
-Every page scores its containers by the text that they hold against links and boilerplate, and votes
-for the path of the best one; paths are generalised (tags and classes, numbers as #). Spark counts
+Every page scores its containers by the text that they hold against links and boilerplate, climbs from
+the best one to the whole article around it, and votes for the path of that; paths are generalised (tags and classes, numbers as #). Spark counts
 the votes of each host, and every page is then extracted again from its host's winning path, so that
 a page whose own scores mislead follows its siblings.
 """
@@ -45,6 +45,9 @@ _BOILERPLATE_WORDS = frozenset(
     "recommendations pagination pager toolbar copyright".split())
 _HEADER_WORDS = frozenset(("header",))
 
+#: Pages without article or main: the share of a page's text that counts as nearly all of it.
+_NEARLY_ALL = 0.98
+
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text else {}
@@ -75,10 +78,12 @@ class Container:
 
 @dataclass
 class Page:
-    """Containers in page order, and blocks of text (text, in boilerplate at the depth of container)."""
+    """Containers in page order, blocks of text (text, in boilerplate at the depth of container), and
+    which blocks are headlines."""
 
     containers: list[Container] = field(default_factory=list)
     blocks: list[tuple[str, Container]] = field(default_factory=list)
+    headlines: list[int] = field(default_factory=list)
 
 
 def parse(source: str | None) -> Page:
@@ -88,7 +93,7 @@ def parse(source: str | None) -> Page:
     page.containers.append(root)
     stack: list[tuple[str, Container]] = [("", root)]
     parts: list[str] = []
-    linked, in_link = 0, 0
+    linked, in_link, headline = 0, 0, False
     at, text = 0, source or ""
 
     def words(raw: str) -> None:
@@ -108,6 +113,8 @@ def parse(source: str | None) -> Page:
                 own = stack[-1][1]
                 own.chars += len(line)
                 own.links += min(linked, len(line))
+                if headline and not own.boilerplate and 2 * linked < len(line):
+                    page.headlines.append(len(page.blocks))
                 page.blocks.append((line, own))
         linked = 0
 
@@ -135,6 +142,7 @@ def parse(source: str | None) -> Page:
         if tag not in _BLOCKS:
             continue
         block_ends()
+        headline = tag == "h1" and not closing
         if tag not in _CONTAINERS or tag in _VOID:
             in_link = 0
             continue
@@ -186,6 +194,42 @@ def best_container(page: Page) -> Container:
     return max(usable, key=lambda c: c.score)
 
 
+def whole_article(page: Page, best: Container) -> Container:
+    """The container of the article that ``best`` is a part of.
+
+    - That is the outermost article around it, or else the outermost main.
+    - Without either it is the lowest container with nearly all text outside links and boilerplate.
+    - If that has no headline, it is the lowest container around it with one; an article or main is
+      not left for the whole body.
+    """
+    if best.score <= 0:
+        return best
+    around = [best]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    tags = [c.path.rpartition(">")[2].partition(".")[0] for c in around]
+    marked = [i for i, t in enumerate(tags) if t == "article"] or [i for i, t in enumerate(tags) if t == "main"]
+    if marked:
+        found = marked[-1]
+    else:
+        texts = [(c.chars - 2 * c.links, c) for c in page.containers if not c.boilerplate and c.chars > 2 * c.links]
+        enough = _NEARLY_ALL * sum(n for n, _ in texts)
+        held = dict.fromkeys(map(id, around), 0)
+        for n, c in texts:
+            up: Container | None = c
+            while up is not None:
+                if id(up) in held:
+                    held[id(up)] += n
+                up = up.parent
+        found = next(i for i, c in enumerate(around) if held[id(c)] >= enough)
+    for i in range(found, len(around)):
+        if marked and i > found and tags[i] in ("body", "html", ""):
+            break
+        if any(around[i].first <= h < around[i].last for h in page.headlines):
+            return around[i]
+    return around[found]
+
+
 def text_of(page: Page, chosen: list[Container]) -> str:
     """The blocks of the chosen containers in page order, without boilerplate inside them."""
     spans = [(c.first, c.last) for c in chosen]
@@ -201,7 +245,7 @@ def extract_text(source: str | None, path: str | None) -> str:
         found = text_of(page, [c for c in page.containers if c.path == path and not c.boilerplate])
         if found:
             return found
-    return text_of(page, [best_container(page)])
+    return text_of(page, [whole_article(page, best_container(page))])
 
 
 def extract(pages: DataFrame, host_of, html_col: str = "html", out_col: str = "text") -> DataFrame:
@@ -219,8 +263,10 @@ def extract(pages: DataFrame, host_of, html_col: str = "html", out_col: str = "t
     @F.pandas_udf("path string, score double")
     def vote(sources: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in sources:
-            best = [best_container(parse(s)) for s in batch]
-            yield pd.DataFrame({"path": [c.path for c in best], "score": [c.score for c in best]})
+            parsed = [parse(s) for s in batch]
+            best = [best_container(p) for p in parsed]
+            yield pd.DataFrame({"path": [whole_article(p, c).path for p, c in zip(parsed, best, strict=True)],
+                                "score": [c.score for c in best]})
 
     @F.pandas_udf("string")
     def again(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
