@@ -198,6 +198,22 @@ def test_line_dedup_counts_repeated_rows_once(spark):
     assert {r["dropped"] for r in line_dedup.drop_recurring(again, min_docs=10).collect()} == {0}
 
 
+@pytest.mark.parametrize("names, cities", [(12, 1), (30, 30)])
+def test_line_dedup_two_variable_fields(spark, names, cities):
+    # 12 documents, each with names of its own; then 30 names and 30 cities, each frequent, each pair once
+    pairs = [(f"n{chr(97 + i // 26)}{chr(97 + i % 26)}", f"c{chr(97 + j // 26)}{chr(97 + j % 26)}")
+             for i in range(names) for j in (range(cities) if cities > 1 else [i])]
+    docs = spark.createDataFrame([(i, f"This article was written by {n} from {c}\nown {n}{c} words {n}x{c} stay") for i, (n, c) in enumerate(pairs)],
+                                 "doc_id long, text string")
+    got = line_dedup.drop_recurring(docs, min_docs=10).collect()
+    assert len(got) == len(pairs) and all(r["dropped"] == 1 and r["text"].startswith("own ") for r in got)
+
+
+def test_line_dedup_variant_of_a_frequent_line(spark):
+    docs = spark.createDataFrame([(i, f"all rights of {'this' if i else 'that'} site are reserved\nown") for i in range(13)], "doc_id long, text string")
+    assert [r["text"] for r in line_dedup.drop_recurring(docs, min_docs=10).collect()] == ["own"] * 13
+
+
 def test_language_network(spark, awkward, empty):
     r = random.Random(4)
     sets = {"en": "the and of with ing tion".split(), "de": "der und sch ich ung keit".split()}

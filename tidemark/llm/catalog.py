@@ -82,7 +82,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without lines whose template recurs in ten documents or more."""
-    return line_dedup.drop_recurring(table(spark, sf_dir, "documents"))
+    return line_dedup.drop_recurring(table(spark, sf_dir, "documents"), **line_dedup.AS_IN_SQL)
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
