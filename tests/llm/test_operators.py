@@ -214,6 +214,18 @@ def test_line_dedup_variant_of_a_frequent_line(spark):
     assert [r["text"] for r in line_dedup.drop_recurring(docs, min_docs=10).collect()] == ["own"] * 13
 
 
+def test_line_dedup_long_passages_in_few_documents(spark):
+    r = random.Random(3)
+    long, short = [" ".join("".join(r.choice("abcdefgh") for _ in range(9)) for _ in range(n)) for n in (51, 50)]
+    han = "".join(chr(0x4E00 + r.randrange(5000)) for _ in range(60))
+    texts = [(3, f"three\n{long}\n{long} \n{short}\n{han}"), (1, f"one\n{long}\n{short}\n{han}"), (None, f"none\n{long}"), (1, f"one\n{long}\n{short}\n{han}")]
+    got = sorted(((x["doc_id"] or 0, x["text"]) for x in line_dedup.drop_recurring(spark.createDataFrame(texts, "doc_id long, text string")).collect()))
+    # the first document (null ids come first) keeps it; lines of 50 words are not long
+    assert got == [(0, f"none\n{long}"), (1, f"one\n{short}\n{han}"), (1, f"one\n{short}\n{han}"), (3, f"three\n{short}")]
+    alone = spark.createDataFrame([(1, f"{long}\n{long}")] * 2, "doc_id long, text string")  # one document, its row repeated
+    assert {x["dropped"] for x in line_dedup.drop_recurring(alone).collect()} == {0}
+
+
 def test_language_network(spark, awkward, empty):
     r = random.Random(4)
     sets = {"en": "the and of with ing tion".split(), "de": "der und sch ich ung keit".split()}
