@@ -226,6 +226,15 @@ def test_line_dedup_long_passages_in_few_documents(spark):
     assert {x["dropped"] for x in line_dedup.drop_recurring(alone).collect()} == {0}
 
 
+def test_line_dedup_short_lines(spark):
+    han = "版权所有不得转载本文内容"
+    docs = spark.createDataFrame([(i, f" Les.\nAnd ornd.\n{han}\nPage {i}\n\nown{chr(97 + i)}" + ("\nnine times" if i < 9 else "")) for i in range(10)],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_recurring(docs, min_docs=10).collect()}
+    # equal ones go; those that differ in a number, occur in nine documents or are empty stay
+    assert got == {i: f"Page {i}\n\nown{chr(97 + i)}" + ("\nnine times" if i < 9 else "") for i in range(10)}
+
+
 def test_language_network(spark, awkward, empty):
     r = random.Random(4)
     sets = {"en": "the and of with ing tion".split(), "de": "der und sch ich ung keit".split()}
