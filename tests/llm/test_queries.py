@@ -22,7 +22,7 @@ def documents():
 def test_query_matches_sql(spark, name):
     got = QUERIES[name](spark, SF)
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(ORACLE[name])
     columns = [d[0] for d in want.description]
@@ -43,7 +43,7 @@ def test_languages_held_out(spark, documents):
 
 
 def test_native_plans_have_no_python(spark):
-    for name in ("op1_url_filter", "op2_mixing", "op3_exact_dedup", "op4_merkle", "op8_line_dedup"):
+    for name in ("op1_url_filter", "op2_mixing", "op3_exact_dedup", "op4_merkle", "op8_line_dedup", "op12_chat_format"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan), name
 

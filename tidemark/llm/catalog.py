@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, exact_dedup, html_extract, language_id, line_dedup, merkle, mixing, simhash, toxicity, url_filter
+from tidemark.llm import (bpe, chat_format, exact_dedup, hard_negatives, html_extract, language_id, line_dedup, merkle, mixing,
+                          simhash, spelling, toxicity, url_filter)
 from tidemark.llm.common import table
 
 
@@ -102,6 +103,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, with misspellings put in, their near words and the forms they may stand for."""
+    return spelling.variants(table(spark, sf_dir, "documents"), slip_every=31)
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rebuilt from its event log, rendered, and read back from the rendered text.
+
+    Assistant turns come as streamed deltas. Conversation -1 holds the template's own marks.
+    """
+    marks = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    read = chat_format.read_back(chat_format.render(chat_format.reconstruct(chat_format.events_of(turns))))
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit("\n"), m["text"], F.lit("\n"))), "")
+    learned = F.array_join("messages.loss", "")  # null where the mask covers nothing, which array_join leaves out
+    return read.select("conv_id", F.size("messages").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives for each of the five positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), anchor=F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -110,7 +138,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_url_filter, op2_mixing, op3_exact_dedup, op4_merkle, op5_simhash, op6_language_id, op7_bpe, op8_line_dedup,
-              op9_html_extraction, op10_toxicity, pipeline)
+              op9_html_extraction, op10_toxicity, op11_spelling_variants, op12_chat_format, op13_hard_negatives, pipeline)
 }
 
 ORACLE: dict[str, str] = {
@@ -193,4 +221,34 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op12_chat_format": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        f AS (
+          SELECT *, role = 'assistant' AS loss, length(CASE WHEN role = 'assistant' THEN '<s></s>' ELSE '[INST][/INST]' END)
+                 + length(url_encode(role)) + 1 + length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')) AS n FROM t)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (loss), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (loss), '')) AS loss_sha256,
+               sum(n)::BIGINT AS formatted_chars
+        FROM f GROUP BY conv_id""",
+    "op13_hard_negatives": """
+        WITH r AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+          FROM r AS a, r WHERE a.vec_id % 100 = 0),
+        p AS (
+          SELECT anchor_id, id AS positive_id, score AS positive_score,
+                 row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS i FROM s WHERE same AND id <> anchor_id),
+        n AS (
+          SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+                 row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+          FROM p JOIN s USING (anchor_id)
+          WHERE i <= 5 AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
 }
