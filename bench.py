@@ -121,7 +121,7 @@ def bench_feed(spark, feed_dir, q: dict, rows: dict, suffix: str = "") -> None:
 def small_delta(spark, feed_dir: str, fraction_every: int = 100):
     """About 1% of the feed redelivered later (new offsets): a new arrival."""
     return feeds.file_batch(spark, feed_dir).where(F.pmod(F.col("offset"), F.lit(fraction_every)) == 0).withColumn(
-        "offset", F.col("offset") + F.lit(REPLICA_OFFSET_STRIDE * 1000)
+        "offset", F.col("offset") + F.lit(REPLICA_OFFSET_STRIDE * 200)
     )
 
 
@@ -161,7 +161,7 @@ def skewed_gold(spark, root: str, feed_dir: str, q: dict, info: dict) -> None:
     one = base.where(F.col("offset") == F.lit(1))  # a single change of one account
     hot = one.select(
         "value", "partition", "timestamp", F.explode(F.sequence(F.lit(1), F.lit(n // 2))).alias("_i")
-    ).select("value", (F.lit(REPLICA_OFFSET_STRIDE * 2000) + F.col("_i")).alias("offset"), "partition", "timestamp")
+    ).select("value", (F.lit(REPLICA_OFFSET_STRIDE * 300) + F.col("_i")).alias("offset"), "partition", "timestamp")
     path = root + "/skewed/silver"
     streaming.ingest_batch(base.unionByName(hot), path)
     silver = tables.read_silver(spark, path)

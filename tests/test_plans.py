@@ -14,7 +14,8 @@ FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 # Queries that run a streaming or write job while being built (checked elsewhere).
 SIDE_EFFECTS = {"stream_vs_batch", "visible_after_compaction", "compaction_history", "gold_incremental", "history_last_5",
-                "visible_after_replay", "visible_after_new_rows", "compaction_new_rows"}
+                "visible_after_replay", "visible_after_new_rows", "compaction_new_rows", "visible_arranged",
+                "visible_arranged_replay", "sized_sink", "restart_delivery", "ingest_stamps"}
 
 
 def plan_of(df) -> str:

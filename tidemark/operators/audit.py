@@ -9,6 +9,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from .. import schemas
 from ..session import shared_dir
 from ..sources.tables import read_silver, silver_exists
+from . import keyed_scan
 from .state import KEY, current_state
 
 
@@ -200,3 +201,62 @@ def replay_invariance(silver: DataFrame, replay: DataFrame, key: str = KEY) -> D
         gold_only_before=gold_before.exceptAll(gold_after),
         gold_only_after=gold_after.exceptAll(gold_before),
     )
+
+
+def lost_offsets(rows: DataFrame, expected: DataFrame | None = None, partition: str = "kafka_partition", offset: str = "kafka_event_offset",
+                 ranges: int | None = None) -> DataFrame:
+    """Runs of feed positions that never arrived (S1): (partition, first_lost, last_lost, lost).
+
+    The source tolerates data loss (records that the broker dropped before they were read), which
+    leaves gaps between the offsets of a partition. Redelivered positions count once; rows without a
+    position are left out. ``expected`` (partition, first, next) says where each partition should
+    begin and which offset comes after its last, so that losses at the ends, and partitions of which
+    nothing arrived, show as well.
+
+    Gaps and islands, cut by ranges: positions are dealt out by ranges of (partition, offset), each
+    compares neighbours, and one row per range and partition carries the last position on. So a
+    partition is never one task. On a compacted topic gaps are normal.
+    """
+    at = rows.where(F.col(partition).isNotNull() & F.col(offset).isNotNull()).select(
+        F.col(partition).cast("int").alias(partition), F.col(offset).cast("long").alias(offset))
+    if expected is not None:
+        ends = expected.select(F.col("partition").cast("int").alias(partition), F.explode(F.array((F.col("first") - 1).cast("long"), F.col("next").cast("long"))).alias(offset))
+        at = at.unionByName(ends)
+    scanned = keyed_scan.prefix_scan(at, partition, offset, max_before={"_previous": offset}, ranges=ranges)
+    gap = F.col(offset) - F.col("_previous")
+    # positions that repeat see the same gap
+    return scanned.where(gap > 1).select(partition, (F.col("_previous") + 1).alias("first_lost"), (F.col(offset) - 1).alias("last_lost"),
+                                         (gap - 1).alias("lost")).distinct()
+
+
+def lateness(silver: DataFrame, key: str = KEY, lsn: str = "source_commit_lsn", offset: str = "kafka_event_offset", ranges: int | None = None) -> DataFrame:
+    """Late changes per key (R3): (key, changes, late, largest_lag).
+
+    A change is late if one with a greater ``lsn`` came before it, by offset; its lag is how far the
+    greatest of those is ahead. Changes without lsn or offset count, but are never late. The prefix
+    maximum has two levels (inside ranges of (key, offset), and over one row per range), so a key with
+    most of the rows is cut like any other.
+    """
+    narrow = silver.select(key, lsn, offset)
+    placed = narrow.where(F.col(lsn).isNotNull() & F.col(offset).isNotNull())
+    scanned = keyed_scan.prefix_scan(placed, key, offset, max_before={"_ahead": lsn}, ranges=ranges)
+    lag = F.when(F.col("_ahead") > F.col(lsn), F.col("_ahead") - F.col(lsn))
+    other = narrow.where(F.col(lsn).isNull() | F.col(offset).isNull()).select(key, F.lit(None).cast("long").alias("lag"))
+    return scanned.select(key, lag.alias("lag")).unionByName(other).groupBy(key).agg(
+        F.count(F.lit(1)).alias("changes"), F.count("lag").alias("late"), F.coalesce(F.max("lag"), F.lit(0)).alias("largest_lag"))
+
+
+def delivery(feed: DataFrame, silver: DataFrame) -> DataFrame:
+    """How the records of a feed landed, per feed partition: (kafka_partition, fed, landed, lost, repeated).
+
+    ``lost`` counts records of a position short of those fed, ``repeated`` rows beyond them. Both sides
+    are counted by position first (map-side), then joined by it.
+    """
+    position = ["kafka_partition", "kafka_event_offset"]
+    fed = feed.groupBy(F.col("partition").alias(position[0]), F.col("offset").alias(position[1])).agg(F.count(F.lit(1)).alias("fed"))
+    landed = silver.groupBy(*position).agg(F.count(F.lit(1)).alias("landed"))
+    both = fed.join(landed, position, "full_outer").select(
+        position[0], F.coalesce("fed", F.lit(0)).alias("fed"), F.coalesce("landed", F.lit(0)).alias("landed"))
+    short = F.col("fed") - F.col("landed")
+    return both.groupBy(position[0]).agg(F.sum("fed").alias("fed"), F.sum("landed").alias("landed"), F.sum(F.greatest(short, F.lit(0))).alias("lost"),
+                                         F.sum(F.greatest(-short, F.lit(0))).alias("repeated"))

@@ -86,39 +86,47 @@ def prefix_scan(
     last_upto: dict[str, str] | None = None,
     running_sum: dict[str, str] | None = None,
     ranges: int | None = None,
+    max_before: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add per-key prefix columns in ``seq`` order.
 
     * ``last_before[out] = src``: last non-NULL ``src`` among earlier rows of the key;
     * ``last_upto[out] = src``: same, the current row included;
     * ``running_sum[out] = src``: sum of ``src`` up to and including the row
-      (NULL-valued rows add nothing; 0 when nothing was added).
+      (NULL-valued rows add nothing; 0 when nothing was added);
+    * ``max_before[out] = src``: largest non-NULL ``src`` among earlier rows of the key. Rows of equal
+      ``seq`` are not before each other, so here ``seq`` may repeat (it must be a whole number).
 
     The grouping columns are kept so a following scan places nothing again; drop
     them with :func:`drop_scan_partitioning`.
     """
-    last_before, last_upto, running_sum = last_before or {}, last_upto or {}, running_sum or {}
+    last_before, last_upto, running_sum, max_before = last_before or {}, last_upto or {}, running_sum or {}, max_before or {}
     d = place(df, key, seq, ranges)
     before = _in_group(seq).rowsBetween(Window.unboundedPreceding, -1)
     past = _earlier().rowsBetween(Window.unboundedPreceding, -1)
 
     lasts = sorted({*last_before.values(), *last_upto.values()})
     sums = sorted(set(running_sum.values()))
+    tops = sorted(set(max_before.values()))
+    lower = _in_group(seq).rangeBetween(Window.unboundedPreceding, -1)
     local = d.select(
         "*",
         *[F.last(F.col(s), ignorenulls=True).over(before).alias(f"_scan_lb_{s}") for s in sorted(set(last_before.values()))],
         *[F.last(F.col(s), ignorenulls=True).over(_upto(seq)).alias(f"_scan_lu_{s}") for s in sorted(set(last_upto.values()))],
         *[F.sum(F.col(s)).over(_upto(seq)).alias(f"_scan_rs_{s}") for s in sums],
+        *[F.max(F.col(s)).over(lower).alias(f"_scan_mb_{s}") for s in tops],
     )
     # the partial states need no window: newest non-NULL value and sum, combined on the map side
     states = d.groupBy(*PARTITION_COLS).agg(
         F.count(F.lit(1)).alias("_scan_n"),
         *[F.max_by(F.col(s), F.when(F.col(s).isNotNull(), F.col(seq))).alias(f"_scan_l_{s}") for s in lasts],
         *[F.sum(F.col(s)).alias(f"_scan_s_{s}") for s in sums],
+        *[F.max(F.col(s)).alias(f"_scan_m_{s}") for s in tops],
     )
     joined = _with_carry(local, states, {
         **{f"_scan_cl_{s}": F.last(F.col(f"_scan_l_{s}"), ignorenulls=True).over(past) for s in lasts},
         **{f"_scan_cs_{s}": F.sum(F.col(f"_scan_s_{s}")).over(past) for s in sums},
+        **{f"_scan_cm_{s}": F.max(F.col(f"_scan_m_{s}")).over(past) for s in tops},
     })
     out = []
     for name, s in last_before.items():
@@ -128,7 +136,9 @@ def prefix_scan(
     for name, s in running_sum.items():
         zero = F.lit(0).cast(df.schema[s].dataType)
         out.append((F.coalesce(F.col(f"_scan_rs_{s}"), zero) + F.coalesce(F.col(f"_scan_cs_{s}"), zero)).alias(name))
-    made = {*last_before, *last_upto, *running_sum}
+    for name, s in max_before.items():
+        out.append(F.greatest(F.col(f"_scan_mb_{s}"), F.col(f"_scan_cm_{s}")).alias(name))
+    made = {*last_before, *last_upto, *running_sum, *max_before}
     return joined.select(*[c for c in d.columns if c not in made], *out)
 
 

@@ -94,7 +94,8 @@ def read_kept(spark: SparkSession, table_path: str) -> DataFrame:
     return empty(spark, schemas.KEPT) if run is None else spark.read.schema(schemas.KEPT).parquet(run.path + "/kept")
 
 
-def _arrivals(spark: SparkSession, run: Run | None) -> DataFrame:
+def backfill_arrivals(spark: SparkSession, run: Run | None) -> DataFrame:
+    """Arrivals of the backfills that runs up to ``run`` have covered."""
     return empty(spark, schemas.ARRIVALS) if run is None else spark.read.schema(schemas.ARRIVALS).parquet(run.path + "/arrivals")
 
 
@@ -120,7 +121,7 @@ def visible_rows(spark: SparkSession, silver: DataFrame, table_path: str, more:
         stays = F.col("_from_cutoff").isNull() | (F.unix_micros("ingested_at") > F.col("_from_cutoff"))
         rows = rows.unionByName(covered.join(kept, "surrogate_key").where(stays).select(*silver.columns))
     if more is not None:
-        seen = _arrivals(spark, run)
+        seen = backfill_arrivals(spark, run)
         covered = more.join(seen, "ingested_at").join(kept, "surrogate_key").where(F.col("_first_version") >= F.col("_from_version"))
         rows = rows.unionByName(more.join(seen, "ingested_at", "left_anti")).unionByName(covered.select(*more.columns))
     return rows
@@ -168,7 +169,7 @@ def compact(
     cols = list(dict.fromkeys(["surrogate_key", key, *order]))
     arrived = silver.where(after(run.cutoff if run else None)).select(*cols, "ingested_at", F.lit(True).alias("_stream"))
     if more is not None:
-        fresh = more.join(_arrivals(spark, run), "ingested_at", "left_anti")
+        fresh = more.join(backfill_arrivals(spark, run), "ingested_at", "left_anti")
         arrived = arrived.unionByName(fresh.select(*cols, "ingested_at", F.lit(False).alias("_stream")))
     shared_dir(spark)
     arrived = arrived.checkpoint(eager=True)
@@ -184,8 +185,10 @@ def compact(
     latest_changes(ranked, key, order).write.mode("error").parquet(path + "/winners")
 
     earlier = read_kept(spark, table_path)
-    copies = arrived.where(F.col("ingested_at").isNotNull()).groupBy("surrogate_key").agg(F.count(F.lit(1)).alias("_new"))
     kept = spark.read.parquet(path + "/winners").select("surrogate_key").distinct()
+    # only copies of winners are counted: most arrived rows end at the semi join
+    copies = arrived.where(F.col("ingested_at").isNotNull()).join(kept, "surrogate_key", "left_semi").groupBy("surrogate_key").agg(
+        F.count(F.lit(1)).alias("_new"))
     kept.join(copies, "surrogate_key", "left").join(earlier, "surrogate_key", "left").select(
         "surrogate_key",
         (F.coalesce("_copies", F.lit(0)) + F.coalesce("_new", F.lit(0))).cast("long").alias("_copies"),
@@ -195,7 +198,7 @@ def compact(
     ).write.mode("error").parquet(path + "/kept")
 
     stamps = arrived.where(~F.col("_stream") & F.col("ingested_at").isNotNull()).select("ingested_at").distinct()
-    stamps.withColumn("_first_version", F.lit(version).cast("long")).unionByName(_arrivals(spark, run)).write.mode("error").parquet(
+    stamps.withColumn("_first_version", F.lit(version).cast("long")).unionByName(backfill_arrivals(spark, run)).write.mode("error").parquet(
         path + "/arrivals")
 
     def total(kept: DataFrame) -> int:

@@ -38,6 +38,27 @@ def latest_changes(silver: DataFrame, key: str = KEY, order: tuple[str, ...] = O
     return rank_latest(silver, key, order).where(F.col("rn") == 1).drop("rn")
 
 
+def latest_by_aggregate(rows: DataFrame, key: str = KEY, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """The rows of :func:`latest_changes` as an aggregate: the row of greatest position, ``max_by`` over structs.
+
+    The aggregate is mergeable: it combines on the map side (one row per key and task crosses the
+    network), and applied to results over parts of a table it gives the result over the whole. A struct
+    compares field by field with NULL lowest, which is the window's order, and the winning row is taken as
+    it is, its NULLs included. There is no window; Spark plans a sort aggregate (structs can't be
+    updated in place), which sorts by the key alone.
+    """
+    row = F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct(*order))
+    latest = rows.groupBy(key).agg(row.alias("_row"))
+    return latest.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in rows.columns])
+
+
+def current_state_by_aggregate(silver: DataFrame, key: str = KEY, order: tuple[str, ...] = ORDER, columns: list[str] | None = None) -> DataFrame:
+    """Gold through :func:`latest_by_aggregate`: the rows of :func:`current_state`."""
+    cols = columns or gold_columns_of(silver)
+    needed = list(dict.fromkeys([key, *cols, *order, "operation_type"]))
+    return latest_by_aggregate(silver.select(*needed), key, order).where(F.col("operation_type") != DELETE_OP).select(*cols)
+
+
 def winners(silver: DataFrame, key: str = KEY, order: tuple[str, ...] = ORDER) -> DataFrame:
     """Surrogate keys of the newest change per key (deletes are NOT filtered)."""
     return latest_changes(silver.select("surrogate_key", key, *order), key, order).select("surrogate_key")

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import audit, maintenance, mutations, snapshot, state
+from ..operators import audit, faults, maintenance, mutations, snapshot, state
 from ..operators.ingest import to_silver
 from ..session import new_work_path
 from ..sources import feed, tables
 from ..streaming import ingest as streaming
+from ..streaming import progress, sized
 from ..table import ChangeTable
 
 # Fixed value: the account used for point lookups (present at every scale).
@@ -268,17 +269,24 @@ def visible_after_replay(spark, sf_dir):
     return vis.select("kafka_partition", "kafka_event_offset", "account_id", "source_commit_lsn", "operation_type")
 
 
-def _compacted_arrivals(spark, sf_dir) -> ChangeTable:
-    """A run after the early records, another after the later ones, a third of which are a backfill."""
+def _compacted_arrivals(spark, sf_dir, buckets: int | None = None) -> ChangeTable:
+    """A run after the early records, another after the later ones, a third of which are a backfill;
+    with ``buckets``, the layout follows each run."""
     t = ChangeTable(spark, new_work_path(spark, "arrivals"))
+
+    def compact() -> None:
+        t.compact()
+        if buckets:
+            t.arrange(buckets)
+
     records = feed.fixture_feed(spark, sf_dir)
     early = F.coalesce(F.col("timestamp") < F.lit(SNAPSHOT_CUT).cast("timestamp"), F.lit(False))
     third = F.pmod("offset", F.lit(3)) == 0
     streaming.ingest_batch(records.where(early), t.silver_path)
-    t.compact()
+    compact()
     streaming.ingest_batch(records.where(~early & ~third), t.silver_path)
     t.backfill(records.where(~early & third))
-    t.compact()
+    compact()
     return t
 
 
@@ -288,6 +296,29 @@ def visible_after_new_rows(spark, sf_dir):
         "kafka_partition", "kafka_event_offset", "account_id", "source_commit_lsn", "operation_type")
 
 
+# Fixed value: buckets of the queries' layouts.
+LAYOUT_BUCKETS = 4
+
+
+def visible_arranged(spark, sf_dir):
+    """The same rows, read from a bucketed layout that followed both runs."""
+    return _compacted_arrivals(spark, sf_dir, LAYOUT_BUCKETS).visible().select(
+        "kafka_partition", "kafka_event_offset", "account_id", "source_commit_lsn", "operation_type")
+
+
+def visible_arranged_replay(spark, sf_dir):
+    """A layout after the first run of two, then the whole feed once more: the second run and its later rows
+    are read beside the older layout."""
+    t = ChangeTable(spark, new_work_path(spark, "arranged"))
+    records = feed.fixture_feed(spark, sf_dir)
+    streaming.ingest_batch(records, t.silver_path)
+    t.compact()
+    t.arrange(LAYOUT_BUCKETS)
+    t.compact()
+    streaming.ingest_batch(records, t.silver_path)
+    return t.visible().select("kafka_partition", "kafka_event_offset", "account_id", "source_commit_lsn", "operation_type")
+
+
 def compaction_new_rows(spark, sf_dir):
     """History of the same two runs."""
     m = F.col("metrics")
@@ -391,7 +422,125 @@ def insert_if_absent(spark, sf_dir):
     return mutations.insert_if_absent(reqs, _gold(spark, sf_dir)).select("seq", "account_id", "balance")
 
 
+def gold_by_aggregate(spark, sf_dir):
+    """Gold through the mergeable aggregate instead of the window (A3)."""
+    return state.current_state_by_aggregate(fixture_silver(spark, sf_dir)).select(*GOLD_COMPARABLE)
+
+
+def latest_merged(spark, sf_dir):
+    """Newest change per key, merged from the aggregates of three parts of the table (A3)."""
+    silver = fixture_silver(spark, sf_dir).select(*dict.fromkeys([*GOLD_COMPARABLE, *state.ORDER]))
+    third = F.pmod("kafka_event_offset", F.lit(3))
+    parts = [state.latest_by_aggregate(silver.where(third == i)) for i in range(3)]
+    return state.latest_by_aggregate(parts[0].unionByName(parts[1]).unionByName(parts[2])).select(*GOLD_COMPARABLE)
+
+
+# Fixed values of the sized sink's query: micro-batches, and the file size it aims at.
+SIZED_BATCHES = 6
+SIZED_TARGET = 64 << 10
+
+
+def sized_sink(spark, sf_dir):
+    """The feed through the sink with file-size control, packed after the stream."""
+    root = new_work_path(spark, "sized")
+    feed.fixture_feed(spark, sf_dir).repartition(SIZED_BATCHES).write.parquet(root + "/feed")
+    query = sized.start_sized_ingest(feed.file_stream(spark, root + "/feed", max_files_per_trigger=1), root + "/silver", target_bytes=SIZED_TARGET)
+    query.awaitTermination()
+    sized.pack(spark, root + "/silver", SIZED_TARGET)
+    return tables.read_silver(spark, root + "/silver").select(*SILVER_STABLE)
+
+
+# Every 1,000 events, this many records are lost from the third hundred on; every 20th comes twice.
+LOST_EVERY, LOST_FROM, LOST_RECORDS, TWICE_EVERY = 1000, 300, 31, 20
+
+
+def lost_offsets(spark, sf_dir):
+    """Feed positions that never arrived (S1), from records of ``events`` with blocks left out."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    n = F.col("event_id")
+    records = events.select(F.lit("{}").alias("value"), F.expr("event_id div 3").alias("offset"), (n % 3).cast("int").alias("partition"),
+                            F.col("ts").cast("timestamp").alias("timestamp"), n)
+    kept = records.where(~(n % LOST_EVERY).between(LOST_FROM, LOST_FROM + LOST_RECORDS - 1))
+    twice = kept.where(n % TWICE_EVERY == 0)
+    silver = to_silver(kept.unionByName(twice).drop("event_id"))
+    expected = records.groupBy("partition").agg(F.lit(0).cast("long").alias("first"), (F.max("offset") + 3).alias("next"))
+    return audit.lost_offsets(silver, expected)
+
+
+def change_lateness(spark, sf_dir):
+    """Late changes and the largest lag of each account."""
+    return audit.lateness(fixture_silver(spark, sf_dir))
+
+
+def _two_runs(spark, sf_dir):
+    """(root, feed, reports): a stream over the first files of the feed, stopped after its first micro-batch,
+    and started again over all of them."""
+    root = new_work_path(spark, "restart")
+    records = feed.fixture_feed(spark, sf_dir)
+    early = F.coalesce(F.col("timestamp") < F.lit(SNAPSHOT_CUT).cast("timestamp"), F.lit(False))
+    records.where(early).repartition(3).write.parquet(root + "/feed")
+    source = lambda: feed.file_stream(spark, root + "/feed", max_files_per_trigger=1)
+    with progress.BatchReports(spark) as reports:
+        first = streaming.start_ingest(source(), root + "/silver", mode="stream", interval="0 seconds")
+        try:
+            reports.wait_for(first, batches=1)
+        finally:
+            first.stop()  # whatever micro-batch it is in
+        records.where(~early).repartition(3).write.mode("append").parquet(root + "/feed")
+        second = streaming.start_ingest(source(), root + "/silver")
+        second.awaitTermination()
+        reports.wait_for(second)
+    return root, feed.file_batch(spark, root + "/feed"), reports.table()
+
+
+def restart_delivery(spark, sf_dir):
+    """Each record lands exactly once although the stream was stopped and restarted (R2)."""
+    root, records, reports = _two_runs(spark, sf_dir)
+    runs = reports.agg(F.count_distinct("run_id").alias("runs"))
+    committed = progress.sink_log(spark, root + "/silver").agg(F.count_distinct("batch_id").alias("batches"))
+    landed = audit.delivery(records, tables.read_silver(spark, root + "/silver"))
+    return landed.withColumn("runs", runs.scalar()).withColumn("batches", committed.scalar())
+
+
+def ingest_stamps(spark, sf_dir):
+    """One stamp for each micro-batch, later than the one before, from the stream's own clock."""
+    root = new_work_path(spark, "stamps")
+    feed.fixture_feed(spark, sf_dir).repartition(6).write.parquet(root + "/feed")
+    with progress.BatchReports(spark) as reports:
+        query = streaming.ingest_available(feed.file_stream(spark, root + "/feed", max_files_per_trigger=1), root + "/silver")
+        reports.wait_for(query)
+    stored = progress.stamps_by_batch(tables.read_silver(spark, root + "/silver"), progress.sink_log(spark, root + "/silver"))
+    return progress.stamp_check(reports.table(), stored)
+
+
+# Of every so many events, the payload has a field of another type, or is no JSON.
+TEXT_KEY_EVERY, TEXT_BALANCE_EVERY, DECIMAL_LSN_EVERY, FLAT_AFTER_EVERY, TORN_EVERY = 50, 70, 90, 110, 130
+
+
+def parse_faults(spark, sf_dir):
+    """Fields that the typed parse nulled for their type, from payloads of ``events`` with wrong types in them."""
+    n = F.col("event_id")
+    key = F.when(n % TEXT_KEY_EVERY == 0, F.concat(F.lit('"'), F.col("user_id"), F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    balance = F.when(n % TEXT_BALANCE_EVERY == 0, F.lit('"1.5"')).otherwise(F.lit("2.5"))
+    lsn = F.when(n % DECIMAL_LSN_EVERY == 0, F.concat(n, F.lit(".5"))).otherwise(n.cast("string"))
+    after = F.when(n % FLAT_AFTER_EVERY == 0, F.lit("7")).otherwise(
+        F.concat(F.lit('{"account_id":'), key, F.lit(',"current_balance":'), balance, F.lit(',"currency":null}')))
+    payload = F.concat(F.lit('{"op":"u","after":'), after, F.lit(',"source":{"lsn":'), lsn, F.lit("}}"))
+    records = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.when(n % TORN_EVERY == 0, F.substring(payload, 1, 20)).otherwise(payload).alias("value"), n.alias("offset"),
+        F.lit(0).alias("partition"), F.col("ts").cast("timestamp").alias("timestamp"))
+    return faults.field_faults(records)
+
+
 QUERIES = {
+    "gold_by_aggregate": gold_by_aggregate,
+    "latest_merged": latest_merged,
+    "sized_sink": sized_sink,
+    "lost_offsets": lost_offsets,
+    "change_lateness": change_lateness,
+    "restart_delivery": restart_delivery,
+    "ingest_stamps": ingest_stamps,
+    "parse_faults": parse_faults,
     "silver_parsed": silver_parsed,
     "surrogate_key_stats": surrogate_key_stats,
     "duplicate_keys": duplicate_keys,
@@ -421,6 +570,8 @@ QUERIES = {
     "history_last_5": history_last_5,
     "visible_after_replay": visible_after_replay,
     "visible_after_new_rows": visible_after_new_rows,
+    "visible_arranged": visible_arranged,
+    "visible_arranged_replay": visible_arranged_replay,
     "compaction_new_rows": compaction_new_rows,
     "mutations_applied": mutations_applied,
     "mutations_rejected": mutations_rejected,

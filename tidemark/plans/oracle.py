@@ -11,14 +11,22 @@ from .catalog import (
     ARRIVALS,
     MUTATION_BASE_LSN,
     MUTATION_COMMIT_TS,
+    DECIMAL_LSN_EVERY,
     DELTA_CENTER,
     EMPTY_CURRENCY_EVERY,
     EUR_EVERY,
+    FLAT_AFTER_EVERY,
     LOOKUP_ACCOUNT,
+    LOST_EVERY,
+    LOST_FROM,
+    LOST_RECORDS,
     NO_BALANCE_EVERY,
     NO_CURRENCY_EVERY,
     SNAPSHOT_CUT,
     SPARSE_GAP,
+    TEXT_BALANCE_EVERY,
+    TEXT_KEY_EVERY,
+    TORN_EVERY,
 )
 
 # Relational feed (FIXTURES.md section 3) and silver projected from it.
@@ -353,6 +361,50 @@ ORACLE = {
         UNION ALL
         SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type FROM silver"""
     ),
+    "visible_arranged": _with(RUN_CTES + """
+        SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type FROM second_out"""),
+    "visible_arranged_replay": _with(
+        """
+        SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type FROM retained
+        UNION ALL
+        SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type FROM silver"""
+    ),
+    "gold_by_aggregate": _with("SELECT * FROM gold"),
+    "latest_merged": _with("""
+        SELECT account_id, current_balance, currency, transaction_timestamp, source_commit_lsn, operation_type FROM latest"""),
+    "sized_sink": _with("""
+        SELECT kafka_event_offset, kafka_partition, operation_code, account_id, current_balance, currency,
+               transaction_timestamp, source_commit_lsn, operation_type FROM silver"""),
+    "lost_offsets": f"""
+        WITH arrived AS (
+          SELECT CAST(event_id % 3 AS INTEGER) AS kafka_partition, event_id // 3 AS o FROM events
+          WHERE event_id % {LOST_EVERY} NOT BETWEEN {LOST_FROM} AND {LOST_FROM + LOST_RECORDS - 1}
+          UNION ALL SELECT CAST(event_id % 3 AS INTEGER), unnest([-1, n]) FROM (SELECT event_id % 3 AS event_id, max(event_id // 3) + 3 AS n FROM events GROUP BY 1)),
+        gaps AS (SELECT *, lag(o) OVER (PARTITION BY kafka_partition ORDER BY o) AS p FROM arrived)
+        SELECT kafka_partition, p + 1 AS first_lost, o - 1 AS last_lost, o - p - 1 AS lost FROM gaps WHERE o - p > 1""",
+    "change_lateness": _with("""
+        SELECT account_id, COUNT(*) AS changes, COUNT(*) FILTER (WHERE lag > 0) AS late, CAST(GREATEST(COALESCE(MAX(lag), 0), 0) AS BIGINT) AS largest_lag
+        FROM (SELECT account_id, MAX(source_commit_lsn) OVER (PARTITION BY account_id ORDER BY kafka_event_offset
+                RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - source_commit_lsn AS lag FROM silver)
+        GROUP BY account_id"""),
+    "restart_delivery": _with("""
+        SELECT kafka_partition, COUNT(*) AS fed, COUNT(*) AS landed, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS repeated,
+               CAST(2 AS BIGINT) AS runs, CAST(6 AS BIGINT) AS batches
+        FROM silver GROUP BY kafka_partition"""),
+    "ingest_stamps": _with("""
+        SELECT CAST(6 AS BIGINT) AS batches, COUNT(*) AS rows, CAST(6 AS BIGINT) AS one_stamp, CAST(6 AS BIGINT) AS later_stamp,
+               CAST(6 AS BIGINT) AS as_observed FROM silver"""),
+    "parse_faults": f"""
+        WITH e AS (SELECT CAST(0 AS INTEGER) AS kafka_partition, event_id AS kafka_event_offset, event_id AS n FROM events),
+        sound AS (SELECT * FROM e WHERE n % {TORN_EVERY} <> 0)
+        SELECT kafka_partition, kafka_event_offset, 'malformed' AS field, NULL AS found FROM e WHERE n % {TORN_EVERY} = 0
+        UNION ALL SELECT kafka_partition, kafka_event_offset, 'after', 'BIGINT' FROM sound WHERE n % {FLAT_AFTER_EVERY} = 0
+        UNION ALL SELECT kafka_partition, kafka_event_offset, 'after.account_id', 'STRING' FROM sound
+          WHERE n % {FLAT_AFTER_EVERY} <> 0 AND n % {TEXT_KEY_EVERY} = 0
+        UNION ALL SELECT kafka_partition, kafka_event_offset, 'after.current_balance', 'STRING' FROM sound
+          WHERE n % {FLAT_AFTER_EVERY} <> 0 AND n % {TEXT_BALANCE_EVERY} = 0
+        UNION ALL SELECT kafka_partition, kafka_event_offset, 'source.lsn', 'DECIMAL(' || (length(CAST(n AS VARCHAR)) + (n > 0)::INT) || ',1)' FROM sound
+          WHERE n % {DECIMAL_LSN_EVERY} = 0""",
     "visible_after_new_rows": _with(RUN_CTES + """
         SELECT kafka_partition, kafka_event_offset, account_id, source_commit_lsn, operation_type FROM second_out"""),
     "compaction_new_rows": _with(RUN_CTES + """

@@ -31,6 +31,19 @@ SOURCE_INFO = StructType(
     ]
 )
 
+
+def pick(schema: StructType, names: list[str]) -> StructType:
+    return StructType([schema[n] for n in names])
+
+
+def extend(schema: StructType, more: dict[str, str]) -> StructType:
+    """``schema`` with further columns, given as name and type."""
+    out = StructType(list(schema.fields))
+    for name, kind in more.items():
+        out = out.add(name, kind)
+    return out
+
+
 # Silver columns that describe the delivery, not the captured row.
 DELIVERY_COLUMNS = ("raw_json", "kafka_event_offset", "kafka_partition", "kafka_timestamp", "operation_code")
 INGEST_COLUMNS = ("ingested_at", "event_month")
@@ -191,6 +204,9 @@ ARRIVALS = StructType([StructField("ingested_at", TimestampType()), StructField(
 # State snapshots and invalidation runs, one row per version: the latest arrival that it covers, in microseconds.
 SNAPSHOT_LOG = StructType([StructField("version", LongType()), StructField("cutoff", LongType())])
 
+# Layouts of the visible rows, one row per layout: the run it follows, that run's cut-off, and the number of buckets.
+LAYOUT_LOG = StructType([StructField("version", LongType()), StructField("cutoff", LongType()), StructField("buckets", IntegerType())])
+
 # Maintenance log, one row per run.
 HISTORY = StructType(
     [

@@ -22,11 +22,15 @@ def read_silver(spark: SparkSession, path: str, schema=schemas.SILVER) -> DataFr
     """Batch scan of a silver directory with the fixed schema.
 
     A streaming sink directory is read through its metadata log, so only committed
-    micro-batches are seen. A missing path reads as empty (same schema); any
-    other read error is raised.
+    micro-batches are seen; a table of the sized sink through its own log. A missing path
+    reads as empty (same schema); any other read error is raised.
     """
+    from ..streaming import sized
+
     if not path_exists(spark, path):
         return empty(spark, schema)
+    if sized.is_sized(spark, path):
+        return sized.read_parts(spark, path, schema)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -31,6 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.ingest import to_silver
 from ..session import path_exists
 from ..sources import feed as feeds
+from .progress import observed
 
 DEFAULT_INTERVAL = "10 seconds"
 CHECKPOINT_SUFFIX = "_checkpoint"
@@ -75,7 +76,7 @@ def start_ingest(
             f"{table_path} already holds a streaming sink log but checkpoint {checkpoint} is new; "
             "reset both together or keep the original checkpoint"
         )
-    events = to_silver(source, exact_decimal=exact_decimal, spec=spec)
+    events = observed(to_silver(source, exact_decimal=exact_decimal, spec=spec))
     writer = (
         events.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from . import schemas
-from .operators import audit, maintenance, mutations, snapshot, state
+from .operators import audit, layout, maintenance, mutations, snapshot, state
 from .sources import tables
 from .streaming import ingest as streaming
+from .streaming import sized
 
 
 @dataclass
@@ -24,6 +25,7 @@ class ChangeTable:
     root: str
     exact_decimal: bool = False
     spec: schemas.TableSpec | None = None  # the captured table (default: accounts)
+    target_file_bytes: int | None = None  # a sink with file-size control (None: the plain file sink)
 
     def __post_init__(self):
         if self.spec is None:
@@ -40,9 +42,15 @@ class ChangeTable:
 
     # --- ingest ---------------------------------------------------------------
     def start_ingest(self, source: DataFrame, mode: str = "stream", **kwargs) -> StreamingQuery:
+        if self.target_file_bytes:
+            return sized.start_sized_ingest(source, self.silver_path, mode=mode, target_bytes=self.target_file_bytes, spec=self.spec, **kwargs)
         return streaming.start_ingest(source, self.silver_path, mode=mode, spec=self.spec, **kwargs)
 
     def ingest_available(self, source: DataFrame, **kwargs) -> StreamingQuery:
+        if self.target_file_bytes:
+            query = self.start_ingest(source, mode="once", **kwargs)
+            query.awaitTermination()
+            return query
         return streaming.ingest_available(source, self.silver_path, spec=self.spec, **kwargs)
 
     def backfill(self, feed: DataFrame) -> int:
@@ -64,7 +72,8 @@ class ChangeTable:
         return tables.read_silver(self.spark, self.backfill_path, self.schema)
 
     def visible(self) -> DataFrame:
-        return maintenance.visible_rows(self.spark, self._stream(), self.silver_path, self._backfills())
+        """Rows that runs have not hidden; read from the layout as far as there is one (:meth:`arrange`)."""
+        return layout.visible_rows(self.spark, self._stream(), self.silver_path, self._backfills())
 
     def gold(self) -> DataFrame:
         """Current state. Ranks all of silver, skipping the join with the kept keys: compaction
@@ -84,6 +93,14 @@ class ChangeTable:
     def compact(self) -> dict:
         return maintenance.compact(self.spark, self._stream(), self.silver_path, key=self.spec.key, more=self._backfills())
 
+    def pack(self) -> dict:
+        """Merge the small files of a sink with file-size control."""
+        return sized.pack(self.spark, self.silver_path, self.target_file_bytes or sized.TARGET_BYTES, self.schema)
+
+    def arrange(self, buckets: int | None = None) -> dict:
+        """Store the rows that runs have kept in buckets, so that raw reads shuffle no silver."""
+        return layout.arrange(self.spark, self._stream(), self.silver_path, buckets, self._backfills())
+
     def history(self, n: int = 5) -> DataFrame:
         return maintenance.recent_history(self.spark, self.silver_path, n)
 
