@@ -210,8 +210,8 @@ def test_line_dedup_two_variable_fields(spark, names, cities):
 
 
 def test_line_dedup_variant_of_a_frequent_line(spark):
-    docs = spark.createDataFrame([(i, f"all rights of {'this' if i else 'that'} site are reserved\nown") for i in range(13)], "doc_id long, text string")
-    assert [r["text"] for r in line_dedup.drop_recurring(docs, min_docs=10).collect()] == ["own"] * 13
+    docs = spark.createDataFrame([(i, f"all rights of {'this' if i else 'that'} site are reserved\nown{chr(97 + i)}") for i in range(13)], "doc_id long, text string")
+    assert [r["text"] for r in line_dedup.drop_recurring(docs, min_docs=10).orderBy("doc_id").collect()] == [f"own{chr(97 + i)}" for i in range(13)]
 
 
 def test_line_dedup_long_passages_in_few_documents(spark):

@@ -82,8 +82,9 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text without lines whose template recurs in ten documents or more."""
-    return line_dedup.drop_recurring(table(spark, sf_dir, "documents"), **line_dedup.AS_IN_SQL)
+    """Every document's text without lines whose template recurs in ten documents or more, and without the
+    later copies of long lines."""
+    return line_dedup.drop_recurring(table(spark, sf_dir, "documents"))
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,40 +181,55 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, source_size, target, (size * copies)::BIGINT AS taken, size, copies::BIGINT AS copies FROM c""",
     "op8_line_dedup": f"""
         WITH l AS (
-          SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+          SELECT doc_id, text, md5(text) AS h, unnest(string_split(text, chr(10))) AS line,
+                 generate_subscripts(string_split(text, chr(10)), 1) AS pos
           FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
         t AS (
-          SELECT doc_id, text, pos, list_transform(
-            string_split_regex(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\\x20\\x09-\\x0D]+'),
-            lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS template FROM l),
+          SELECT doc_id, h, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line FROM l),
+        w AS (SELECT *, string_split_regex(line, '[\\x20\\x09-\\x0D]+') AS words FROM t WHERE line <> ''),
         placed AS (
-          SELECT doc_id, md5(text) AS h, pos, template, struct_pack(n := len(template), lead := template[1:{line_dedup.DEPTH}]) AS leaf
-          FROM t WHERE len(template) >= {line_dedup.MIN_TOKENS}),
-        in_docs AS (SELECT DISTINCT leaf, template, doc_id, h FROM placed),
+          SELECT doc_id, h, pos, line, words, len(words) < {line_dedup.MIN_TOKENS} AS short,
+                 CASE WHEN len(words) < {line_dedup.MIN_TOKENS} THEN words
+                      ELSE list_transform(words, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) END AS template,
+                 struct_pack(n := len(words), lead := template[1:{line_dedup.DEPTH}]) AS leaf FROM w),
+        in_docs AS (SELECT DISTINCT leaf, template, short, doc_id, h FROM placed),
         busy AS (
           SELECT leaf FROM (SELECT DISTINCT leaf, doc_id, h FROM in_docs) GROUP BY leaf HAVING count(*) >= {line_dedup.MIN_DOCS}),
         templates AS (
-          SELECT leaf, template, count(*) AS docs FROM in_docs WHERE leaf IN (SELECT leaf FROM busy) GROUP BY leaf, template),
+          SELECT leaf, template, short, count(*) AS docs FROM in_docs WHERE leaf IN (SELECT leaf FROM busy) GROUP BY leaf, template, short),
         spelled AS (
-          SELECT leaf, template, docs, unnest(template) AS token, generate_subscripts(template, 1) AS i
-          FROM templates WHERE docs < {line_dedup.MIN_DOCS}),
+          SELECT leaf, template, docs, unnest(template) AS token, generate_subscripts(template, 1) AS i FROM templates WHERE NOT short),
         constant AS (
-          SELECT leaf, i, token FROM spelled WHERE token <> '<*>' GROUP BY leaf, i, token HAVING sum(docs) >= {line_dedup.MIN_DOCS}),
+          SELECT leaf, i, token, sum(docs) AS n FROM spelled WHERE token <> '<*>' GROUP BY leaf, i, token
+          HAVING sum(docs) >= {line_dedup.MIN_DOCS}),
+        known AS (
+          SELECT leaf, template, list(struct_pack(i := i, token := token, n := n) ORDER BY i) AS c, list_reverse_sort(list(n)) AS ns,
+                 len(template) * {line_dedup.SIMILARITY}::DOUBLE AS least
+          FROM spelled JOIN constant USING (leaf, i, token) GROUP BY leaf, template),
         general AS (
-          SELECT leaf, template, list(struct_pack(i := i, token := token) ORDER BY i) AS general
-          FROM spelled JOIN constant USING (leaf, i, token) GROUP BY leaf, template
-          HAVING count(*) >= len(template) * {line_dedup.SIMILARITY}::DOUBLE),
+          SELECT leaf, template, list_transform(list_filter(c, lambda x: x.n >= ns[ceil(least)::INT]),
+                 lambda x: struct_pack(i := x.i, token := x.token)) AS general
+          FROM known WHERE len(c) >= least),
         wide AS (
           SELECT leaf, general FROM (SELECT DISTINCT leaf, general, doc_id, h FROM in_docs JOIN general USING (leaf, template))
           GROUP BY leaf, general HAVING count(*) >= {line_dedup.MIN_DOCS}),
         recurring AS (
-          SELECT template FROM templates WHERE docs >= {line_dedup.MIN_DOCS}
-          UNION SELECT template FROM general JOIN wide USING (leaf, general)),
-        gone AS (SELECT doc_id, h, pos FROM placed WHERE template IN (SELECT template FROM recurring)),
+          SELECT leaf, template FROM templates WHERE docs >= {line_dedup.MIN_DOCS}
+          UNION SELECT leaf, template FROM general JOIN wide USING (leaf, general)),
+        long AS (
+          SELECT doc_id, h, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id NULLS FIRST, h, pos) AS nth,
+                 dense_rank() OVER (PARTITION BY line ORDER BY doc_id NULLS FIRST, h)
+                 + dense_rank() OVER (PARTITION BY line ORDER BY doc_id DESC NULLS LAST, h DESC) - 1 AS in_docs
+          FROM placed
+          WHERE len(words) + len(regexp_extract_all(line, '[\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}\\p{{Thai}}\\p{{Lao}}\\p{{Khmer}}\\p{{Myanmar}}]'))
+                > {line_dedup.LONG_WORDS}),
+        gone AS (
+          SELECT doc_id, h, pos FROM placed WHERE (leaf, template) IN (SELECT (leaf, template) FROM recurring)
+          UNION SELECT doc_id, h, pos FROM long WHERE nth > 1 AND in_docs > 1),
         stay AS (
           SELECT l.doc_id, l.text, coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE gone.pos IS NULL), '') AS rest,
                  count(*) AS n_lines, count(gone.pos) AS dropped
-          FROM l LEFT JOIN gone ON l.doc_id IS NOT DISTINCT FROM gone.doc_id AND md5(l.text) = gone.h AND l.pos = gone.pos
+          FROM l LEFT JOIN gone ON l.doc_id IS NOT DISTINCT FROM gone.doc_id AND l.h = gone.h AND l.pos = gone.pos
           GROUP BY l.doc_id, l.text)
         SELECT d.doc_id, s.rest AS text, coalesce(s.n_lines, 0) AS n_lines, coalesce(s.dropped, 0) AS dropped
         FROM documents d LEFT JOIN stay s ON d.doc_id IS NOT DISTINCT FROM s.doc_id AND d.text = s.text""",
