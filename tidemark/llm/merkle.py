@@ -1,8 +1,14 @@
 """Document fingerprints: a Merkle tree over sections and paragraphs.
 
 A text falls into sections (at blank lines), these into paragraphs (lines), sentences, and runs of a
-few words, the leaves. Every node's hash is that of its children's hashes. Equal roots mean equal
-texts; where roots differ, only branches with differing hashes need to be followed to the edits.
+few words, the leaves. Every node's digest is the MD5 of its children's digests, a leaf's that of its
+text; so equal roots mean equal texts, and where roots differ, only branches with differing digests
+need to be followed to the edits.
+
+A fingerprint is the tree written out: the root's digest in full, then ``-`` and the sections, joined
+by ``|``. A section is 16 digits of its digest, ``:`` and its paragraphs, joined by ``,``; a paragraph 16 digits
+of its digest and, each behind a ``.``, 8 digits of each leaf's. Likeness is computed from two
+fingerprints alone: equal branches count whole, differing ones are descended into.
 All of it is built from string and array functions.
 """
 
@@ -14,73 +20,128 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut
 
 SECTION, PARAGRAPH = "\n\n", "\n"
-SENTENCE = r"[^.!?]+[.!?]*|[.!?]+"
-RUN = r"(?:[^ ]+ *){1,4}| +"
+# scripts without spaces: every character counts as a word
+_CHARS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+SENTENCE = r"[^.!?。！？]+[.!?。！？]*|[.!?。！？]+"
+RUN = rf"(?:(?:[{_CHARS}]|[^ {_CHARS}]{{1,64}}) *){{1,4}}| +"
 
 
-def _leaf(text: Column) -> Column:
-    """32 bits of the text's MD5, as an int: leaves are most of what a comparison moves."""
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") - F.lit(1 << 31)).cast("int")
+def _leaf_digests(text: Column) -> Column:
+    """array (sections) of arrays (paragraphs) of arrays of leaf digests. Null is empty."""
+    runs = lambda p: F.transform(F.flatten(F.transform(
+        F.regexp_extract_all(p, F.lit(SENTENCE), F.lit(0)), lambda s: F.regexp_extract_all(s, F.lit(RUN), F.lit(0)))), F.md5)
+    return F.transform(F.split(F.coalesce(text, F.lit("")), SECTION), lambda s: F.transform(F.split(s, PARAGRAPH), runs))
 
 
-def _node(children: Column) -> Column:
-    return F.md5(F.array_join(children.cast("array<string>"), ","))
+def _branches(leaves: Column) -> Column:
+    """array (sections) of struct(digest, written) from leaf digests."""
+    def paragraph(own: Column) -> Column:
+        digest = F.md5(F.array_join(own, ""))
+        return F.struct(digest.alias("digest"), F.concat(
+            F.substring(digest, 1, 16), F.array_join(F.transform(own, lambda x: F.concat(F.lit("."), F.substring(x, 1, 8))), "")).alias("written"))
 
+    def section(own: Column) -> Column:
+        digest = F.md5(F.array_join(own["digest"], ""))
+        return F.struct(digest.alias("digest"), F.concat(F.substring(digest, 1, 16), F.lit(":"), F.array_join(own["written"], ",")).alias("written"))
+
+    return F.transform(F.transform(leaves, lambda s: F.transform(s, paragraph)), section)
+
+
+def _written(branches: Column) -> Column:
+    return F.concat(F.md5(F.array_join(branches["digest"], "")), F.lit("-"), F.array_join(branches["written"], "|"))
+
+
+def with_fingerprints(rows: DataFrame, **texts: Column) -> DataFrame:
+    """``rows`` and a fingerprint column for each of ``texts`` (name and text)."""
+    kept = rows.columns
+    built = rows.select(*kept, *[_branches(_leaf_digests(t)).alias(f"_branches_{name}") for name, t in texts.items()])
+    return built.select(*kept, *[_written(F.col(f"_branches_{name}")).alias(name) for name in texts])
 
-def tree(text: Column) -> Column:
-    """array (sections) of arrays (paragraphs) of arrays (leaf hashes). Null is empty."""
-    text = F.coalesce(text, F.lit(""))
-    runs = lambda p: F.transform(F.flatten(F.transform(
-        F.regexp_extract_all(p, F.lit(SENTENCE), F.lit(0)), lambda s: F.regexp_extract_all(s, F.lit(RUN), F.lit(0)))), _leaf)
-    return F.transform(F.split(text, SECTION), lambda s: F.transform(F.split(s, PARAGRAPH), runs))
 
+def root(fingerprint: Column) -> Column:
+    """32 hex digits; equal for equal texts only."""
+    return F.substring(fingerprint, 1, 32)
 
-def paragraph_hashes(built: Column) -> Column:
-    """array (sections) of arrays of paragraph hashes."""
-    return F.transform(built, lambda s: F.transform(s, _node))
 
+def sections(fingerprint: Column) -> Column:
+    return F.split(F.substring(fingerprint, F.lit(34), F.length(fingerprint)), "[|]")
 
-def section_hashes(paragraphs: Column) -> Column:
-    return F.transform(paragraphs, _node)
 
+def paragraphs(section: Column) -> Column:
+    return F.split(F.substring(section, F.lit(18), F.length(section)), ",")
 
-def leaves(built: Column) -> Column:
-    """The set of leaf hashes."""
-    return F.array_distinct(F.flatten(F.flatten(built)))
 
+def leaves(paragraph: Column) -> Column:
+    return F.slice(F.split(paragraph, "[.]"), 2, 1 << 30)
 
-def fingerprint(built: Column) -> Column:
-    """The root (32 hex digits), then the first 8 digits of each section's hash, joined by ``-``."""
-    sections = section_hashes(paragraph_hashes(built))
-    return F.concat_ws("-", _node(sections), F.array_join(F.transform(sections, lambda h: F.substring(h, 1, 8)), "-"))
 
+def _marks(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Dice coefficient of two leaf sets: 1 for equal ones (also both empty), 0 for disjoint ones."""
-    size = F.size(a) + F.size(b)
-    return F.when(size == 0, 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / size)
+
+def _total(parts: Column, weight) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda a, x: a + weight(x))
+
+
+def with_likeness(rows: DataFrame, **pairs: tuple[str, str]) -> DataFrame:
+    """``rows`` and, for each name, the likeness (0 to 1) of two of its fingerprint columns.
+
+    It is the Dice coefficient of the trees' distinct nodes, found from the root down: 1 if the roots are
+    equal; sections that both have count with all that is below them; of the others, paragraphs
+    that both have do; of the paragraphs left, the leaves are compared. The root counts too, so texts of
+    equal parts in another order are less than 1 alike.
+    """
+    kept = rows.columns
+    whole = lambda s: 2 + _marks(s, ",") + _marks(s, ".")  # noqa: E731  a section, its paragraphs and leaves
+    of_paragraph = lambda p: 1 + _marks(p, ".")
+
+    def level(frame: DataFrame, name: str, up: str, parts) -> DataFrame:
+        """The distinct parts of both sides' branches, what both have, and what only one has."""
+        a, b = (F.array_distinct(parts(F.col(f"_{name}_{up}_{side}"))) for side in "ab")
+        frame = frame.withColumns({f"_{name}_a": a, f"_{name}_b": b})
+        return frame.withColumn(f"_{name}_both", F.array_intersect(f"_{name}_a", f"_{name}_b"))
+
+    out = rows
+    for name, (left, right) in pairs.items():
+        out = out.withColumns({f"_{name}_top_a": F.col(left), f"_{name}_top_b": F.col(right)})
+        out = level(out, name, "top", sections).withColumnsRenamed({f"_{name}_{x}": f"_{name}_s_{x}" for x in ("a", "b", "both")})
+        out = out.withColumns({f"_{name}_sx_{x}": F.array_except(f"_{name}_s_{x}", f"_{name}_s_both") for x in "ab"})
+        below = lambda c: F.flatten(F.transform(c, paragraphs))
+        out = level(out, name, "sx", below).withColumnsRenamed({f"_{name}_{x}": f"_{name}_p_{x}" for x in ("a", "b", "both")})
+        out = out.withColumns({f"_{name}_px_{x}": F.array_except(f"_{name}_p_{x}", f"_{name}_p_both") for x in "ab"})
+        out = level(out, name, "px", lambda c: F.flatten(F.transform(c, leaves)))
+        both = (_total(F.col(f"_{name}_s_both"), whole) + _total(F.col(f"_{name}_p_both"), of_paragraph) + F.size(f"_{name}_both"))
+        alone = lambda x: (1 + F.size(f"_{name}_sx_{x}") + F.size(f"_{name}_px_{x}") + F.size(f"_{name}_{x}") - F.size(f"_{name}_both"))  # noqa: E731, B023
+        out = out.withColumn(name, F.when(root(F.col(left)) == root(F.col(right)), 1.0).otherwise(
+            2.0 * both / (2 * both + alone("a") + alone("b"))))
+        kept = [*kept, name]
+        out = out.select(*kept)
+    return out
 
 
 def differing(a: Column, b: Column) -> Column:
-    """Where two trees differ: (section, paragraph) positions from 0, of sections whose hashes differ
-    only. A section or paragraph that one of them lacks counts as differing."""
-    pa, pb = paragraph_hashes(a), paragraph_hashes(b)
-    sections = F.filter(F.sequence(F.lit(0), F.greatest(F.size(a), F.size(b)) - 1),
-                        lambda i: ~F.get(section_hashes(pa), i).eqNullSafe(F.get(section_hashes(pb), i)))
-    return F.flatten(F.transform(sections, lambda i: F.transform(
-        F.filter(F.sequence(F.lit(0), F.greatest(F.coalesce(F.size(F.get(pa, i)), F.lit(0)), F.coalesce(F.size(F.get(pb, i)), F.lit(0))) - 1),
-                 lambda j: ~F.get(F.get(pa, i), j).eqNullSafe(F.get(F.get(pb, i), j))),
-        lambda j: F.struct(i.alias("section"), j.alias("paragraph")))))
+    """Where two fingerprints differ: (section, paragraph) positions from 0, of differing sections only.
+    A section or paragraph that one of them lacks counts as differing."""
+    def places(x: Column, y: Column) -> Column:
+        longer = F.greatest(F.coalesce(F.size(x), F.lit(0)), F.coalesce(F.size(y), F.lit(0)))
+        return F.filter(F.sequence(F.lit(0), longer - 1), lambda i: ~F.get(x, i).eqNullSafe(F.get(y, i)))
+
+    sa, sb = sections(a), sections(b)
+    inside = lambda i: F.transform(
+        places(paragraphs(F.get(sa, i)), paragraphs(F.get(sb, i))), lambda j: F.struct(i.alias("section"), j.alias("paragraph")))
+    return F.when(root(a) == root(b), F.array().cast("array<struct<section:int,paragraph:int>>")).otherwise(
+        F.flatten(F.transform(places(sa, sb), inside)))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, tree) of every row, map side only.
+    """(doc_id, fingerprint) of every row, map side only.
 
     - Null and empty texts have one empty section with one empty paragraph.
-    - Equal texts have equal trees; repeated rows and null ids get a result row each. Other columns are ignored.
+    - Equal texts have equal fingerprints; repeated rows and null ids get a result row each. Other columns
+      are ignored. A text of any length is read whole; its fingerprint has about two fifths of its length.
     """
-    return docs.select(F.col(id_col).alias("doc_id"), tree(F.col(text_col)).alias("tree")).select(
-        "doc_id", fingerprint(F.col("tree")).alias("fingerprint"), "tree")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return with_fingerprints(rows, fingerprint=F.col("text")).select("doc_id", "fingerprint")
 
 
 def next_ids(docs: DataFrame, id_col: str, measure: Column, parts: int | None = None) -> DataFrame:
@@ -114,24 +175,22 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     - A null text counts as empty. Null ids come first in order.
     - Rows of one id have the same next document; if the next id has several rows, its smallest text.
     - A table with one id is its own next document. An empty table gives an empty result.
+    - Texts of any length are read whole.
     """
     # a struct is never null, so one key serves for all joins and each row's text moves once
     rows = docs.select(F.struct(F.col(id_col).alias("id")).alias("own"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     quarter = F.expr("length(text) div 4").cast("int")
     order = next_ids(rows.select("own.id", "text"), "id", quarter)
-    # every document sends its beginning and its leaves to the document before it
-    sent = rows.join(order, "own").select(
+    # every document sends its beginning and its fingerprint to the document before it
+    sent = with_fingerprints(rows.join(order, "own"), next_print=F.col("text")).select(
         F.col("previous").alias("target"), F.substring("text", F.lit(1), F.col("previous_measure")).alias("start"),
-        leaves(tree(F.col("text"))).alias("next_leaves"), F.xxhash64("text").alias("h"))
-    sent = sent.groupBy("target").agg(F.min_by(F.struct("start", "next_leaves"), F.struct("start", "h")).alias("next"))
+        "next_print", F.xxhash64("text").alias("h"))
+    sent = sent.groupBy("target").agg(F.min_by(F.struct("start", "next_print"), F.struct("start", "h")).alias("next"))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next.start", F.lit(1), quarter))
     met = rows.join(sent, F.col("own") == F.col("target")).select(
-        "own.id", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), tree(F.col("text")).alias("own_tree"),
-        tree(edited).alias("edited"), F.col("next.next_leaves").alias("next_leaves"))
-    with_leaves = met.select("*", leaves(F.col("own_tree")).alias("own_leaves"), leaves(F.col("edited")).alias("edited_leaves"))
-    return with_leaves.select(
-        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", fingerprint(F.col("own_tree")).alias("fingerprint"),
-        fingerprint(F.col("edited")).alias("edited_fingerprint"),
-        likeness(F.col("own_leaves"), F.col("edited_leaves")).alias("near_edited"),
-        likeness(F.col("own_leaves"), F.col("next_leaves")).alias("near_next"))
+        "own.id", "text", edited.alias("edited"), n.cast("long").alias("n_chars"), F.col("next.next_print").alias("next_print"))
+    printed = with_fingerprints(met.withColumn("edited_sha256", F.sha2("edited", 256)), fingerprint=F.col("text"), edited_fingerprint=F.col("edited"))
+    columns = [F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"]
+    return with_likeness(printed.select(*columns, "next_print"), near_edited=("fingerprint", "edited_fingerprint"),
+                         near_next=("fingerprint", "next_print")).drop("next_print")
