@@ -40,17 +40,24 @@ def empty(awkward):
     return awkward.limit(0)
 
 
-def test_exact_groups_against_brute_force(awkward, empty):
+def test_exact_groups_against_brute_force(awkward, empty, workdir):
     got = sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["copies"]) for r in exact_dedup.exact_groups(awkward).collect()), key=str)
     rows, want = Counter((i, t or "") for i, t, *_ in AWKWARD), []
     for (i, t), n in rows.items():
         ids = [j for j, u in rows if u == t]
         keep = max((j for j in ids if j is not None), default=None)
-        want.append((i, keep, len(ids), i == keep, n))
+        want.append((i, keep, sum(k for (_, u), k in rows.items() if u == t), i == keep, n))
     assert got == sorted(want, key=str)
     kept = exact_dedup.keep_one(awkward)
     assert kept.columns == awkward.columns
     assert sorted(r["text"] or "" for r in kept.collect()) == sorted({t or "" for _, t, *_ in AWKWARD})
+    from tidemark.llm.catalog import QUERIES
+
+    few = [(1, "a"), (1, "a"), (2, "a"), (3, None), (4, "")]
+    awkward.sparkSession.createDataFrame(few, "doc_id long, text string").write.parquet(f"{workdir}/documents.parquet")
+    rows = QUERIES["op3_exact_dedup"](awkward.sparkSession, workdir).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in rows) == [
+        (1, 2, 3, False), (1, 2, 3, False), (2, 2, 3, True), (3, 4, 2, False), (4, 4, 2, True)]
     assert exact_dedup.exact_groups(empty).count() == 0 and exact_dedup.keep_one(empty).count() == 0
 
 
@@ -161,8 +168,8 @@ def test_bpe_tree_equals_the_tokenizer(spark, awkward, empty):
 
 def test_merkle_locates_edits_and_meets_neighbours(spark, awkward, empty):
     df = spark.createDataFrame([("a b.\nc d\n\ne f", "a b.\nc x\n\ne f"), ("same", "same"), (None, "")], "a string, b string")
-    got = df.select(merkle.differing(merkle.tree(F.col("a")), merkle.tree(F.col("b"))).alias("d"),
-                    (merkle.fingerprint(merkle.tree(F.col("a"))) == merkle.fingerprint(merkle.tree(F.col("b")))).alias("same")).collect()
+    got = merkle.with_fingerprints(df, x=F.col("a"), y=F.col("b")).select(merkle.differing(F.col("x"), F.col("y")).alias("d"),
+                                                                        (F.col("x") == F.col("y")).alias("same")).collect()
     assert [(x["section"], x["paragraph"]) for x in got[0]["d"]] == [(0, 1)] and [x["same"] for x in got] == [False, True, True]
     rows = [(i, t, "en", "a") for i, t in {3: "abcdefgh", 10: "ZYXWVU", 40: "", 77: "q" * 100}.items()]
     found = {x["doc_id"]: x for x in merkle.compare_with_next(docs_of(spark, rows)).collect()}
@@ -247,6 +254,12 @@ def test_language_network(spark, awkward, empty):
     odd = {(y["doc_id"], y["text"]): y["language"] for y in language_id.identify(awkward, net).collect()}
     assert odd[(7, " \t\n")]["lang_pred"] == "und" and odd[(5, None)]["score"] == 0
     assert language_id.identify(empty, net).count() == 0
+    signs = spark.createDataFrame([("½ ²",), ("Ⅷ 7",), ("ª",), ("漢",)], "text string")
+    assert [x["language"]["lang_pred"] == "und" for x in language_id.identify(signs, net).collect()] == [True, True, False, False]
+    with pytest.raises(ValueError, match="language"):
+        language_id.identify(signs.withColumn("Language", F.lit(1)), net)
+    many = docs_of(spark, [(i, f"word{chr(97 + i % 26)} " * 9, f"l{i % 300}", "a") for i in range(900)])
+    assert len(language_id.fit(many, all_texts=300).langs) == 300  # a language is never left out
     none = language_id.fit(empty)
     assert language_id.identify(awkward, none).where("language.lang_pred <> 'und'").count() == 0
 

@@ -49,8 +49,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     alone = groups.where("full_hash is null")
     match = alone["doc_id"].eqNullSafe(hashes["id"]) & (alone["n_bytes"] == hashes["n"]) & (alone["prefix_hash"] == hashes["p"])
     columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    # rows that repeat id and text are documents too
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     return alone.join(hashes, match).select(*columns).unionByName(
-        groups.where("full_hash is not null").withColumn("text_sha256", F.col("full_hash")).select(*columns))
+        groups.where("full_hash is not null").withColumn("text_sha256", F.col("full_hash")).select(*columns, each).select(*columns))
 
 
 def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,8 +34,8 @@ def _bit_is_set(bitmap: Column, position: Column) -> Column:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Which row of each group of identical texts stays.
 
-    One row per document: doc_id, keep_id (largest id of the group), group_size (documents of the
-    group), kept, copies (input rows of this id and text), n_bytes, prefix_hash, full_hash (SHA-256
+    One row per distinct id and text: doc_id, keep_id (largest id of the group), group_size (input rows of
+    the group), kept, copies (input rows of this id and text), n_bytes, prefix_hash, full_hash (SHA-256
     of the text, null where length or prefix already tell the text from all others).
 
     - A null text counts as the empty text.
@@ -73,7 +73,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("_id", *key, F.sha2("_text", 256).alias("full_hash"))
         .groupBy("_id", *key, "full_hash").agg(F.count("*").alias("copies")), "dedup-members")
     group = [*key, "full_hash"]
-    groups = measured(members.groupBy(*group).agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size")),
+    groups = measured(members.groupBy(*group).agg(F.max("_id").alias("keep_id"), F.sum("copies").alias("group_size")),
                       "dedup-groups", F.lit(112))
     hashed = members.join(groups, group).select("_id", "copies", *group, "keep_id", "group_size")
 
