@@ -9,16 +9,16 @@ over all its windows, weighted by their bytes.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import free_name, small_batches
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -26,14 +26,15 @@ FILTERS = 16
 EMBEDDING = 8
 UNDETERMINED = "und"
 
-#: Bounds of the fit: languages (the most frequent), labelled texts of each, windows of each text.
-MAX_LANGS = 200
+#: Bounds of the fit: labelled texts of each language and (of many languages, shared out evenly) in all,
+#: windows of each text. Every language of the labelled texts is learned.
 TEXTS_PER_LANG = 800
+TEXTS = 160_000
 WINDOWS_PER_TEXT = 2
 EPOCHS = 5
 SEED = 5
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _BATCH_WINDOWS = 512
 
 
@@ -176,9 +177,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, train: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang", texts_per_lang: int = TEXTS_PER_LANG, windows_per_text: int = WINDOWS_PER_TEXT,
-        max_langs: int = MAX_LANGS) -> Network:
-    """A network learned from at most ``texts_per_lang`` texts of each of the ``max_langs`` most
-    frequent languages (chosen by a hash of the id), ``windows_per_text`` stretches of each.
+        all_texts: int = TEXTS) -> Network:
+    """A network learned from at most ``texts_per_lang`` texts of each language, and ``all_texts`` divided by
+    the number of languages (but one at least), ``windows_per_text`` stretches of each.
+    Texts are chosen by a hash of id and text.
 
     ``train`` is a condition on ``doc_id``. Rows with a null language or a text without letters are
     ignored; without any rows the network knows no language and answers ``und`` with score 0.
@@ -186,19 +188,22 @@ def fit(docs: DataFrame, train: Column | None = None, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows if train is None else rows.where(train)
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     langs = sorted(r["lang"] for r in counts)
     network = Network.new(langs)
     if not langs:
         return network
-    # a hash threshold for each language keeps about as many texts as wanted; the limit is a hard bound
-    share = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, texts_per_lang / r["n"])))]), F.col("lang"))
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) / float(1 << 32)
+    each = max(1, min(texts_per_lang, all_texts // len(langs)))
+    # a hash threshold for each language keeps about twice as many texts as wanted, of which the first stay
+    bounds = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 2 * each / r["n"])) for r in counts], "lang string, share double")
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32))
     n = F.length("text")
     starts = [F.pmod(F.xxhash64(F.lit(i), "text"), F.greatest(n - WINDOW // 2, F.lit(1))).cast("int") + 1 for i in range(windows_per_text)]
-    sample = rows.where(drawn < share).select(
-        "lang", F.xxhash64("doc_id", "text").alias("h"),
-        F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts]).alias("stretches")).limit(2 * texts_per_lang * len(langs))
+    sample = rows.join(F.broadcast(bounds), "lang").where(drawn < F.col("share") * float(1 << 32)).select(  # a row for each language
+        "lang", drawn.alias("drawn"), F.xxhash64("doc_id", "text").alias("h"),
+        F.array(*[F.substring("text", s, F.lit(WINDOW)) for s in starts]).alias("stretches"))
+    first = Window.partitionBy("lang").orderBy("drawn", "h")
+    sample = sample.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= each).drop("nth", "drawn")
     found = sorted(sample.collect(), key=lambda r: (r["h"], r["lang"]))
     index = {lang: i for i, lang in enumerate(langs)}
     pairs = [(windows(t)[0][0], index[r["lang"]]) for r in found for t in r["stretches"] if t and _LETTER.search(t)]
@@ -208,10 +213,12 @@ def fit(docs: DataFrame, train: Column | None = None, id_col: str = "doc_id", te
 
 
 def identify(docs: DataFrame, network: Network, text_col: str = "text", out_col: str = "language") -> DataFrame:
-    """``docs`` and struct(lang_pred, score) of each row's whole text, all columns kept.
+    """``docs`` and struct(lang_pred, score) of each row's whole text, however long, all columns kept.
 
-    A null text, or one without a letter, gets ``und`` and score 0. Repeated rows get equal results.
+    A column named ``out_col`` must not be there yet. A null text, or one without a letter, gets ``und`` and score 0. Repeated rows get equal results.
     """
+    if free_name(docs, out_col) != out_col:
+        raise ValueError(f"there is a column {out_col} already: name another one")
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("lang_pred string, score double")

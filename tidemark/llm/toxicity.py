@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import free_name, small_batches
 
 #: Bounds of the fit: labelled texts of each class, characters read of each (a random stretch of
 #: longer ones), and terms of the lexicon.
@@ -295,11 +295,14 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, id_col:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` and each row's probability of label 1 (0 to 1), all columns kept.
+    """``docs`` and each row's probability of label 1 (0 to 1), all columns kept; a column named
+    ``score_col`` must not be there yet.
 
     Null and empty texts get the score of a text without words. Rows depend on nothing but their
     text, so repeated rows score alike; an empty table gives an empty result.
     """
+    if free_name(docs, score_col) != score_col:
+        raise ValueError(f"there is a column {score_col} already: name another one")
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
