@@ -24,25 +24,35 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 _NAME_PARTS = re.compile(r"[^a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 # Fixed values of the language: elements whose content is no markup, that have no content, that hold
 # blocks, and that start and end a block of text.
-_RAW = frozenset("script style noscript template iframe textarea title svg math object canvas".split())
+_RAW = frozenset("script style noscript template iframe textarea title svg object canvas".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CONTAINERS = frozenset(
     "html body div section article main aside nav header footer form table tbody thead tfoot tr td th ul ol dl li dd dt "
     "blockquote figure figcaption details summary fieldset dialog center menu address search".split())
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 pre hr caption legend".split())
 
-# What is never main text, by element, role and word of a class or id.
-_BOILERPLATE_TAGS = frozenset("nav aside footer form dialog menu button select option search".split())
-_BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+# What is never main text, by element, role and word of a class or id; form controls,
+# which stand inside blocks; words that say nothing of their own beside those; and words of reader
+# comments, the only ones that make an article none.
+_BOILERPLATE_TAGS = frozenset("nav aside footer form dialog menu search".split())
+_CONTROLS = frozenset("button select option optgroup datalist label".split())
+_BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert button".split())
 _BOILERPLATE_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside widget widgets footer foot masthead topbar "
     "ad ads adv advert adverts advertisement advertisements advertising banner sponsor sponsored promo promotion promoted "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup "
     "login comment comments commentlist disqus respond reply replies discussion share sharing social related recommended "
     "recommendations pagination pager toolbar copyright".split())
+_NEUTRAL_WORDS = frozenset(
+    "box bar list title heading header head link links button buttons btn icon icons site page post posts article articles entry entries block section area "
+    "wrapper wrap container inner outer content body text item items label panel count meta info module region slot unit row col "
+    "column group holder fixed sticky float top bottom left right main primary secondary global first last id form field large small "
+    "js is has the and of to".split())
+_COMMENT_WORDS = frozenset("comment comments commentlist reply replies".split())
 _HEADER_WORDS = frozenset(("header",))
 
 #: Pages without article or main: the share of a page's text that counts as nearly all of it.
@@ -53,8 +63,48 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text else {}
 
 
-def _name_words(attributes: dict[str, str]) -> set[str]:
-    return set(_NAME_PARTS.split(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+def _names(attributes: dict[str, str]) -> list[frozenset[str]]:
+    """The words of each class, and of the id."""
+    every = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    return [frozenset(w for w in _NAME_PARTS.split(_CAMEL.sub(" ", name).lower()) if w) for name in every]
+
+
+def _says(names: list[frozenset[str]], words: frozenset[str]) -> bool:
+    """Whether a whole name is of these words, next to neutral ones: ``social-bar`` is, ``social-history`` is not."""
+    return any(name & words and name <= words | _BOILERPLATE_WORDS | _NEUTRAL_WORDS for name in names)
+
+
+def _is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
+    if tag in _BOILERPLATE_TAGS:
+        return True
+    if not attributes:
+        return False
+    style = attributes.get("style", "").replace(" ", "").lower()
+    if (attributes.get("role", "").lower() in _BOILERPLATE_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
+            or "display:none" in style or "visibility:hidden" in style):
+        return True
+    if tag in ("html", "body", "main"):
+        return False
+    return _says(_names(attributes), _COMMENT_WORDS if tag == "article" else _BOILERPLATE_WORDS)
+
+
+class _Ends:
+    """Where elements of a text end; each tag's are matched once, however many there are."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.ends: dict[str, dict[int, int]] = {}
+
+    def after(self, tag: str, at: int) -> int:
+        """Behind the closing tag of the element whose opening tag ends at ``at``; -1 without one."""
+        if tag not in self.ends:
+            found, opened = self.ends.setdefault(tag, {}), []
+            for m in re.finditer(rf"<(/?){re.escape(tag)}(?![^\s/>])[^>]*>", self.text, re.I):
+                if not m[1] and not m[0].endswith("/>"):
+                    opened.append(m.end())
+                elif m[1] and opened:
+                    found[opened.pop()] = m.end()
+        return self.ends[tag].get(at, -1)
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -93,19 +143,21 @@ def parse(source: str | None) -> Page:
     page.containers.append(root)
     stack: list[tuple[str, Container]] = [("", root)]
     parts: list[str] = []
-    linked, in_link, headline = 0, 0, False
+    linked, in_link, headline, muted = 0, 0, False, False
     at, text = 0, source or ""
+    ends = _Ends(text)
 
     def words(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and not muted:
             raw = entities.unescape(raw) if "&" in raw else raw
             parts.append(raw)
             if in_link:
                 linked += len(raw.strip())
 
     def block_ends() -> None:
-        nonlocal linked
+        nonlocal linked, muted
+        muted = False  # boilerplate that a block holds ends with it, closed or not
         if parts:
             line = _SPACE.sub(" ", "".join(parts)).strip()
             parts.clear()
@@ -140,11 +192,20 @@ def parse(source: str | None) -> Page:
         elif tag == "a":
             in_link = 0 if closing else 1
         if tag not in _BLOCKS:
+            if not closing and tag not in _VOID and not m[3].endswith("/") and (
+                    tag in _CONTROLS or m[3] and _is_boilerplate(tag, _attributes(m[3]))):
+                end = ends.after(tag, at)
+                if end >= 0:
+                    at, in_link = end, 0 if tag == "a" else in_link
+                    parts.append(" ")
+                else:
+                    muted = True
             continue
         block_ends()
         headline = tag == "h1" and not closing
         if tag not in _CONTAINERS or tag in _VOID:
             in_link = 0
+            muted = not closing and bool(m[3]) and tag not in _VOID and _is_boilerplate(tag, _attributes(m[3]))
             continue
         if closing:
             names = [t for t, _ in stack]
@@ -159,12 +220,8 @@ def parse(source: str | None) -> Page:
             stack.pop()[1].last = len(page.blocks)
         attributes = _attributes(m[3])
         up = stack[-1][1]
-        names = _name_words(attributes)
-        own = (tag in _BOILERPLATE_TAGS or attributes.get("role", "").lower() in _BOILERPLATE_ROLES
-               or bool(names & _BOILERPLATE_WORDS) and tag not in ("html", "body", "article", "main")
-               or "hidden" in attributes or attributes.get("aria-hidden") == "true"
-               or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-               or not up.article and (tag == "header" or bool(names & _HEADER_WORDS) and tag == "div"))
+        header = tag == "header" or tag == "div" and any(name & _HEADER_WORDS for name in _names(attributes))
+        own = _is_boilerplate(tag, attributes) or header and not up.article
         made = Container(f"{up.path}>{_step(tag, attributes)}" if up.path else _step(tag, attributes), up,
                          up.boilerplate or own, up.article or tag in ("article", "main"), len(page.blocks))
         page.containers.append(made)
@@ -253,11 +310,14 @@ def extract(pages: DataFrame, host_of, html_col: str = "html", out_col: str = "t
 
     ``host_of`` is a column (or column name) whose rows share templates, normally the url's host.
 
-    - A null or empty page has the empty text. Text outside any element is extracted too.
+    - A null or empty page has the empty text. Text outside any element is extracted too. Pages of any length
+      are read whole. A column named ``out_col`` must not be there yet.
     - Null hosts vote together, like any other host. Repeated rows vote once each and get equal texts.
     - Of paths with equal votes the one that holds more text wins, then the first by name.
     - Only rows of hosts whose table of winners is too large to broadcast are shuffled with their html.
     """
+    if free_name(pages, out_col) != out_col:
+        raise ValueError(f"there is a column {out_col} already: name another one")
     small_batches(pages.sparkSession)
 
     @F.pandas_udf("path string, score double")
@@ -279,8 +339,7 @@ def extract(pages: DataFrame, host_of, html_col: str = "html", out_col: str = "t
     winners = votes.groupBy(F.struct("host").alias("_host")).agg(
         F.max_by("path", F.struct("votes", "text", F.lit(0) - F.length("path"), "path")).alias("_path"))
     winners = measured(winners, "host-paths", F.lit(32) + 2 * F.length("_path") + F.coalesce(F.length("_host.host"), F.lit(0)))
-    key = free_name(pages, "_host")
+    key, winner, path = (free_name(pages, x) for x in ("_host", "_winner_host", "_winner_path"))
     joined = pages.withColumn(key, F.struct(host.alias("host"))).join(
-        winners.select(F.col("_host").alias("_winner_host"), F.col("_path").alias("_winner_path")),
-        F.col(key) == F.col("_winner_host"), "left")
-    return joined.select(*[pages[c] for c in pages.columns], again(pages[html_col], F.col("_winner_path")).alias(out_col))
+        winners.select(F.col("_host").alias(winner), F.col("_path").alias(path)), F.col(key) == F.col(winner), "left")
+    return joined.select(*[pages[c] for c in pages.columns], again(pages[html_col], F.col(path)).alias(out_col))
