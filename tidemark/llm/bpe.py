@@ -248,7 +248,11 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", path:
 def decode(df: DataFrame, ids_col: str = "ids", text_col: str = "decoded", digest_col: str | None = None,
            path: str | None = None) -> DataFrame:
     """``df`` and the text of its token ids; on request also the SHA-256 of the ids as little-endian
-    unsigned 32-bit integers. Null ids decode to null; bytes that are no UTF-8 to replacement marks."""
+    unsigned 32-bit integers. Null ids decode to null; bytes that are no UTF-8 to replacement marks.
+    Columns of the results' names must not be there yet."""
+    taken = [c for c in (text_col, digest_col) if c and free_name(df, c) != c]
+    if taken:
+        raise ValueError(f"there is a column {taken[0]} already: name another one")
     path = path or default_path()
     small_batches(df.sparkSession)
 
