@@ -1,9 +1,11 @@
 """URL filters from association rules.
 
-FP-growth mines combinations of URL tokens that go with a bad label. Rules are pruned by support and
-confidence, and a rule is dropped if a more general one is at least as confident. Matching goes by
-an inverted index: each rule is filed under its rarest token, a URL looks up its own tokens, and the
-few rules found are checked in full. Hand-written host and path rules come first.
+FP-growth mines combinations of URL tokens that go with a bad label. Tokens that stand in exactly the
+same URLs (a site's scheme, host and fixed query items) say the same: they are one item, or else k of
+them would make 2^k item sets. Rules are pruned by support and confidence, and a rule is dropped if a more
+general one is at least as confident. Matching goes by an inverted index: each rule is filed under its
+rarest item, a URL looks up its own tokens, and the few rules found are checked in full; any token of an
+item stands for it. Hand-written host and path rules come first.
 """
 
 from __future__ import annotations
@@ -74,19 +76,40 @@ def tokens_of(url: Column) -> Column:
     ), lambda t: t.isNotNull()))
 
 
+def _items(baskets: DataFrame) -> DataFrame:
+    """(item, members): tokens that stand in exactly the same rows, and the first of them by name.
+
+    Rows are told by their number and two 64-bit sums over row hashes.
+    """
+    of_rows = [F.bit_xor(F.xxhash64(F.lit(seed), "row")).alias(f"rows{seed}") for seed in (1, 2)]
+    tokens = baskets.select("row", F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"), *of_rows)
+    # members of one item share a URL, so their number is bounded by a URL's tokens
+    return tokens.groupBy("n", "rows1", "rows2").agg(F.sort_array(F.collect_list("token")).alias("members")).select(
+        F.col("members")[0].alias("item"), "members")
+
+
 def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_support: float = MIN_SUPPORT,
          min_confidence: float = MIN_CONFIDENCE, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Rules (items, confidence, support, rule) for bad URLs, from (url, bad) rows.
+    """Rules (items, members, confidence, support, rule) for bad URLs, from (url, bad) rows.
 
     Support is the share of labelled rows with all items and a bad label, confidence that among rows
-    with all items; a rule also needs ``min_rows`` bad rows and
-    more confidence than the share of bad rows overall. Rows with a null url or label are ignored; without any bad row there is no rule.
+    with all items; a rule also needs ``min_rows`` bad rows and more confidence than the share of bad rows
+    overall. An item is named by the first of its tokens; ``members`` has all tokens of each item.
+    Rows with a null url or label are ignored; without any bad row there is no rule. URLs of any
+    length are read whole.
     """
     baskets = cut(labelled.where(F.col(url_col).isNotNull() & F.col(bad_col).isNotNull()).select(
-        F.concat(tokens_of(F.col(url_col)), F.when(F.col(bad_col).cast("boolean"), F.array(F.lit(BAD))).otherwise(
-            F.array().cast("array<string>"))).alias("items")).where(F.size("items") > 0), "url-baskets")
-    least = max(min_support, min_rows / max(min_rows, baskets.count()))
-    found = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets).associationRules
+        F.monotonically_increasing_id().alias("row"), tokens_of(F.col(url_col)).alias("tokens"), F.col(bad_col).cast("boolean").alias("bad")), "url-baskets")
+    items = cut(_items(baskets), "url-items")
+    n = baskets.where((F.size("tokens") > 0) | F.col("bad")).count()
+    # the first token of each item stands for all of them, in the same rows
+    kept = baskets.select("row", "bad", F.explode("tokens").alias("item")).join(
+        measured(items.select("item"), "url-firsts", F.lit(16) + F.octet_length("item")), "item", "left_semi").groupBy("row", "bad").agg(
+        F.collect_list("item").alias("tokens"))
+    marked = kept.unionByName(baskets.where((F.size("tokens") == 0) & F.col("bad")).select("row", "bad", "tokens")).select(
+        F.concat("tokens", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
+    least = max(min_support, min_rows / max(min_rows, n))
+    found = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(marked).associationRules
     rules = cut(found.where((F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") > 1)).select(
         F.array_sort("antecedent").alias("items"), "confidence", "support"), "url-rules")
     # Drop a rule if a part of its items alone is at least as confident.
@@ -95,21 +118,26 @@ def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_su
         parts.withColumn("item", F.col("part")[0]), "item").where(
         (F.size("part") < F.size("items")) & (F.size(F.array_except("part", "items")) == 0)
         & (F.col("part_confidence") >= F.col("confidence"))).select("items").distinct()
-    return rules.join(general, "items", "left_anti").withColumn("rule", F.array_join("items", " & "))
+    left = rules.join(general, "items", "left_anti")
+    spelled = left.select("items", F.explode("items").alias("item")).join(items, "item").groupBy("items").agg(
+        F.sort_array(F.collect_list(F.struct("item", "members")))["members"].alias("members"))
+    return left.join(spelled, "items").withColumn("rule", F.array_join("items", " & "))
 
 
 def match(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
     """(url, mined_rule, confidence) of the distinct urls that a rule matches: the most confident
-    rule, then the best supported one, then the first by name."""
-    index = rules.select("rule", "items", "confidence", "support")
+    rule, then the best supported one, then the first by name. A url has an item if it has one of its members."""
+    index = rules.select("rule", "members", "confidence", "support")
     distinct = cut(urls.select(F.col(url_col).alias("url")).where(F.col("url").isNotNull()).distinct()
                    .withColumn("tokens", tokens_of(F.col("url"))), "url-tokens")
-    often = distinct.select(F.explode("tokens").alias("item")).groupBy("item").agg(F.count("*").alias("n"))
-    rarest = index.select("rule", F.explode("items").alias("item")).join(often, "item", "left").groupBy("rule").agg(
-        F.min_by("item", F.struct(F.coalesce("n", F.lit(0)), "item")).alias("item"))
-    filed = measured(index.join(rarest, "rule"), "url-index", F.lit(64) + 2 * F.octet_length("rule"))
-    hits = distinct.select("url", "tokens", F.explode("tokens").alias("item")).join(filed, "item").where(
-        F.size(F.array_except("items", "tokens")) == 0)
+    often = distinct.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    spread = index.select("rule", F.posexplode("members").alias("at", "own")).select("rule", "at", "own", F.explode("own").alias("token"))
+    rarest = spread.join(often, "token", "left").groupBy("rule", "at", "own").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n")).groupBy(
+        "rule").agg(F.min_by("own", F.struct("n", "at")).alias("own"))
+    filed = index.join(rarest, "rule").select("rule", "members", "confidence", "support", F.explode("own").alias("token"))
+    filed = measured(filed, "url-index", F.lit(64) + 3 * F.octet_length(F.to_json("members")))
+    hits = distinct.select("url", "tokens", F.explode("tokens").alias("token")).join(filed, "token").where(
+        F.forall("members", lambda own: F.arrays_overlap(own, F.col("tokens"))))
     return hits.groupBy("url").agg(F.max_by(F.struct("rule", "confidence"), F.struct("confidence", "support", "rule")).alias("best")).select(
         "url", F.col("best.rule").alias("mined_rule"), F.col("best.confidence").alias("confidence"))
 
