@@ -129,15 +129,8 @@ def _overflows(column: str):
     return c.isNotNull() & c.try_cast(schemas.BALANCE_DECIMAL).isNull()
 
 
-def reconcile(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
-    """Per-key comparison of the source table with gold.
-
-    ``status`` is match / value_diff / source_only / gold_only. Gold balances are
-    compared as DECIMAL(14,2) and gold event times as timestamps, NULL-safely; a balance
-    beyond that type is shown as NULL and counts as value_diff.
-    Full outer join on the key (null-safe), one shuffle per side.
-    """
-    s = source.select(
+def _source_side(source: DataFrame, key: str) -> DataFrame:
+    return source.select(
         F.col(key).alias("_k"),
         F.lit(True).alias("_in_source"),
         F.col("current_balance").try_cast(schemas.BALANCE_DECIMAL).alias("source_balance"),
@@ -145,7 +138,10 @@ def reconcile(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
         F.col("currency").alias("source_currency"),
         F.col("transaction_timestamp").cast("timestamp").alias("source_ts"),
     )
-    g = gold.select(
+
+
+def _gold_side(gold: DataFrame, key: str) -> DataFrame:
+    return gold.select(
         F.col(key).alias("_kg"),
         F.lit(True).alias("_in_gold"),
         F.col("current_balance").try_cast(schemas.BALANCE_DECIMAL).alias("gold_balance"),
@@ -153,6 +149,9 @@ def reconcile(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
         F.col("currency").alias("gold_currency"),
         F.col("transaction_timestamp").try_cast("timestamp").alias("gold_ts"),
     )
+
+
+def _compared(s: DataFrame, g: DataFrame, key: str) -> DataFrame:
     joined = s.join(g, s["_k"].eqNullSafe(g["_kg"]), "full_outer")
     same = (
         F.col("source_balance").eqNullSafe(F.col("gold_balance"))
@@ -179,6 +178,89 @@ def reconcile(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
     )
 
 
+def reconcile(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
+    """Per-key comparison of the source table with gold.
+
+    ``status`` is match / value_diff / source_only / gold_only. Gold balances are
+    compared as DECIMAL(14,2) and gold event times as timestamps, NULL-safely; a balance
+    beyond that type is shown as NULL and counts as value_diff.
+    Full outer join on the key (null-safe), one shuffle per side.
+    """
+    return _compared(_source_side(source, key), _gold_side(gold, key), key)
+
+
+#: Ranges of key hashes that :func:`reconcile_by_digest` tells apart, as bits; and the bits a level descends.
+DIGEST_BITS = 16
+LEVEL_BITS = 4
+MAX_DIGEST_BITS = 20
+
+
+def _bucketed(side: DataFrame, key_col: str, bits: int) -> DataFrame:
+    """``side`` with its key's range of hashes (``_bucket``)."""
+    return side.withColumn("_bucket", F.shiftrightunsigned(F.xxhash64(F.lit("range"), F.col(key_col).isNull(), key_col), 64 - bits))
+
+
+def _digests(side: DataFrame, prefix: str, key_col: str) -> DataFrame:
+    """One row for each bucket: the number of its rows and two 64-bit combinations of their hashes."""
+    over = F.when(F.col(f"_{prefix}_over"), F.lit(prefix))  # what can't be compared differs from the other side
+    values = [F.col(c) for c in (key_col, f"{prefix}_balance", f"{prefix}_currency", f"{prefix}_ts")] + [over]
+    marked = [x for v in values for x in (v.isNull(), v)]  # a hash skips nulls
+    return side.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), *[
+        F.bit_xor(F.xxhash64(F.lit(seed), *marked)).alias(f"d{seed}") for seed in (1, 2)])
+
+
+def differing_buckets(a: DataFrame, b: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:
+    """Buckets whose digests differ, found from the top: a level's digests combine those below, and only
+    the children of ranges that differ are compared."""
+    digest = ["n", "d1", "d2"]
+    wanted = None
+    for level in [*range(LEVEL_BITS, bits, LEVEL_BITS), bits]:
+        up = bits - level
+
+        def rolled(x: DataFrame) -> DataFrame:
+            rows = x.withColumn("range", F.shiftright("_bucket", up))
+            if wanted is not None:
+                rows = rows.withColumn("above", F.shiftright("range", level - wanted[1])).join(wanted[0], "above", "left_semi")
+            return rows.groupBy("range").agg(F.sum("n").alias("n"), F.bit_xor("d1").alias("d1"), F.bit_xor("d2").alias("d2"))
+
+        left, right = rolled(a), rolled(b).select(F.col("range").alias("other"), *[F.col(c).alias(f"other_{c}") for c in digest])
+        same = F.lit(True)
+        for c in digest:
+            same = same & F.col(c).eqNullSafe(F.col(f"other_{c}"))
+        found = left.join(right, F.col("range") == F.col("other"), "full_outer").where(~same).select(F.coalesce("range", "other").alias("above"))
+        wanted = (found, level)
+    return wanted[0].withColumnRenamed("above", "_bucket")
+
+
+def reconcile_by_digest(source: DataFrame, gold: DataFrame, key: str = KEY, bits: int = DIGEST_BITS) -> DataFrame:
+    """The rows of :func:`reconcile`, joining only ranges of keys in which the sides differ.
+
+    Both sides are digested by 2^``bits`` ranges of key hashes (partial aggregates; the digests have a
+    bounded size whatever the tables have, and are written once). Digests are compared from the top
+    down; a range whose digests agree holds the same rows on both sides, so its rows are matches as they
+    are and are never shuffled. What is joined grows with the number of differences.
+    """
+    from ..session import new_work_path
+
+    if not 1 <= bits <= MAX_DIGEST_BITS:
+        raise ValueError(f"bits must be 1 to {MAX_DIGEST_BITS}: the list of differing ranges is broadcast")
+    spark = source.sparkSession
+    sides = {"source": _bucketed(_source_side(source, key), "_k", bits), "gold": _bucketed(_gold_side(gold, key), "_kg", bits)}
+    digests = {}
+    for name, key_col in (("source", "_k"), ("gold", "_kg")):
+        path = new_work_path(spark, f"digests-{name}")
+        _digests(sides[name], name, key_col).write.parquet(path)
+        digests[name] = spark.read.parquet(path)
+    path = new_work_path(spark, "digests-differ")
+    differing_buckets(digests["source"], digests["gold"], bits).write.parquet(path)
+    differ = F.broadcast(spark.read.schema("_bucket long").parquet(path))  # 2^bits rows of 8 bytes at most
+    joined = _compared(*(sides[name].join(differ, "_bucket", "left_semi").drop("_bucket") for name in ("source", "gold")), key)
+    equal = sides["source"].join(differ, "_bucket", "left_anti").select(
+        F.col("_k").alias(key), F.lit("match").alias("status"), "source_balance", F.col("source_balance").alias("gold_balance"),
+        "source_currency", F.col("source_currency").alias("gold_currency"), "source_ts", F.col("source_ts").alias("gold_ts"))
+    return joined.unionByName(equal)
+
+
 def reconcile_summary(source: DataFrame, gold: DataFrame, key: str = KEY) -> DataFrame:
     return reconcile(source, gold, key).groupBy("status").agg(F.count(F.lit(1)).alias("accounts"))
 

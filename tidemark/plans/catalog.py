@@ -186,6 +186,19 @@ def source_reconcile_rows(spark, sf_dir):
     return audit.reconcile(source, gold).select("account_id", "status", "source_balance", "gold_balance")
 
 
+# Fixed value: gold misses every 37th account of the digest query and has other balances for every 41st.
+MISSING_EVERY, OTHER_BALANCE_EVERY = 37, 41
+
+
+def reconcile_by_digest(spark, sf_dir):
+    """Reconciliation that joins only key ranges whose digests differ (D2), against a gold with planted differences."""
+    source = tables.source_from_changes(feed.fixture_changes(spark, sf_dir))
+    account = F.coalesce("account_id", F.lit(1))
+    gold = state.current_state(fixture_silver(spark, sf_dir)).where(account % MISSING_EVERY != 0).withColumn(
+        "current_balance", F.when(account % OTHER_BALANCE_EVERY == 0, F.col("current_balance") + 1).otherwise(F.col("current_balance")))
+    return audit.reconcile_by_digest(source, gold).select("account_id", "status", "source_balance", "gold_balance")
+
+
 def health_counts(spark, sf_dir):
     return audit.health_counts(fixture_silver(spark, sf_dir))
 
@@ -541,6 +554,7 @@ QUERIES = {
     "restart_delivery": restart_delivery,
     "ingest_stamps": ingest_stamps,
     "parse_faults": parse_faults,
+    "reconcile_by_digest": reconcile_by_digest,
     "silver_parsed": silver_parsed,
     "surrogate_key_stats": surrogate_key_stats,
     "duplicate_keys": duplicate_keys,

@@ -20,8 +20,10 @@ from .catalog import (
     LOST_EVERY,
     LOST_FROM,
     LOST_RECORDS,
+    MISSING_EVERY,
     NO_BALANCE_EVERY,
     NO_CURRENCY_EVERY,
+    OTHER_BALANCE_EVERY,
     SNAPSHOT_CUT,
     SPARSE_GAP,
     TEXT_BALANCE_EVERY,
@@ -317,6 +319,28 @@ ORACLE = {
                       ELSE 'value_diff' END AS status
           FROM src FULL OUTER JOIN g ON src.account_id IS NOT DISTINCT FROM g.account_id"""
     ),
+    "reconcile_by_digest": _with(
+        f"""
+        , src AS (
+          SELECT account_id, CAST(value AS DECIMAL(14,2)) AS b, 'USD' AS c,
+                 strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS t, TRUE AS in_s
+          FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY account_id
+                                             ORDER BY lsn DESC NULLS LAST, off DESC NULLS LAST) AS rn
+                FROM feed WHERE op IS NOT NULL AND account_id IS NOT NULL) f
+          WHERE rn = 1 AND op <> 'd'),
+        g AS (
+          SELECT account_id, CAST(current_balance + CASE WHEN account_id % {OTHER_BALANCE_EVERY} = 0 THEN 1 ELSE 0 END AS DECIMAL(14,2)) AS b,
+                 currency AS c, transaction_timestamp AS t, TRUE AS in_g
+          FROM gold WHERE COALESCE(account_id, 1) % {MISSING_EVERY} <> 0)
+        SELECT COALESCE(src.account_id, g.account_id) AS account_id,
+               src.b AS source_balance, g.b AS gold_balance,
+               CASE WHEN g.in_g IS NULL THEN 'source_only'
+                      WHEN src.in_s IS NULL THEN 'gold_only'
+                      WHEN src.b IS NOT DISTINCT FROM g.b AND src.c IS NOT DISTINCT FROM g.c
+                           AND src.t IS NOT DISTINCT FROM g.t THEN 'match'
+                      ELSE 'value_diff' END AS status
+          FROM src FULL OUTER JOIN g ON src.account_id IS NOT DISTINCT FROM g.account_id"""
+    ),
     "health_counts": _with(
         """
         SELECT TRUE AS silver_table_exists, (SELECT COUNT(*) FROM silver) AS silver_count,
