@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark.operators import audit, maintenance, mutations, snapshot, state  # noqa: E402
+from tidemark.operators import audit, layout, maintenance, mutations, snapshot, state  # noqa: E402
 from tidemark.plans import catalog  # noqa: E402
 from tidemark.session import build_session, new_work_path  # noqa: E402
 from tidemark.sources import feed as feeds  # noqa: E402
@@ -109,6 +109,10 @@ def bench_feed(spark, feed_dir, q: dict, rows: dict, suffix: str = "") -> None:
     timed(q, f"compaction{suffix}", lambda: maintenance.compact(spark, silver, silver_stream))
     visible = maintenance.visible_rows(spark, tables.read_silver(spark, silver_stream), silver_stream)
     timed(q, f"gold_after_compaction{suffix}", lambda: run(state.current_state(visible)))
+    timed(q, f"visible_rows{suffix}", lambda: run(visible))
+    timed(q, f"layout{suffix}", lambda: layout.arrange(spark, silver, silver_stream))
+    timed(q, f"visible_arranged{suffix}", lambda: run(layout.visible_rows(spark, silver, silver_stream)))
+    timed(q, f"gold_by_aggregate{suffix}", lambda: run(state.current_state_by_aggregate(silver)))
 
     # Incremental state on the batch table: snapshot, a small new arrival, then gold
     # from snapshot + new files only, next to the full re-ranking of all history.
