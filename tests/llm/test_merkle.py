@@ -12,7 +12,7 @@ from tidemark.llm import merkle
 from tidemark.llm.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
-CHARS = "⺀-⿟々〇〡-〩〸-〻㐀-䶿一-鿿ぁ-ゖゝ-ゟァ-ヺヽ-ヿ"
+CHARS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 
 
 def md5(text):

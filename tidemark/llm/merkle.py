@@ -20,17 +20,31 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut
 
 SECTION, PARAGRAPH = "\n\n", "\n"
-# scripts without spaces: every character counts as a word
-_CHARS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-SENTENCE = r"[^.!?。！？]+[.!?。！？]*|[.!?。！？]+"
-RUN = rf"(?:(?:[{_CHARS}]|[^ {_CHARS}]{{1,64}}) *){{1,4}}| +"
+# scripts without spaces: every character counts as a word (as ranges: looking up scripts is slow)
+_CHARS = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+# with and without the marks and characters of those scripts: the same runs, but patterns of ASCII are faster
+WIDE_MARKS = ("。", "！", "？")
+SENTENCE, WIDE_SENTENCE = r"[^.!?]+[.!?]*|[.!?]+", r"[^.!?。！？]+[.!?。！？]*|[.!?。！？]+"
+RUN, WIDE_RUN = r"(?:[^ ]{1,64} *){1,4}| +", rf"(?:(?:[{_CHARS}]|[^ {_CHARS}]{{1,64}}) *){{1,4}}| +"
+
+
+def _all(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def _runs(paragraph: Column) -> Column:
+    wide = F.lit(False)
+    for mark in WIDE_MARKS:
+        wide = wide | F.contains(paragraph, F.lit(mark))
+    sentences = F.when(wide, _all(paragraph, WIDE_SENTENCE)).otherwise(_all(paragraph, SENTENCE))
+    return F.flatten(F.transform(sentences, lambda s: F.when(
+        F.octet_length(s) > F.length(s), _all(s, WIDE_RUN)).otherwise(_all(s, RUN))))
 
 
 def _leaf_digests(text: Column) -> Column:
     """array (sections) of arrays (paragraphs) of arrays of leaf digests. Null is empty."""
-    runs = lambda p: F.transform(F.flatten(F.transform(
-        F.regexp_extract_all(p, F.lit(SENTENCE), F.lit(0)), lambda s: F.regexp_extract_all(s, F.lit(RUN), F.lit(0)))), F.md5)
-    return F.transform(F.split(F.coalesce(text, F.lit("")), SECTION), lambda s: F.transform(F.split(s, PARAGRAPH), runs))
+    return F.transform(F.split(F.coalesce(text, F.lit("")), SECTION), lambda s: F.transform(
+        F.split(s, PARAGRAPH), lambda p: F.transform(_runs(p), F.md5)))
 
 
 def _branches(leaves: Column) -> Column:
