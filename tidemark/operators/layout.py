@@ -37,6 +37,9 @@ KEY = "surrogate_key"
 #: Columns of a stored row beside silver's: the run that stored it, and of a backfilled row the run that covered it first.
 _RUN, _ARRIVED = "_run", "_arrived_version"
 
+#: The kept keys as the layout stores them: bucketed all of them, and beside the buckets those that were ever hot.
+_KEPT = schemas.pick(schemas.KEPT, [KEY, "_from_version", "_from_cutoff"])
+
 
 class Layout(NamedTuple):
     """The newest finished layout: the run it follows, its cut-off (microseconds) and number of buckets."""
@@ -137,7 +140,7 @@ def arrange(spark: SparkSession, silver: DataFrame, table_path: str, buckets: in
     _write_buckets(kept.drop("_copies"), kept_path, n)
     ever_hot = hot
     if layout is not None:
-        ever_hot = hot.unionByName(spark.read.schema(_HOT).parquet(f"{root}/hot_kept/run={layout.version}").select(KEY)).distinct()
+        ever_hot = hot.unionByName(spark.read.schema(_KEPT).parquet(f"{root}/hot_kept/run={layout.version}").select(KEY)).distinct()
     # a key once hot has rows there even when it is not kept any more
     ever_hot.join(kept.drop("_copies"), KEY, "left").write.mode("error").parquet(f"{root}/hot_kept/run={run.version}")
 
@@ -148,10 +151,6 @@ def arrange(spark: SparkSession, silver: DataFrame, table_path: str, buckets: in
     return {"version": run.version, "buckets": n, "stored": stored}
 
 
-_KEPT = schemas.pick(schemas.KEPT, [KEY, "_from_version", "_from_cutoff"])
-_HOT = _KEPT
-
-
 def visible_rows(spark: SparkSession, silver: DataFrame, table_path: str, more: DataFrame | None = None) -> DataFrame:
     """The rows of ``maintenance.visible_rows``, from the layout as far as it reaches."""
     from .maintenance import visible_rows as unarranged
@@ -170,7 +169,7 @@ def visible_rows(spark: SparkSession, silver: DataFrame, table_path: str, more:
         rows = _read_buckets(spark, f"{root}/rows", stored, layout.buckets).where(F.col(_RUN) <= layout.version)
         parts.append(_stay(rows, kept))
         hot = spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(f"{root}/hot").where(F.col(_RUN) <= layout.version)
-        hot_kept = spark.read.schema(_HOT).parquet(f"{root}/hot_kept/run={layout.version}")
+        hot_kept = spark.read.schema(_KEPT).parquet(f"{root}/hot_kept/run={layout.version}")
         parts.append(_stay(hot, hot_kept.where(F.col("_from_version").isNotNull()) if own else kept.join(hot_kept, KEY, "left_semi")))
     late = _covered(spark, silver, more, run, layout)
     if late is not None:
