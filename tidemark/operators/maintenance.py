@@ -38,7 +38,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -189,23 +189,22 @@ def compact(
     # only copies of winners are counted: most arrived rows end at the semi join
     copies = arrived.where(F.col("ingested_at").isNotNull()).join(kept, "surrogate_key", "left_semi").groupBy("surrogate_key").agg(
         F.count(F.lit(1)).alias("_new"))
+    written = Observation(f"kept-{version}")  # summed inside the write job
     kept.join(copies, "surrogate_key", "left").join(earlier, "surrogate_key", "left").select(
         "surrogate_key",
         (F.coalesce("_copies", F.lit(0)) + F.coalesce("_new", F.lit(0))).cast("long").alias("_copies"),
         F.coalesce("_from_version", F.lit(version)).cast("long").alias("_from_version"),
         F.when(F.col("_from_version").isNotNull(), F.col("_from_cutoff")).otherwise(
             F.lit(run.cutoff if run else None)).cast("long").alias("_from_cutoff"),
-    ).write.mode("error").parquet(path + "/kept")
+    ).observe(written, F.sum("_copies").alias("copies")).write.mode("error").parquet(path + "/kept")
 
     stamps = arrived.where(~F.col("_stream") & F.col("ingested_at").isNotNull()).select("ingested_at").distinct()
     stamps.withColumn("_first_version", F.lit(version).cast("long")).unionByName(backfill_arrivals(spark, run)).write.mode("error").parquet(
         path + "/arrivals")
 
-    def total(kept: DataFrame) -> int:
-        return int(kept.agg(F.sum("_copies")).first()[0] or 0) + seen["unstamped"]
-
-    before = total(earlier) + seen["stamped"]
-    after_run = total(spark.read.schema(schemas.KEPT).parquet(path + "/kept"))
+    copies_before = 0 if run is None else earlier.agg(F.sum("_copies")).first()[0] or 0
+    before = int(copies_before) + seen["unstamped"] + seen["stamped"]
+    after_run = int(written.get.get("copies") or 0) + seen["unstamped"]
     entry = spark.createDataFrame([(version, cutoff)], schemas.SNAPSHOT_LOG)
     entry.coalesce(1).write.mode("error").parquet(f"{sidecar_path(table_path)}/log/entry={version}")
     metrics = {
