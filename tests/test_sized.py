@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.plans import catalog
 from tidemark.plans.catalog import SILVER_STABLE
 from tidemark.sources import feed as feeds
 from tidemark.sources.tables import read_silver
@@ -120,3 +121,39 @@ def test_change_table_over_a_sized_sink(spark, workdir):
     assert t.pack()["merged"] == 4
     assert t.visible().count() == 155 and sorted(t.gold().collect(), key=str) == sorted(gold, key=str)
     assert t.gold_incremental().count() == 148
+
+
+def tables_of_their_own(spark, path, events=1200):
+    """events over January and February, and customers, of made-up rows."""
+    spark.range(events).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS ts", "id % 50 AS user_id",
+        "CASE WHEN id % 9 = 0 THEN 'error' WHEN id % 5 = 0 THEN 'signup' ELSE 'click' END AS event_type", "id / 4D AS value").write.parquet(path + "/events.parquet")
+    spark.range(50).selectExpr("id AS c_custkey", "id * 1.5D AS c_acctbal").write.parquet(path + "/customer.parquet")
+    return path
+
+
+def test_a_large_micro_batch_is_read_by_several_tasks(spark, workdir, monkeypatch):
+    sf, root = tables_of_their_own(spark, workdir + "/sf"), workdir + "/work"
+    plain = catalog.sized_sink(spark, sf).collect()
+    monkeypatch.setattr(feeds, "FILE_RECORDS", 100)
+    monkeypatch.setattr(catalog, "new_work_path", lambda spark, name: root)
+    assert sorted(catalog.sized_sink(spark, sf).collect(), key=str) == sorted(plain, key=str)
+    assert len(plain) == 1200 + 120 + 50 + 1
+    assert sorted(p.name for p in sized._logged(spark, root + "/silver")) == [*(f"batch-{i}" for i in range(catalog.SIZED_BATCHES)), "pack-0-5"]
+    files = feeds.file_batch(spark, root + "/feed").groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 3 * catalog.SIZED_BATCHES and max(r["count"] for r in files) <= 100
+
+
+def test_streams_over_several_files_a_micro_batch(spark, workdir, monkeypatch):
+    sf = tables_of_their_own(spark, workdir + "/sf")
+    monkeypatch.setattr(feeds, "FILE_RECORDS", 50)
+    cut = spark.sql(f"SELECT timestamp'{catalog.SNAPSHOT_CUT}'").first()[0]
+    early = spark.read.parquet(sf + "/events.parquet").where(F.col("ts") < F.lit(cut)).count()
+    assert 150 < early < 1050  # both runs have several files a micro-batch
+    dealt, write = [], feeds.write_files
+    monkeypatch.setattr(feeds, "write_files", lambda records, path, batches, each, **kw: dealt.append(each) or write(records, path, batches, each, **kw))
+    assert tuple(catalog.ingest_stamps(spark, sf).first()) == (6, 1371, 6, 6, 6)
+    delivered = catalog.restart_delivery(spark, sf).collect()
+    assert sum(r["landed"] for r in delivered) == 1371 and {(r["lost"], r["repeated"], r["runs"], r["batches"]) for r in delivered} == {(0, 0, 2, 6)}
+    assert catalog.stream_vs_batch(spark, sf).count() == 1371
+    assert len(dealt) == 4 and min(dealt) > 1

@@ -210,10 +210,12 @@ def gold_decimal(spark, sf_dir):
 
 def stream_vs_batch(spark, sf_dir):
     """The feed written as files, ingested by Structured Streaming (``availableNow``,
-    one file per micro-batch) into a month-partitioned Parquet sink, read back."""
+    in six micro-batches) into a month-partitioned Parquet sink, read back."""
     root = new_work_path(spark, "stream-vs-batch")
-    feed.fixture_feed(spark, sf_dir).write.parquet(root + "/feed")
-    streaming.ingest_available(feed.file_stream(spark, root + "/feed", max_files_per_trigger=1), root + "/silver")
+    records = feed.fixture_feed(spark, sf_dir)
+    each = feed.files_each(records, 6)
+    feed.write_files(records, root + "/feed", 6, each)
+    streaming.ingest_available(feed.file_stream(spark, root + "/feed", max_files_per_trigger=each), root + "/silver")
     return tables.read_silver(spark, root + "/silver").select(*SILVER_STABLE)
 
 
@@ -456,8 +458,10 @@ SIZED_TARGET = 64 << 10
 def sized_sink(spark, sf_dir):
     """The feed through the sink with file-size control, packed after the stream."""
     root = new_work_path(spark, "sized")
-    feed.fixture_feed(spark, sf_dir).repartition(SIZED_BATCHES).write.parquet(root + "/feed")
-    query = sized.start_sized_ingest(feed.file_stream(spark, root + "/feed", max_files_per_trigger=1), root + "/silver", target_bytes=SIZED_TARGET)
+    records = feed.fixture_feed(spark, sf_dir)
+    each = feed.files_each(records, SIZED_BATCHES)
+    feed.write_files(records, root + "/feed", SIZED_BATCHES, each)
+    query = sized.start_sized_ingest(feed.file_stream(spark, root + "/feed", max_files_per_trigger=each), root + "/silver", target_bytes=SIZED_TARGET)
     query.awaitTermination()
     sized.pack(spark, root + "/silver", SIZED_TARGET)
     return tables.read_silver(spark, root + "/silver").select(*SILVER_STABLE)
@@ -491,15 +495,17 @@ def _two_runs(spark, sf_dir):
     root = new_work_path(spark, "restart")
     records = feed.fixture_feed(spark, sf_dir)
     early = F.coalesce(F.col("timestamp") < F.lit(SNAPSHOT_CUT).cast("timestamp"), F.lit(False))
-    records.where(early).repartition(3).write.parquet(root + "/feed")
-    source = lambda: feed.file_stream(spark, root + "/feed", max_files_per_trigger=1)
+    # of the lesser side, so that none of its files is empty: an empty one is not written
+    each = min(feed.files_each(records.where(early), 3), feed.files_each(records.where(~early), 3))
+    feed.write_files(records.where(early), root + "/feed", 3, each)
+    source = lambda: feed.file_stream(spark, root + "/feed", max_files_per_trigger=each)
     with progress.BatchReports(spark) as reports:
         first = streaming.start_ingest(source(), root + "/silver", mode="stream", interval="0 seconds")
         try:
             reports.wait_for(first, batches=1)
         finally:
             first.stop()  # whatever micro-batch it is in
-        records.where(~early).repartition(3).write.mode("append").parquet(root + "/feed")
+        feed.write_files(records.where(~early), root + "/feed", 3, each, mode="append")
         second = streaming.start_ingest(source(), root + "/silver")
         second.awaitTermination()
         reports.wait_for(second)
@@ -518,9 +524,11 @@ def restart_delivery(spark, sf_dir):
 def ingest_stamps(spark, sf_dir):
     """One stamp for each micro-batch, later than the one before, from the stream's own clock."""
     root = new_work_path(spark, "stamps")
-    feed.fixture_feed(spark, sf_dir).repartition(6).write.parquet(root + "/feed")
+    records = feed.fixture_feed(spark, sf_dir)
+    each = feed.files_each(records, 6)
+    feed.write_files(records, root + "/feed", 6, each)
     with progress.BatchReports(spark) as reports:
-        query = streaming.ingest_available(feed.file_stream(spark, root + "/feed", max_files_per_trigger=1), root + "/silver")
+        query = streaming.ingest_available(feed.file_stream(spark, root + "/feed", max_files_per_trigger=each), root + "/silver")
         reports.wait_for(query)
     stored = progress.stamps_by_batch(tables.read_silver(spark, root + "/silver"), progress.sink_log(spark, root + "/silver"))
     return progress.stamp_check(reports.table(), stored)

@@ -69,6 +69,21 @@ def file_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FEED).parquet(path)
 
 
+#: Records of a feed file, about 10 MB: a micro-batch of more is several files, parsed by as many tasks.
+FILE_RECORDS = 100_000
+
+
+def files_each(records: DataFrame, batches: int) -> int:
+    """How many files each of ``batches`` micro-batches over ``records`` has."""
+    return max(1, -(-records.count() // (batches * FILE_RECORDS)))
+
+
+def write_files(records: DataFrame, path: str, batches: int, each: int, mode: str = "error") -> None:
+    """Write ``records`` as the feed files of ``batches`` micro-batches, ``each`` files for one (``file_stream``'s
+    ``max_files_per_trigger``); rows are dealt out evenly."""
+    records.repartition(batches * each).write.mode(mode).parquet(path)
+
+
 def _row_image(account_id, balance, currency, ts_text):
     return F.struct(
         account_id.cast("long").alias("account_id"),

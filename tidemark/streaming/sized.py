@@ -192,7 +192,8 @@ def pack(spark: SparkSession, table_path: str, target_bytes: int = TARGET_BYTES,
     columns = [f.name for f in schema.fields]
     rows = _read(spark, table_path, taken, schema)
     # a file's name has its write job's id; one task's files in different months have the same
-    dealt = rows.select(*columns, F.col("_metadata.file_name").alias("file")).join(binned, ["event_month", "file"]).drop("file")
+    # a row for each file, as in Spark's own listing: the rows of the parts are shuffled by bin only
+    dealt = rows.select(*columns, F.col("_metadata.file_name").alias("file")).join(F.broadcast(binned), ["event_month", "file"]).drop("file")
     n = (binned.agg(F.max(_BIN)).first()[0] or 0) + 1
     # a bin a task, which writes one file
     dealt.repartitionById(n, _BIN).drop(_BIN).write.mode("overwrite").partitionBy("event_month").parquet(_part_path(table_path, merged.name))
