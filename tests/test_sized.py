@@ -157,3 +157,21 @@ def test_streams_over_several_files_a_micro_batch(spark, workdir, monkeypatch):
     assert sum(r["landed"] for r in delivered) == 1371 and {(r["lost"], r["repeated"], r["runs"], r["batches"]) for r in delivered} == {(0, 0, 2, 6)}
     assert catalog.stream_vs_batch(spark, sf).count() == 1371
     assert len(dealt) == 4 and min(dealt) > 1
+
+
+def test_a_part_larger_than_the_newest_does_not_end_a_pack(spark, workdir, monkeypatch):
+    from tidemark.operators.ingest import to_silver
+
+    path = os.path.join(workdir, "silver")
+    rows = to_silver(feeds.fixture_feed(spark, tables_of_their_own(spark, workdir + "/sf", events=5000)))
+    one = rows.where("source_commit_lsn = 2 AND kafka_event_offset = 2")
+    several = one.unionByName(one.withColumn("event_month", F.lit("2024-02"))).unionByName(one.withColumn("event_month", F.lit("2024-03")))
+    # bytes: many, those of one file, of three, of one
+    for i, batch in enumerate((rows, one, several, one)):
+        sized.write_batch(batch, i, path)
+    large = {r["part"]: r["b"] for r in sized.file_sizes(spark, path).groupBy("part").agg(F.sum("bytes").alias("b")).collect()}
+    assert large["batch-2"] > 2.5 * large["batch-3"]
+    monkeypatch.setattr(sized, "TIER", 2)
+    assert sized.pack(spark, path, target_bytes=100) == {"merged": 3, "parts": 2}
+    assert [p.name for p in sized.live_parts(spark, path)] == ["batch-0", "pack-1-3"]
+    assert read_silver(spark, path).count() == rows.count() + 5

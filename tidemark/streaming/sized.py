@@ -11,8 +11,8 @@ micro-batch, folder). A part that a wider one covers is no longer read. The log
 the rows, so a reader never sees half a part, and a micro-batch that comes again after a crash
 finds its entry and does nothing: each record lands exactly once.
 
-Packing is tiered: it takes the newest parts, and older ones as long as they are no larger than
-``TIER`` times what it has so far. So a row is rewritten a number of times that grows with the logarithm
+Packing is tiered: it takes the newest parts, from the oldest one on that is no larger than
+``TIER`` times all that are newer. So a row is rewritten a number of times that grows with the logarithm
 of the table, and there are as few parts. What a pack replaced stays until the next one, for
 readers that still use it. One stream and one packer at a time write a table.
 """
@@ -178,12 +178,12 @@ def pack(spark: SparkSession, table_path: str, target_bytes: int = TARGET_BYTES,
     parts = live_parts(spark, table_path)
     # one number for each part
     size = {r["part"]: r["bytes"] for r in file_sizes(spark, table_path, parts).groupBy("part").agg(F.sum("bytes").alias("bytes")).collect()}
-    taken, total = [], 0
-    for part in reversed(parts):
-        if taken and size.get(part.name, 0) > TIER * max(total, target_bytes):
-            break
-        taken.insert(0, part)
-        total += size.get(part.name, 0)
+    n_taken, newer = 0, 0
+    for n, part in enumerate(reversed(parts), 1):
+        if size.get(part.name, 0) <= TIER * max(newer, target_bytes):
+            n_taken = n
+        newer += size.get(part.name, 0)
+    taken = parts[len(parts) - n_taken:]
     if len(taken) < 2:
         return {"merged": 0, "parts": len(parts)}
     first, last = taken[0].first, taken[-1].last
